@@ -1,11 +1,11 @@
 """Nested, delimited regions of a text, found without Python.
 
-A text is cut into tokens (delimiters and the runs between them).  One fold
-over the tokens carries the nesting depth and writes one mark per token; the
-text itself is never copied inside the fold, so cost stays linear in the text.
+A text is cut at its delimiters.  One fold over the delimiters carries the
+nesting depth and writes one mark per delimiter; the text between them never
+enters the fold, so cost stays linear in the text.
 
-Marks: ``0`` outside, ``1`` opens a top-level region, ``2`` inside,
-``3`` closes a top-level region.
+Marks: ``0`` a closer outside every region (kept), ``x`` the same but dropped,
+``1`` opens an outermost region, ``2`` lies inside one, ``3`` closes one.
 """
 
 from __future__ import annotations
@@ -18,105 +18,135 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import let
 
 
-def _mark(tokens: Column, opens: Callable[[Column, Column], Column], closes: Callable[[Column], Column],
-          stray_close: str = "0") -> Column:
-    """Mark string for ``tokens``; ``opens`` sees the token and the depth."""
+def _marks(delimiters: Column, opens: Callable[[Column, Column], Column],
+           closes: Callable[[Column], Column], stray: str) -> Column:
+    """Mark string for the delimiters; ``opens`` sees delimiter and depth."""
     start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("marks"))
 
-    def step(state: Column, token: Column) -> Column:
+    def step(state: Column, d: Column) -> Column:
         depth, marks = state["depth"], state["marks"]
+        top = depth == 0
 
         def to(new_depth: Column, mark: Column) -> Column:
             return F.struct(new_depth.alias("depth"), F.concat(marks, mark).alias("marks"))
 
-        top = depth == 0
         return (
-            F.when(opens(token, depth), to(depth + 1, F.when(top, "1").otherwise("2")))
-            .when(closes(token) & ~top, to(depth - 1, F.when(depth == 1, "3").otherwise("2")))
-            .when(closes(token), to(depth, F.lit(stray_close)))
-            .otherwise(to(depth, F.when(top, "0").otherwise("2")))
+            F.when(opens(d, depth), to(depth + 1, F.when(top, "1").otherwise("2")))
+            .when(~top & closes(d), to(depth - 1, F.when(depth == 1, "3").otherwise("2")))
+            .otherwise(to(depth, F.when(top, stray).otherwise("2")))
         )
 
-    return F.aggregate(tokens, start, step, lambda s: s["marks"])
+    return F.aggregate(delimiters, start, step, lambda s: s["marks"])
 
 
-def _marked(text: Column, token_pattern: str, opens, closes, stray_close: str, body) -> Column:
-    tokens = F.regexp_extract_all(text, F.lit(token_pattern), F.lit(0))
+class _Cut:
+    """A text cut at its delimiters, with everything bound once."""
 
-    def with_marks(toks: Column) -> Column:
-        return let(
-            _mark(toks, opens, closes, stray_close),
-            lambda marks: let(F.split(marks, ""), lambda flags: body(toks, marks, flags)),
+    def __init__(self, cut: Column):
+        self.delimiters, self.texts, self.marks, self.flags = (
+            cut["delimiters"], cut["texts"], cut["marks"], cut["flags"]
         )
 
-    return let(tokens, with_marks)
+    def flag(self, i: Column) -> Column:
+        return F.element_at(self.flags, i + 1)
 
+    def text_after(self, i: Column) -> Column:
+        return F.element_at(self.texts, i + 2)
 
-def drop_regions(text: Column, token_pattern: str, opener: str, closer: str,
-                 keep_stray_closer: bool) -> Column:
-    """Text outside the regions; an unclosed region reaches the end."""
+    def close_of(self, i: Column) -> Column:
+        """1-based place of the delimiter closing the region opened at ``i``, or 0."""
+        return F.position(F.lit("3"), self.marks, i + 2)
+
+    def inner(self, i: Column, close: Column) -> Column:
+        """Text between the delimiter at ``i`` and the 1-based place ``close``."""
+        count = F.greatest(close - i - 2, F.lit(0))
+        return F.concat(self.text_after(i), F.array_join(F.zip_with(
+            F.slice(self.delimiters, i + 2, count), F.slice(self.texts, i + 3, count), F.concat
+        ), ""))
 
-    def outside(tokens: Column, _marks: Column, flags: Column) -> Column:
-        kept = F.zip_with(tokens, flags, lambda t, f: F.when(f == "0", t).otherwise(""))
-        return F.array_join(kept, "")
+    def rebuild(self, piece: Callable[[Column, Column, Column], Column]) -> Column:
+        """Leading text plus ``piece(delimiter, place, flag)`` for every delimiter."""
+        parts = F.transform(
+            self.delimiters, lambda d, i: let(self.flag(i), lambda f: piece(d, i, f))
+        )
+        return F.concat(F.element_at(self.texts, 1), F.array_join(parts, ""))
 
-    return _marked(
-        text, token_pattern, lambda t, _d: t == opener, lambda t: t == closer,
-        "0" if keep_stray_closer else "2", outside,
+
+def _cut(text: Column, pattern: str, opens, closes, stray: str, body: Callable[[_Cut], Column]) -> Column:
+    delimiters = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+    def with_marks(ds: Column) -> Column:
+        return let(
+            _marks(ds, opens, closes, stray),
+            lambda marks: let(
+                F.struct(
+                    ds.alias("delimiters"), F.split(text, pattern, -1).alias("texts"),
+                    marks.alias("marks"), F.split(marks, "").alias("flags"),
+                ),
+                lambda cut: body(_Cut(cut)),
+            ),
+        )
+
+    return let(delimiters, with_marks)
+
+
+def drop_regions(text: Column, pattern: str, opener: str, closer: str, keep_stray_closer: bool) -> Column:
+    """Text outside the regions; an unclosed region reaches the end."""
+    return _cut(
+        text, pattern, lambda d, _depth: d == opener, lambda d: d == closer,
+        "0" if keep_stray_closer else "x",
+        lambda cut: cut.rebuild(
+            lambda d, i, f: F.when(f == "0", F.concat(d, cut.text_after(i)))
+            .when(f.isin("x", "3"), cut.text_after(i)).otherwise("")
+        ),
     )
 
 
-def map_regions(text: Column, token_pattern: str, opener: str, closer: str,
+def map_regions(text: Column, pattern: str, opener: str, closer: str,
                 render: Callable[[Column], Column]) -> Column:
-    """Replace every top-level region by ``render(inner text)``.
+    """Replace every outermost region by ``render(inner text)``.
 
     Delimiters nested inside a region stay in the inner text; an unclosed
     region reaches the end of the text and loses the width of its closer there.
     """
 
-    def rebuild(tokens: Column, marks: Column, flags: Column) -> Column:
-        def piece(token: Column, i: Column) -> Column:
-            end = F.position(F.lit("3"), marks, i + 2)
-            closed = F.array_join(F.slice(tokens, i + 2, F.greatest(end - i - 2, F.lit(0))), "")
-            open_end = let(
-                F.array_join(F.slice(tokens, i + 2, F.size(tokens)), ""),
-                lambda rest: F.substring(
-                    rest, F.lit(1), F.greatest(F.length(rest) - len(closer), F.lit(0))
-                ),
-            )
-            return let(
-                F.element_at(flags, i + 1),
-                lambda f: F.when(f == "0", token)
-                .when(f == "1", let(F.when(end > 0, closed).otherwise(open_end), render))
-                .otherwise(""),
-            )
-
-        return F.array_join(F.transform(tokens, piece), "")
-
-    return _marked(
-        text, token_pattern, lambda t, _d: t == opener, lambda t: t == closer, "0", rebuild
+    def piece(cut: _Cut, d: Column, i: Column, f: Column) -> Column:
+        close = cut.close_of(i)
+        open_end = let(
+            cut.inner(i, F.size(cut.delimiters) + 1),
+            lambda rest: F.substring(rest, F.lit(1), F.greatest(F.length(rest) - len(closer), F.lit(0))),
+        )
+        inner = F.when(close > 0, cut.inner(i, close)).otherwise(open_end)
+        return (
+            F.when(f == "0", F.concat(d, cut.text_after(i))).when(f == "3", cut.text_after(i))
+            .when(f == "1", let(inner, render)).otherwise("")
+        )
+
+    return _cut(
+        text, pattern, lambda d, _depth: d == opener, lambda d: d == closer, "0",
+        lambda cut: cut.rebuild(lambda d, i, f: piece(cut, d, i, f)),
     )
 
 
 def tag_blocks(html: Column, tag: str, starts: str) -> Column:
     """Array of outer HTML of every outermost ``tag`` element whose start tag
     matches the Java pattern ``starts``; equal tags inside it are balanced."""
-    token_pattern = rf"(?i)<{tag}\b[^>]*>|</{tag}\s*>|[^<]+|<"
-    any_open = rf"(?i)^<{tag}\b"
-    closing = rf"(?i)^</{tag}\s*>$"
+    pattern = rf"(?i)<{tag}\b[^>]*>|</{tag}\s*>"
+
+    def closes(d: Column) -> Column:
+        return F.startswith(d, F.lit("</"))
 
-    def opens(token: Column, depth: Column) -> Column:
-        return F.when(depth == 0, token.rlike(starts)).otherwise(token.rlike(any_open))
+    def opens(d: Column, depth: Column) -> Column:
+        return ~closes(d) & ((depth > 0) | d.rlike(starts))
 
-    def collect(tokens: Column, marks: Column, flags: Column) -> Column:
-        def block(token: Column, i: Column) -> Column:
-            end = F.position(F.lit("3"), marks, i + 2)
-            length = F.when(end > 0, end - i).otherwise(F.size(tokens))
-            return F.when(
-                F.element_at(flags, i + 1) == "1",
-                F.array_join(F.slice(tokens, i + 1, length), ""),
-            )
+    def blocks(cut: _Cut) -> Column:
+        def block(d: Column, i: Column) -> Column:
+            close = cut.close_of(i)
+            whole = F.when(
+                close > 0, F.concat(d, cut.inner(i, close), F.element_at(cut.delimiters, F.greatest(close, F.lit(1))))
+            ).otherwise(F.concat(d, cut.inner(i, F.size(cut.delimiters) + 1)))
+            return F.when(cut.flag(i) == "1", whole)
 
-        return F.array_compact(F.transform(tokens, block))
+        return F.array_compact(F.transform(cut.delimiters, block))
 
-    return _marked(html, token_pattern, opens, lambda t: t.rlike(closing), "0", collect)
+    return _cut(html, pattern, opens, closes, "0", blocks)

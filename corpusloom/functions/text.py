@@ -119,15 +119,39 @@ def word_count(line: Column) -> Column:
 
 
 def format_size(n: Column) -> Column:
-    """Bytes as text with a unit, two decimals, steps of 1024."""
-    n = n.cast("double")
-    out = F.format_string("%.2f TB", n / float(1 << 40))
+    """Bytes as text with a unit, two decimals, steps of 1024.
+
+    Integer arithmetic with ties to even: the quotients are exact binary
+    fractions, so this equals correctly rounded floating-point formatting.
+    """
+    n = n.cast("bigint")
+
+    def scaled(power: int) -> Column:
+        unit = 1 << power
+        floor = F.floor(n / unit)
+        rest = (n - floor * unit) * 100
+        cents = F.shiftright(rest, power) if power else rest
+        twice = (rest - cents * unit) * 2
+        up = (twice > unit) | ((twice == unit) & (cents % 2 == 1))
+        cents = floor * 100 + cents + F.when(up, 1).otherwise(0)
+        return F.format_string("%d.%02d", F.floor(cents / 100), cents % 100)
+
+    out = F.concat(scaled(40), F.lit(" TB"))
     for power, unit in ((30, "GB"), (20, "MB"), (10, "KB"), (0, "B")):
-        size = float(1 << power)
-        out = F.when(n < size * 1024.0, F.format_string(f"%.2f {unit}", n / size)).otherwise(out)
+        out = F.when(n < (1 << power) * 1024, F.concat(scaled(power), F.lit(f" {unit}"))).otherwise(out)
     return out
 
 
+def python_round(c: Column, digits: int) -> Column:
+    """``round(x, digits)`` on the exact binary value, for small report tables;
+    the built-ins round the printed decimal instead."""
+
+    def rounded(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: round(v, digits), na_action="ignore")
+
+    return F.pandas_udf(rounded, T.DoubleType())(c)
+
+
 def perplexity(loss: Column) -> Column:
     return F.exp(loss)
 

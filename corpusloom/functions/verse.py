@@ -82,7 +82,8 @@ def class_start(tag: str, name: str) -> str:
 def first_container(html: Column, tag: str, name: str | None = None) -> Column:
     """Outer HTML of the first matching element, null when there is none."""
     start = class_start(tag, name) if name else rf"(?i)^<{tag}\b"
-    return F.when(F.contains(F.lower(html), F.lit(f"<{tag}")), F.get(tag_blocks(html, tag, start), F.lit(0)))
+    present = F.contains(html, F.lit(name)) if name else html.rlike(rf"(?i)<{tag}\b")
+    return F.when(present, F.get(tag_blocks(html, tag, start), F.lit(0)))
 
 
 def with_element_text(df: DataFrame, source: str, target: str) -> DataFrame:

@@ -19,10 +19,9 @@ from corpusloom.functions.text import (
     WS, WS_SET, let, lstrip, rstrip, split_lines, squeeze_newlines, strip, with_unescaped,
 )
 
-# Delimiter-aware tokens: the two-character delimiters win over single ones.
-TABLE_TOKENS = r"\{\||\|\}|[^{|]+|[{|]"
-TEMPLATE_TOKENS = r"\{\{|\}\}|[^{}]+|[{}]"
-LINK_TOKENS = r"\[\[|\]\]|[^\[\]]+|[\[\]]"
+TABLE_MARKS = r"\{\||\|\}"
+TEMPLATE_MARKS = r"\{\{|\}\}"
+LINK_MARKS = r"\[\[|\]\]"
 
 
 def _chain(c: Column, rules: list[tuple[str, str]]) -> Column:
@@ -45,14 +44,14 @@ def strip_tags(c: Column) -> Column:
 
 def drop_tables(c: Column) -> Column:
     return F.when(
-        F.contains(c, F.lit("{|")), drop_regions(c, TABLE_TOKENS, "{|", "|}", keep_stray_closer=True)
+        F.contains(c, F.lit("{|")), drop_regions(c, TABLE_MARKS, "{|", "|}", keep_stray_closer=True)
     ).otherwise(c)
 
 
 def drop_templates(c: Column) -> Column:
     return F.when(
         F.contains(c, F.lit("{{")) | F.contains(c, F.lit("}}")),
-        drop_regions(c, TEMPLATE_TOKENS, "{{", "}}", keep_stray_closer=False),
+        drop_regions(c, TEMPLATE_MARKS, "{{", "}}", keep_stray_closer=False),
     ).otherwise(c)
 
 
@@ -75,7 +74,7 @@ def _link_label(inner: Column) -> Column:
 
 def resolve_links(c: Column) -> Column:
     return F.when(
-        F.contains(c, F.lit("[[")), map_regions(c, LINK_TOKENS, "[[", "]]", _link_label)
+        F.contains(c, F.lit("[[")), map_regions(c, LINK_MARKS, "[[", "]]", _link_label)
     ).otherwise(c)
 
 

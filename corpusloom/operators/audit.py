@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import settings
-from corpusloom.functions.text import perplexity
+from corpusloom.functions.text import perplexity, python_round
 from corpusloom.operators.joins import with_weights
 
 
@@ -28,7 +28,7 @@ def token_audit(weighted: DataFrame, budget: int = settings.TOKEN_BUDGET) -> Dat
     return totals.select(
         "*",
         limit.alias("token_budget"),
-        F.round(F.lit(float(budget)) / F.nullif(F.col("unique_tokens"), F.lit(0)), 2).alias("repeat_factor"),
+        python_round(F.lit(float(budget)) / F.nullif(F.col("unique_tokens"), F.lit(0)), 2).alias("repeat_factor"),
         (effective >= limit).alias("enough_for_budget"),
         (effective - limit).alias("budget_gap_or_surplus"),
     )

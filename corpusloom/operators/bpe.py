@@ -8,7 +8,7 @@ are linear in the word.  Ids follow the usual layout: the special token, the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Container, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -88,12 +88,26 @@ def pretokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(settings.PRETOKEN_PATTERN), F.lit(0))
 
 
-def word_counts(docs: DataFrame, by: list[str] | None = None, text: str = "text") -> DataFrame:
+def encoder_pieces(text: Column) -> Column:
+    """Pre-tokens for encoding: the special token, where the text spells it, is
+    a piece of its own and separates what surrounds it."""
+    special = settings.SPECIAL_TOKEN
+    parts = F.transform(
+        F.split(text, "\\Q" + special + "\\E", -1),
+        lambda part, i: F.concat(
+            F.when(i > 0, F.array(F.lit(special))).otherwise(F.array().cast("array<string>")), pretokens(part)
+        ),
+    )
+    return F.when(F.contains(text, F.lit(special)), F.flatten(parts)).otherwise(pretokens(text))
+
+
+def word_counts(docs: DataFrame, by: list[str] | None = None, text: str = "text",
+                pieces: Callable[[Column], Column] = pretokens) -> DataFrame:
     """Frequency of every pre-token of the NFC text; frequent words collapse
     before the shuffle."""
     keys = by or []
     words = with_nfc(docs.select(*keys, text), text, "__nfc").select(
-        *keys, F.explode(pretokens(F.col("__nfc"))).alias("word")
+        *keys, F.explode(pieces(F.col("__nfc"))).alias("word")
     )
     return words.groupBy(*keys, "word").agg(F.count("*").alias("freq"))
 
@@ -110,7 +124,7 @@ def pair_counts(state: DataFrame) -> DataFrame:
     return state.select("freq", pairs.alias("pair")).groupBy("pair").agg(F.sum("freq").alias("freq"))
 
 
-def _batch(ranked: list[str], known: set[bytes], raw: list[bytes]) -> list[str]:
+def _batch(ranked: list[str], known: Container[bytes], raw: list[bytes]) -> list[str]:
     """Longest prefix of ``ranked`` pairs that one-at-a-time learning would
     also pick in this order.
 
@@ -155,7 +169,7 @@ def learn(words: DataFrame, vocab_size: int = settings.VOCAB_SIZE,
             pair_counts(state).filter(F.col("freq") >= min_frequency)
             .orderBy(F.col("freq").desc(), "pair").limit(CANDIDATES).collect()
         )
-        picks = _batch([r["pair"] for r in top], set(ids), raw)
+        picks = _batch([r["pair"] for r in top], ids, raw)
         if not picks:
             break
         rewritten = F.col("symbols")
@@ -181,8 +195,12 @@ def _word_encoder(vocab: Vocabulary):
     rank = {_symbol(l) + _symbol(r): (n, _symbol(m)) for n, (l, r, m) in reversed(list(enumerate(vocab.merges)))}
     table = {b: _BYTE_SYMBOLS[b] for b in range(256)}
 
+    special = settings.SPECIAL_TOKEN
+
     @lru_cache(maxsize=1 << 17)
     def encode(word: str) -> str:
+        if word == special:
+            return _symbol(SPECIAL_ID)
         s = word.encode("utf-8").decode("latin-1").translate(table)
         while len(s) > 1:
             best = min((s[i:i + 2] for i in range(len(s) - 1)), key=lambda p: rank.get(p, (1 << 60,)))
@@ -205,7 +223,7 @@ def with_token_ids(docs: DataFrame, vocab: Vocabulary, text: str = "text", targe
 
     udf = F.pandas_udf(encode_batches, T.ArrayType(T.IntegerType()))
     return (
-        with_nfc(docs, text, "__nfc").withColumn(target, udf(pretokens(F.col("__nfc")))).drop("__nfc")
+        with_nfc(docs, text, "__nfc").withColumn(target, udf(encoder_pieces(F.col("__nfc")))).drop("__nfc")
     )
 
 
@@ -227,7 +245,7 @@ def token_counts(docs: DataFrame, vocab: Vocabulary, by: str = "source") -> Data
             yield words.map(lambda w: len(encode(w)))
 
     udf = F.pandas_udf(lengths, T.LongType())
-    return word_counts(docs, [by]).groupBy(by).agg(F.sum(F.col("freq") * udf("word")).alias("tokens"))
+    return word_counts(docs, [by], pieces=encoder_pieces).groupBy(by).agg(F.sum(F.col("freq") * udf("word")).alias("tokens"))
 
 
 def round_trip_report(docs: DataFrame, vocab: Vocabulary) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import settings
-from corpusloom.functions.text import digest, split_paragraphs, strip, with_nfc
+from corpusloom.functions.text import digest, python_round, split_paragraphs, strip, with_nfc
 from corpusloom.operators.firsts import first_order, first_rows
 from corpusloom.operators.order import source_of
 
@@ -157,7 +157,7 @@ def kept_texts(decided: DataFrame) -> DataFrame:
 
 
 def _rate(removed: Column, original: Column) -> Column:
-    return F.when(original > 0, F.round(removed / original, 4)).otherwise(F.lit(0.0))
+    return F.coalesce(python_round(removed / F.nullif(original, F.lit(0)), 4), F.lit(0.0))
 
 
 _COUNTERS = {

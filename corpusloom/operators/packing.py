@@ -69,15 +69,14 @@ def budget_plan(totals: DataFrame, budget: int = settings.TOKEN_BUDGET,
     )
 
 
-def padded_samples(rows: DataFrame, prefix_ids: list[int], eos: int, pad: int,
+def padded_samples(rows: DataFrame, prefix_length: int, eos: int, pad: int,
                    length: int = settings.SAMPLE_LENGTH) -> DataFrame:
-    """Prefix + ``ids`` + EOS, truncated and padded to ``length``.
+    """``ids`` (prefix included) + EOS, truncated and padded to ``length``.
 
-    ``labels`` ignore the prefix and the padding; a real EOS keeps its label
-    even though padding uses the same id.
+    ``labels`` ignore the first ``prefix_length`` tokens and the padding; a
+    real EOS keeps its label even though padding uses the same id.
     """
-    prefix = F.array(*[F.lit(i) for i in prefix_ids]).cast("array<int>")
-    full = F.slice(F.concat(prefix, "ids", F.array(F.lit(eos))), 1, length)
+    full = F.slice(F.concat("ids", F.array(F.lit(eos))), 1, length)
     used = F.size("__full")
     fill = F.lit(length) - used
     return (
@@ -88,7 +87,7 @@ def padded_samples(rows: DataFrame, prefix_ids: list[int], eos: int, pad: int,
         .withColumn("labels", F.transform(
             "input_ids",
             lambda t, i: F.when(
-                (i < len(prefix_ids)) | (F.get("attention_mask", i) == 0), settings.IGNORED_LABEL
+                (i < prefix_length) | (i >= F.size("__full")), settings.IGNORED_LABEL
             ).otherwise(t),
         ))
         .drop("__full", "ids")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import settings
+from corpusloom.functions.text import with_nfc
 from corpusloom.operators.bpe import SPECIAL_ID, Vocabulary, with_token_ids
 from corpusloom.operators.mixture import split_mixture, weighted_mixture
 from corpusloom.operators.order import shuffle_key
@@ -38,10 +39,9 @@ def verse_samples(stanzas: DataFrame, vocab: Vocabulary, prefix: str = settings.
     Prefix and text are tokenized as one string; the mask covers as many
     tokens as the prefix has on its own.
     """
-    spark = stanzas.sparkSession
-    own = with_token_ids(spark.createDataFrame([(prefix,)], "text string"), vocab).first()["ids"]
-    whole = stanzas.withColumn("text", F.concat(F.lit(prefix), "text"))
-    rows = with_token_ids(whole, vocab).withColumn("ids", F.slice("ids", len(own) + 1, 2**31 - 1))
-    samples = padded_samples(rows, own, SPECIAL_ID, SPECIAL_ID, length)
+    prefix_row = stanzas.sparkSession.createDataFrame([(prefix,)], "text string")
+    prefix_length = len(with_token_ids(prefix_row, vocab).first()["ids"])
+    whole = with_nfc(stanzas, "text").withColumn("text", F.concat(F.lit(prefix), "text"))
+    samples = padded_samples(with_token_ids(whole, vocab), prefix_length, SPECIAL_ID, SPECIAL_ID, length)
     key = shuffle_key(seed, F.col("ord"), F.col("stanza_ord"))
     return split_by_key(samples, key, ratio)
