@@ -61,7 +61,8 @@ class _Cut:
         """Text between the delimiter at ``i`` and the 1-based place ``close``."""
         count = F.greatest(close - i - 2, F.lit(0))
         return F.concat(self.text_after(i), F.array_join(F.zip_with(
-            F.slice(self.delimiters, i + 2, count), F.slice(self.texts, i + 3, count), F.concat
+            F.slice(self.delimiters, i + 2, count), F.slice(self.texts, i + 3, count),
+            lambda d, t: F.concat(d, t),
         ), ""))
 
     def rebuild(self, piece: Callable[[Column, Column, Column], Column]) -> Column:
