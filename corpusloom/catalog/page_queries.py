@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom import settings
-from corpusloom.catalog.registry import documents, query, table
+from corpusloom.catalog.registry import documents, query, table, texts
 from corpusloom.functions.urls import article_url
 from corpusloom.functions.verse import first_container, total_pages
 from corpusloom.operators import pages as P
 from corpusloom.operators.joins import not_yet_done
+from corpusloom.sources.readers import fill_cores
 
 
 @query("page_extract", r"""SELECT page_id, regexp_extract(html, '(?s)<article[^>]*>.*?</article>') AS body FROM pages
 WHERE regexp_matches(html, '<article')""")
 def page_extract(spark, folder):
-    rows = table(spark, folder, "pages").withColumn("body", first_container(F.col("html"), "article"))
+    rows = texts(spark, folder, "pages", "page_id").withColumn("body", first_container(F.col("html"), "article"))
     return rows.filter("body is not null").select("page_id", "body")
 
 
@@ -52,7 +53,7 @@ def _listing_pages(spark, folder):
     def author(name):
         return F.concat(F.lit('<p><a href="/author-1"> '), name, F.lit("</a></p>"))
 
-    return table(spark, folder, "pages").select(
+    return texts(spark, folder, "pages", "page_id").select(
         "page_id", "url", title.alias("title"),
         F.concat(
             "html",
@@ -235,7 +236,7 @@ def verse_pages(spark, folder):
         "url", F.when(n % 3 != 0, F.concat(F.lit("M"), n.cast("string"))).alias("title"),
         F.when(n % 4 != 0, F.concat(F.lit("A"), (n % 10).cast("string"))).alias("author"),
     )
-    texts = table(spark, folder, "documents").select("doc_id", F.regexp_replace("text", "[<>&]", "").alias("t"))
+    poems = table(spark, folder, "documents").select("doc_id", F.regexp_replace("text", "[<>&]", "").alias("t"))
     two = F.concat(F.lit("intro<b> One</b><br/><br>\n"), "t", F.lit("<br>x\n<B>Two <i></B><BR />\n\n"), "t", F.lit("\n"))
     one = F.concat("t", F.lit("<br/><div>n</div>"))
     body = F.concat(
@@ -245,5 +246,6 @@ def verse_pages(spark, folder):
         F.lit("</div><div class='small'> <b>Từ </b>\n A &amp; B<i>"), n.cast("string"), F.lit("</i></div>"),
         F.when(n % 13 == 0, F.lit(settings.BLOCKED_PAGE_MARKERS[0])).otherwise(""), F.lit("</html>"),
     )
-    html = pages.join(texts, n == F.col("doc_id")).select("url", body.alias("html"))
+    html = pages.join(poems, n == F.col("doc_id")).select("url", body.alias("html"))
+    html = fill_cores(html, "url")
     return P.verse_pages(html, meta)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import WS_CHARS
 from corpusloom.operators.order import ROW_BITS, order_key
+from corpusloom.sources.readers import fill_cores
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,12 +33,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """A table whose texts are worth one task per core."""
+    return fill_cores(table(spark, folder, name), key)
+
+
 def documents(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
     """``(source, ord, text, ...)``; order = (source number, doc_id)."""
     number = F.substring("source", 4, 10).cast("int")
-    return table(spark, folder, "documents").select(
+    rows = table(spark, folder, "documents").select(
         "source", order_key(number, F.col("doc_id")).alias("ord"), "text", *extra
     )
+    return fill_cores(rows, "ord")
 
 
 def doc_id(ord_: str = "ord") -> Column:

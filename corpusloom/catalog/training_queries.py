@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom import settings
-from corpusloom.catalog.registry import SQL_DOCS, doc_id, documents, query, table
+from corpusloom.catalog.registry import SQL_DOCS, doc_id, documents, query, table, texts
 from corpusloom.catalog.token_queries import QUERY_MERGES, WEIGHTS, _weights_sql
 from corpusloom.operators import bpe
 from corpusloom.operators.mixture import split_leakage as leakage_report
@@ -110,7 +110,7 @@ _SAMPLES = f"""WITH t AS (SELECT conv_id, turn, list_append(list_concat({_PREFIX
 
 
 def _turns(spark, folder):
-    return table(spark, folder, "conversations").select(
+    return texts(spark, folder, "conversations", "conv_id").select(
         "conv_id", "turn", F.concat(F.array(*[F.lit(i) for i in _PREFIX_IDS]), code_points(F.col("text"))).alias("ids")
     )
 

@@ -26,6 +26,8 @@ WS_CHARS = (
 # The same set inside a Java character class.
 WS_SET = r"\s\x1c-\x1f\x{85}\p{Z}"
 WS = f"[{WS_SET}]"
+# Line breaks other than a newline.
+OTHER_BREAK = r"\r\n?|[\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
 
@@ -67,8 +69,22 @@ def split_paragraphs(c: Column, separator: str = "\n\n") -> Column:
     return F.filter(F.transform(F.split(c, quoted, -1), strip), lambda p: p != "")
 
 
+def contains_any(c: Column, *parts: str) -> Column:
+    """Cheap guard in front of a regular expression that needs one of ``parts``."""
+    found = F.contains(c, F.lit(parts[0]))
+    for part in parts[1:]:
+        found = found | F.contains(c, F.lit(part))
+    return found
+
+
 def squeeze_newlines(c: Column) -> Column:
-    return F.regexp_replace(c, r"\n{3,}", "\n\n")
+    return F.when(contains_any(c, "\n\n\n"), F.regexp_replace(c, r"\n{3,}", "\n\n")).otherwise(c)
+
+
+def strip_lines(c: Column) -> Column:
+    """Lines stripped and joined by newlines, then the whole text stripped."""
+    blank = f"[{WS_SET}&&[^\\n]]*"
+    return strip(F.regexp_replace(F.regexp_replace(c, OTHER_BREAK, "\n"), rf"{blank}\n{blank}", "\n"))
 
 
 def digest(c: Column) -> Column:

@@ -31,7 +31,7 @@ def with_plain_verse(df: DataFrame, source: str, target: str | None = None) -> D
         c = F.regexp_replace(c, pattern, "")
     df = with_unescaped(df.withColumn(target, break_tags(c)), target)
     blanks = F.regexp_replace(F.replace(F.col(target), F.lit("\xa0"), F.lit(" ")), " +", " ")
-    return df.withColumn(target, strip(squeeze_newlines(blanks)))
+    return df.withColumn(target, blanks).withColumn(target, strip(squeeze_newlines(F.col(target))))
 
 
 def clean_source_note(c: Column) -> Column:

@@ -7,7 +7,6 @@ decoding is the single Python step.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +15,8 @@ from pyspark.sql import functions as F
 from corpusloom import settings
 from corpusloom.functions.nesting import drop_regions, map_regions
 from corpusloom.functions.text import (
-    WS, WS_SET, let, lstrip, rstrip, split_lines, squeeze_newlines, strip, with_unescaped,
+    OTHER_BREAK, WS, WS_SET, contains_any, let, lstrip, rstrip, split_lines, squeeze_newlines,
+    strip, strip_lines, with_unescaped,
 )
 
 TABLE_MARKS = r"\{\||\|\}"
@@ -30,9 +30,14 @@ def _chain(c: Column, rules: list[tuple[str, str]]) -> Column:
     return c
 
 
+def _guarded(c: Column, needed: list[str], rules: list[tuple[str, str]]) -> Column:
+    """The rules, for texts that contain any of the ``needed`` parts."""
+    return F.when(contains_any(c, *needed), _chain(c, rules)).otherwise(c)
+
+
 def strip_tags(c: Column) -> Column:
     # Fixed patterns, in order.
-    return _chain(c, [
+    return _guarded(c, ["<"], [
         (r"(?s)<!--.*?-->", ""),
         (rf"(?iu)<ref[^>]*/{WS}*>", ""),
         (r"(?ius)<ref[^>]*>.*?</ref>", ""),
@@ -57,7 +62,7 @@ def drop_templates(c: Column) -> Column:
 
 def drop_orphan_rows(c: Column) -> Column:
     # Fixed patterns: separator, caption or multi-cell row, then a cell row.
-    return _chain(c, [
+    return _guarded(c, ["|"], [
         (rf"(?dm)^{WS}*\|[-+|].*\n?", ""),
         (rf"(?dm)^{WS}*\| [^\n]*\n?", ""),
     ])
@@ -89,18 +94,19 @@ def resolve_brackets(c: Column, mode: str = "faithful") -> Column:
         (rf"\[https?://[^{WS_SET}\]]+{WS}+([^\]]+)\]", "$1"),
         (r"\[https?://[^\]]+\]", ""),
     ]
-    return _chain(c, external + interwiki if mode == "fixed" else interwiki + external)
+    return _guarded(c, ["["], external + interwiki if mode == "fixed" else interwiki + external)
 
 
 def unwrap_headers(c: Column) -> Column:
-    return _chain(c, [
+    return _guarded(c, ["="], [
         (rf"(?dm)^=+{WS}*(.+?){WS}*=+{WS}*$", "$1"),
         (rf"(?dm)^=+{WS}*=+{WS}*$", ""),
     ])
 
 
 def drop_emphasis(c: Column) -> Column:
-    return _chain(c, [(r"'''|''|----+", ""), (r"__[A-Z_]+__", "")])
+    c = _guarded(c, ["''", "----"], [(r"'''|''|----+", "")])
+    return _guarded(c, ["__"], [(r"__[A-Z_]+__", "")])
 
 
 def plain_blanks(c: Column) -> Column:
@@ -128,7 +134,10 @@ def _list_line(line: Column) -> Column:
 
 
 def strip_list_marks(c: Column) -> Column:
-    return F.array_join(F.transform(split_lines(c), _list_line), "\n")
+    # Only a list line, another line break or a final break changes the text.
+    concerned = c.rlike(rf"(?:\A|\n){WS}*[*#;:]|{OTHER_BREAK}|\n\z")
+    lines = F.array_join(F.transform(split_lines(c), _list_line), "\n")
+    return F.when(concerned, lines).otherwise(c)
 
 
 def cut_terminal_sections(c: Column) -> Column:
@@ -138,8 +147,8 @@ def cut_terminal_sections(c: Column) -> Column:
 
 
 def tidy(c: Column) -> Column:
-    blanks = squeeze_newlines(F.regexp_replace(c, r"[ \t]+", " "))
-    return strip(F.array_join(F.transform(split_lines(blanks), strip), "\n"))
+    blanks = F.when(contains_any(c, "  ", "\t"), F.regexp_replace(c, r"[ \t]+", " ")).otherwise(c)
+    return let(blanks, lambda b: let(squeeze_newlines(b), strip_lines))
 
 
 # (name, column step); ``None`` marks the entity step, which needs the frame.

@@ -8,6 +8,7 @@ are linear in the word.  Ids follow the usual layout: the special token, the
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable, Container, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -24,7 +25,8 @@ from corpusloom.session import cut_lineage
 _FIRST = 0x100  # character of id 0; ids stay below the surrogate block
 MAX_VOCAB = 0xD800 - _FIRST
 SPECIAL_ID = 0
-CANDIDATES = 256  # most frequent pairs looked at in one round
+TOP = 4096  # pairs a full count brings to the driver
+CANDIDATES = 256  # best known pairs looked at in one round
 
 
 def _byte_stand_ins() -> list[str]:
@@ -128,65 +130,122 @@ def _batch(ranked: list[str], known: Container[bytes], raw: list[bytes]) -> list
     """Longest prefix of ``ranked`` pairs that one-at-a-time learning would
     also pick in this order.
 
-    A pair created by a merge contains a neighbour pair that shares a symbol
-    with a pick; had that neighbour outranked a later pick, it would have
-    ended the prefix.  Self-pairs and pairs that spell a known token change
-    counts in other ways and go alone.
+    Merging (a, b) consumes an ``a`` only before ``b`` and a ``b`` only after
+    ``a``, so it changes no count but those of pairs (x, a) and (b, y); the
+    pairs it creates are no more frequent than those.  As long as none of them
+    comes up, the ranking stands.  Self-pairs and pairs that spell a known
+    token change counts in other ways and go alone.
     """
     picks: list[str] = []
-    used: set[str] = set()
+    lefts: set[str] = set()
+    rights: set[str] = set()
     made: set[bytes] = set()
     for pair in ranked:
-        spelled = raw[ord(pair[0]) - _FIRST] + raw[ord(pair[1]) - _FIRST]
-        alone = pair[0] == pair[1] or spelled in known or spelled in made
-        if used & set(pair) or (alone and picks):
+        left, right = pair
+        spelled = raw[ord(left) - _FIRST] + raw[ord(right) - _FIRST]
+        alone = left == right or spelled in known or spelled in made
+        if right in lefts or left in rights or (alone and picks):
             break
         picks.append(pair)
-        used |= set(pair)
+        lefts.add(left)
+        rights.add(right)
         made.add(spelled)
         if alone:
             break
     return picks
 
 
-def learn(words: DataFrame, vocab_size: int = settings.VOCAB_SIZE,
-          min_frequency: int = settings.MIN_FREQUENCY, checkpoint_every: int = 24) -> Vocabulary:
-    """Learn merges from ``words(word, freq)``.
+def _changes(state: DataFrame) -> dict[str, int]:
+    """Change of every pair count between ``previous`` and ``symbols``.
 
-    Every round counts pairs over the distinct words in one aggregation and
-    brings the ``CANDIDATES`` best pairs to the driver; the words stay
-    distributed.  The lineage is cut every ``checkpoint_every`` merges.
+    A merge changes only pairs next to its symbols, at most four per token of
+    the vocabulary, so the collected result is bounded by the vocabulary.
+    """
+    both = F.array(
+        F.struct(F.col("previous").alias("symbols"), (-F.col("freq")).alias("freq")),
+        F.struct(F.col("symbols").alias("symbols"), F.col("freq").alias("freq")),
+    )
+    sides = state.filter("symbols <> previous").select(F.explode(both).alias("side")).select("side.*")
+    return {r["pair"]: r["freq"] for r in pair_counts(sides).filter("freq <> 0").collect()}
+
+
+def learn(words: DataFrame, vocab_size: int = settings.VOCAB_SIZE,
+          min_frequency: int = settings.MIN_FREQUENCY, checkpoint_every: int = 32) -> Vocabulary:
+    """Learn merges from ``words(word, freq)``; the words stay distributed.
+
+    A full count of all pairs brings the ``TOP`` most frequent ones to the
+    driver.  Each round then merges the best pairs and counts only the words
+    that hold them, which keeps the known counts exact.  A pair outside the
+    known ones never exceeds the smallest of the full count, so picks above
+    that floor are final; below it a new full count starts.
     """
     if vocab_size > MAX_VOCAB:
         raise ValueError(f"vocab_size above {MAX_VOCAB}")
-    state = cut_lineage(words.select(symbols(F.col("word")).alias("symbols"), "freq"))
+    # Fixed partitions: adaptive execution would shrink this small table to one
+    # task, and every round reads all of it.
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    coded = words.select(symbols(F.col("word")).alias("symbols"), "freq")
+    state = cut_lineage(coded.repartition(parts, "symbols"))
     raw = Vocabulary(()).token_bytes()
     ids = {t: i for i, t in enumerate(raw)}
     merges: list[tuple[int, int, int]] = []
-    pending = 0
+    pending, held = 0, []
     while len(raw) < vocab_size:
         top = (
             pair_counts(state).filter(F.col("freq") >= min_frequency)
-            .orderBy(F.col("freq").desc(), "pair").limit(CANDIDATES).collect()
+            .orderBy(F.col("freq").desc(), "pair").limit(TOP).collect()
         )
-        picks = _batch([r["pair"] for r in top], ids, raw)
-        if not picks:
+        if not top:
             break
-        rewritten = F.col("symbols")
-        for pair in picks:
-            if len(raw) >= vocab_size:
-                break
-            left, right = ord(pair[0]) - _FIRST, ord(pair[1]) - _FIRST
-            spelled = raw[left] + raw[right]
-            if spelled not in ids:
-                ids[spelled] = len(raw)
-                raw.append(spelled)
-            merges.append((left, right, ids[spelled]))
-            rewritten = F.replace(rewritten, F.lit(pair), F.lit(_symbol(ids[spelled])))
-            pending += 1
-        state = state.withColumn("symbols", rewritten)
-        if pending >= checkpoint_every:
-            state, pending = cut_lineage(state), 0
+        known = {r["pair"]: r["freq"] for r in top}
+        floor = top[-1]["freq"] if len(top) == TOP else 0
+        ranked = [r["pair"] for r in top]  # freshly counted: exact down to the floor
+        complete = True
+        while complete and ranked and len(raw) < vocab_size:
+            picks = _batch(ranked, ids, raw)
+            rewritten, done = F.col("symbols"), []
+            for pair in picks:
+                if len(raw) >= vocab_size:
+                    break
+                left, right = ord(pair[0]) - _FIRST, ord(pair[1]) - _FIRST
+                spelled = raw[left] + raw[right]
+                if spelled in ids:  # the token existed: its pairs are not all known
+                    complete = False
+                else:
+                    ids[spelled] = len(raw)
+                    raw.append(spelled)
+                merges.append((left, right, ids[spelled]))
+                rewritten = F.replace(rewritten, F.lit(pair), F.lit(_symbol(ids[spelled])))
+                done.append(pair)
+            # One job per round: rewriting fills the cache the next round reads.
+            following = state.select(
+                rewritten.alias("symbols"), "freq", F.col("symbols").alias("previous")
+            ).persist()
+            if complete and len(raw) < vocab_size:
+                fresh = {_symbol(ids[raw[i]]) for i in range(len(raw) - len(done), len(raw))}
+                for pair, change in _changes(following).items():
+                    if pair in known or fresh & set(pair):
+                        known[pair] = known.get(pair, 0) + change
+                for pair in done:
+                    known.pop(pair, None)
+                least = max(min_frequency, floor + 1)
+                best = heapq.nsmallest(
+                    CANDIDATES, ((-f, p) for p, f in known.items() if f >= least)
+                )
+                ranked = [p for _f, p in best]
+            state = following.select("symbols", "freq")
+            held.append(following)
+            pending += len(done)
+            if pending >= checkpoint_every:
+                state, pending = cut_lineage(state), 0
+                cut = len(held)
+            else:
+                cut = len(held) - 1
+            for stale in held[:cut]:
+                stale.unpersist()
+            held = held[cut:]
+    for stale in held:
+        stale.unpersist()
     return Vocabulary(tuple(merges))
 
 

@@ -76,6 +76,17 @@ def read_corpora(spark: SparkSession, sources: Sequence[tuple[str, str]]) -> Dat
     return out
 
 
+def fill_cores(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that has fewer splits than the session has cores.
+
+    A table of few or large row groups would leave most cores idle in the
+    text-heavy steps; it is also small enough to move.  A scan with at least one
+    split per core, as any large table has, is returned unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows of a JSON-lines file plus ``malformed`` (true where a line is not
     JSON); blank lines are no rows.  A value of an unexpected type becomes null
