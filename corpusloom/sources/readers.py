@@ -14,7 +14,7 @@ from corpusloom.functions.text import strip
 from corpusloom.operators.order import FILE_ROW_BITS, MAX_FILES, MAX_SOURCES, order_key
 
 log = logging.getLogger(__name__)
-FILES_PER_LOOKUP = 2_000  # file ordinals in one broadcast lookup
+FILES_PER_LOOKUP = 50_000  # file ordinals in one broadcast lookup
 _CORRUPT = "_corrupt_record"
 
 
@@ -32,29 +32,33 @@ def existing(spark: SparkSession, sources: Sequence[tuple[str, str]]) -> list[tu
     return found
 
 
+def _metadata_path(listed: str) -> str:
+    """A listed file the way ``_metadata.file_path`` spells it."""
+    return "file:/" + listed[len("file:///"):] if listed.startswith("file:///") else listed
+
+
 def _ordered(spark: SparkSession, position: int, frame: DataFrame, columns: list[str]) -> DataFrame:
     """Rows of one source with ``ord`` = (source, file, row in file)."""
-    files = sorted(frame.inputFiles())
+    files = sorted(map(_metadata_path, frame.inputFiles()))
     if len(files) > MAX_FILES:
         raise ValueError(f"more than {MAX_FILES} files in one source")
-
+    path, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
     if len(files) == 1:
-        return frame.select(
-            order_key(F.lit(position), F.col("_metadata.row_index")).alias("ord"), *columns
-        )
-    # A driver already lists the files of a scan; their ordinals travel as small
-    # lookup tables, one per group of files, so none of them grows with the data.
+        return frame.select(order_key(F.lit(position), row).alias("ord"), *columns)
+    # A driver already lists the files of a scan; their ordinals travel as
+    # lookups of bounded size, one per range of paths, and the range on the path
+    # limits each part of the scan to its own files.
     parts = []
     for start in range(0, len(files), FILES_PER_LOOKUP):
         group = files[start:start + FILES_PER_LOOKUP]
-        names = spark.createDataFrame(list(zip(group, range(start, start + len(group)))),
-                                      "__file string, __file_ord int")
-        df = spark.read.schema(frame.schema).parquet(*group).select(
-            *columns, F.col("_metadata.file_path").alias("__file"),
-            F.col("_metadata.row_index").alias("__row"),
-        ).join(F.broadcast(names), "__file")
-        row = F.shiftleft(F.col("__file_ord").cast("bigint"), FILE_ROW_BITS) + F.col("__row")
-        parts.append(df.select(order_key(F.lit(position), row).alias("ord"), *columns))
+        lookup = spark.createDataFrame(
+            list(zip(group, range(start, start + len(group)))), "__file string, __file_ord bigint"
+        )
+        df = frame.filter(path.between(group[0], group[-1])).select(
+            *columns, path.alias("__file"), row.alias("__row")
+        ).join(F.broadcast(lookup), "__file")
+        place = F.shiftleft("__file_ord", FILE_ROW_BITS) + F.col("__row")
+        parts.append(df.select(order_key(F.lit(position), place).alias("ord"), *columns))
     out = parts[0]
     for extra in parts[1:]:
         out = out.unionByName(extra)
