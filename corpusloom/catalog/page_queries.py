@@ -10,6 +10,7 @@ from corpusloom.functions.urls import article_url
 from corpusloom.functions.verse import first_container, total_pages
 from corpusloom.operators import pages as P
 from corpusloom.operators.joins import not_yet_done
+from corpusloom.operators.rows import keep
 from corpusloom.sources.readers import fill_cores
 
 
@@ -17,7 +18,7 @@ from corpusloom.sources.readers import fill_cores
 WHERE regexp_matches(html, '<article')""")
 def page_extract(spark, folder):
     rows = texts(spark, folder, "pages", "page_id").withColumn("body", first_container(F.col("html"), "article"))
-    return rows.filter("body is not null").select("page_id", "body")
+    return keep(rows, F.col("body").isNotNull()).select("page_id", "body")
 
 
 # Every 7th page carries one of the four block notices.

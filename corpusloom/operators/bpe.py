@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from corpusloom import settings
 from corpusloom.functions.text import with_nfc
+from corpusloom.operators.rows import explode_items
 from corpusloom.session import cut_lineage
 
 _FIRST = 0x100  # character of id 0; ids stay below the surrogate block
@@ -108,9 +109,7 @@ def word_counts(docs: DataFrame, by: list[str] | None = None, text: str = "text"
     """Frequency of every pre-token of the NFC text; frequent words collapse
     before the shuffle."""
     keys = by or []
-    words = with_nfc(docs.select(*keys, text), text, "__nfc").select(
-        *keys, F.explode(pieces(F.col("__nfc"))).alias("word")
-    )
+    words = explode_items(with_nfc(docs.select(*keys, text), text, "__nfc"), keys, pieces(F.col("__nfc")), "word")
     return words.groupBy(*keys, "word").agg(F.count("*").alias("freq"))
 
 
@@ -122,8 +121,8 @@ def symbols(word: Column) -> Column:
 
 def pair_counts(state: DataFrame) -> DataFrame:
     """``(pair, freq)`` of adjacent symbols over ``state(symbols, freq)``."""
-    pairs = F.explode(F.regexp_extract_all("symbols", F.lit("(?s)(?=(..))"), F.lit(1)))
-    return state.select("freq", pairs.alias("pair")).groupBy("pair").agg(F.sum("freq").alias("freq"))
+    pairs = F.regexp_extract_all("symbols", F.lit("(?s)(?=(..))"), F.lit(1))
+    return explode_items(state, ["freq"], pairs, "pair").groupBy("pair").agg(F.sum("freq").alias("freq"))
 
 
 def _batch(ranked: list[str], known: Container[bytes], raw: list[bytes]) -> list[str]:

@@ -23,6 +23,7 @@ from corpusloom import settings
 from corpusloom.functions.text import digest, python_round, split_paragraphs, strip, with_nfc
 from corpusloom.operators.firsts import first_order, first_rows
 from corpusloom.operators.order import source_of
+from corpusloom.operators.rows import keep
 
 KEPT, EMPTY, SHORT, RAW_DUPLICATE, FINAL_DUPLICATE = (
     "kept", "empty", "short", "raw_duplicate", "final_duplicate",
@@ -128,7 +129,7 @@ def deduplicate(docs: DataFrame, *, separator: str = "\n\n",
         written.join(removals, "ord", "left")
         .withColumn("clean", F.when(F.col("removed").isNotNull(), cleaned))
     )
-    candidates = joined.filter(F.length("clean") >= min_document).select("ord", "clean")
+    candidates = keep(joined.select("ord", "clean"), F.length("clean") >= min_document)
     winners = first_order(
         with_nfc(candidates, "clean", "nfc").select("ord", digest(F.col("nfc")).alias("final_hash")),
         ["final_hash"],
@@ -153,7 +154,7 @@ def deduplicate(docs: DataFrame, *, separator: str = "\n\n",
 
 
 def kept_texts(decided: DataFrame) -> DataFrame:
-    return decided.filter(F.col("status") == KEPT).select("ord", "text")
+    return keep(decided, F.col("status") == KEPT).select("ord", "text")
 
 
 def _rate(removed: Column, original: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import settings
 from corpusloom.functions.text import let
+from corpusloom.operators.rows import explode_items
 from corpusloom.operators.selection import with_rank
 
 
@@ -42,7 +43,7 @@ def pack_blocks(rows: DataFrame, length: int = settings.BLOCK_LENGTH,
         F.flatten(F.transform(ordered, lambda r: r["input_ids"])).alias("tokens")
     )
     return (
-        batches.select(*keys, F.posexplode(cut_blocks(F.col("tokens"), length)).alias("block", "input_ids"))
+        explode_items(batches, keys, cut_blocks(F.col("tokens"), length), "input_ids", "block")
         .withColumn("labels", F.col("input_ids"))
     )
 

@@ -14,6 +14,7 @@ from corpusloom.functions.verse import (
 )
 from corpusloom.operators.joins import not_yet_done, salted_join
 from corpusloom.operators.order import sort_hex
+from corpusloom.operators.rows import explode_items, keep
 from corpusloom.operators.selection import smallest
 
 
@@ -63,9 +64,10 @@ def listing_items(page: DataFrame, html: str = "html") -> DataFrame:
     start = r"""(?i)^<div\b[^>]*\sclass\s*=\s*"list-item"[^>]*>"""
     link = r"""(?is)<h4\b[^>]*\sclass\s*=\s*"list-item-header"[^>]*>\s*<a\b([^>]*)>(.*?)</a>"""
     by = r"""(?is)<a\b[^>]*\shref\s*=\s*"[^"]*/author-[^"]*"[^>]*>(.*?)</a>"""
-    items = page.withColumn("__items", tag_blocks(F.col(html), "div", start)).select(
-        *[c for c in page.columns if c != html], F.posexplode("__items").alias("item_ord", "__item")
-    ).filter(F.col("__item").rlike(link))
+    others = [c for c in page.columns if c != html]
+    items = explode_items(page, others, tag_blocks(F.col(html), "div", start), "__item", "item_ord").filter(
+        F.col("__item").rlike(link)
+    )
     items = items.withColumn("__title", F.regexp_extract("__item", link, 2)).withColumn(
         "url", F.regexp_extract(F.regexp_extract("__item", link, 1), r"""(?i)\shref\s*=\s*"([^"]*)\"""", 1)
     ).withColumn("__author", F.regexp_extract("__item", by, 1))
@@ -73,7 +75,7 @@ def listing_items(page: DataFrame, html: str = "html") -> DataFrame:
         items = items.withColumn(name, F.regexp_replace(name, r"<[^>]*>", ""))
         items = with_unescaped(items, name)
     items = with_unescaped(items, "url")
-    return items.filter(F.col("url") != "").withColumn("title", strip(F.col("__title"))).withColumn(
+    return keep(items, F.col("url") != "").withColumn("title", strip(F.col("__title"))).withColumn(
         "author", author_or_unknown(F.col("__author"))
     ).drop("__item", "__title", "__author")
 
@@ -133,7 +135,8 @@ def verse_pages(pages: DataFrame, meta: DataFrame, tag: str = "div", content: st
     Pages without the content container yield no poem.
     """
     rows = readable_pages(pages, settings.BLOCKED_PAGE_MARKERS)
-    rows = rows.withColumn("__body", first_container(F.col("html"), tag, content)).filter("__body is not null")
+    rows = rows.withColumn("__body", first_container(F.col("html"), tag, content))
+    rows = keep(rows, F.col("__body").isNotNull())
     if note is None:
         rows = rows.withColumn("source", F.lit(""))
     else:
@@ -145,7 +148,5 @@ def verse_pages(pages: DataFrame, meta: DataFrame, tag: str = "div", content: st
         F.coalesce("author", F.lit(settings.UNKNOWN_AUTHOR)).alias("author"),
     )
     rows = salted_join(rows, defaults, "url")
-    return rows.select(
-        "url", "source", "author",
-        F.posexplode(poems_of_page(F.col("__body"), F.col("__title"))).alias("piece", "__poem"),
-    ).select("__poem.title", "__poem.content", "source", "url", "author", "piece")
+    poems = poems_of_page(F.col("__body"), F.col("__title"))
+    return explode_items(rows, ["url", "source", "author"], poems, "__poem", "piece").select("__poem.title", "__poem.content", "source", "url", "author", "piece")

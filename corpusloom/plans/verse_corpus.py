@@ -9,11 +9,12 @@ from corpusloom import settings
 from corpusloom.functions.text import strip, with_nfc, with_unescaped, word_count
 from corpusloom.functions.verse import clean_source_note, stanza_lines, with_plain_verse
 from corpusloom.operators.firsts import first_order
+from corpusloom.operators.rows import explode_items, keep
 
 
 def clean_pages(pages: DataFrame) -> DataFrame:
     """Plain content, source note and title; rows without content are dropped."""
-    rows = with_plain_verse(pages, "content").filter(F.col("content") != "")
+    rows = keep(with_plain_verse(pages, "content"), F.col("content") != "")
     rows = with_unescaped(rows.withColumn("title", F.coalesce("title", F.lit(""))), "title")
     return rows.withColumn("source", clean_source_note(F.col("source"))).withColumn(
         "title", strip(F.col("title"))
@@ -27,12 +28,12 @@ def valid_stanzas(pages: DataFrame, lines: int = settings.VERSE_LINES,
     Line count is checked before normalization, so only plausible stanzas
     reach Python.
     """
-    stanzas = pages.select("ord", F.posexplode(stanza_lines(F.col(content))).alias("stanza_ord", "__lines"))
+    stanzas = explode_items(pages, ["ord"], stanza_lines(F.col(content)), "__lines", "stanza_ord")
     shaped = stanzas.filter(F.size("__lines") == lines).select(
         "ord", "stanza_ord", F.array_join("__lines", "\n").alias("text")
     )
-    return with_nfc(shaped, "text").filter(
-        F.forall(F.split("text", "\n"), lambda line: word_count(line) == words)
+    return keep(
+        with_nfc(shaped, "text"), F.forall(F.split("text", "\n"), lambda line: word_count(line) == words)
     )
 
 

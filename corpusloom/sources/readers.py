@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from corpusloom.functions.text import strip
 from corpusloom.operators.order import FILE_ROW_BITS, MAX_FILES, MAX_SOURCES, order_key
+from corpusloom.operators.rows import keep
 
 log = logging.getLogger(__name__)
 FILES_PER_LOOKUP = 50_000  # file ordinals in one broadcast lookup
@@ -112,7 +113,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def valid_rows(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(~F.col("malformed")).drop("malformed")
+    return keep(parsed, ~F.col("malformed")).drop("malformed")
 
 
 def read_counts(parsed: DataFrame) -> DataFrame:
