@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import settings
-from corpusloom.functions.text import let
 from corpusloom.operators.rows import explode_items
 from corpusloom.operators.selection import with_rank
 
@@ -97,7 +96,5 @@ def padded_samples(rows: DataFrame, prefix_length: int, eos: int, pad: int,
 
 def code_points(text: Column) -> Column:
     """Text as an array of its code points, a vocabulary-free token form."""
-    return let(
-        F.filter(F.split(text, ""), lambda ch: ch != ""),
-        lambda chars: F.transform(chars, lambda ch: F.ascii(ch)),
-    )
+    points = F.transform(F.split(text, ""), lambda ch: F.ascii(ch))
+    return F.when(text == "", F.array().cast("array<int>")).otherwise(points)
