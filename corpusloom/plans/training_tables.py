@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom import settings
-from corpusloom.functions.text import with_nfc
+from corpusloom.functions.text import format_size, with_nfc
 from corpusloom.operators.bpe import SPECIAL_ID, Vocabulary, with_token_ids
 from corpusloom.operators.mixture import split_mixture, weighted_mixture
 from corpusloom.operators.order import shuffle_key
-from corpusloom.operators.packing import pack_blocks, padded_samples, with_batches
+from corpusloom.operators.packing import (
+    block_totals, budget_plan, pack_blocks, padded_samples, with_batches,
+)
+from corpusloom.operators.pages import first_rows_of_source
 from corpusloom.operators.selection import split_by_key
+from corpusloom.schemas import TEXT
+from corpusloom.sources.readers import read_corpora, table_stats
+from corpusloom.sources.writers import write_parquet
 
 
 def packed_corpus(docs: DataFrame, vocab: Vocabulary, weights: dict[str, int],
@@ -45,3 +53,29 @@ def verse_samples(stanzas: DataFrame, vocab: Vocabulary, prefix: str = settings.
     samples = padded_samples(with_token_ids(whole, vocab), prefix_length, SPECIAL_ID, SPECIAL_ID, length)
     key = shuffle_key(seed, F.col("ord"), F.col("stanza_ord"))
     return split_by_key(samples, key, ratio)
+
+
+def cap_source(spark: SparkSession, path: str, out: str, cap: int = settings.SOURCE_ROW_CAP) -> DataFrame:
+    """Write the first ``cap`` rows of a Parquet source and return rows and size."""
+    rows = first_rows_of_source(read_corpora(spark, [("source", path)]), cap)
+    write_parquet(rows.select("text"), out)
+    stats = table_stats(spark.read.parquet(out))
+    return stats.select("rows", format_size(F.col("bytes")).alias("size"))
+
+
+def build_packed_corpus(spark: SparkSession, sources: Sequence[tuple[str, str]], out: str, vocab: Vocabulary,
+                        weights: dict[str, int], length: int = settings.BLOCK_LENGTH) -> DataFrame:
+    """Write the first-stage table by split; return block totals and budget plan."""
+    blocks = packed_corpus(read_corpora(spark, sources), vocab, weights, length)
+    blocks.write.mode("overwrite").partitionBy("split").parquet(out)
+    totals = block_totals(spark.read.parquet(out), length)
+    return budget_plan(totals, length=length)
+
+
+def build_verse_samples(spark: SparkSession, jsonl_path: str, out: str, vocab: Vocabulary) -> DataFrame:
+    """Write the second-stage table by split; return rows per split."""
+    stanzas = spark.read.schema(TEXT).json(jsonl_path).select(
+        F.sha2("text", 256).alias("ord"), F.lit(0).alias("stanza_ord"), "text"
+    )
+    verse_samples(stanzas, vocab).write.mode("overwrite").partitionBy("split").parquet(out)
+    return spark.read.parquet(out).groupBy("split").agg(F.count("*").alias("rows"))

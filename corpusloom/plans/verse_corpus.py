@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom import settings
@@ -10,6 +10,8 @@ from corpusloom.functions.text import strip, with_nfc, with_unescaped, word_coun
 from corpusloom.functions.verse import clean_source_note, stanza_lines, with_plain_verse
 from corpusloom.operators.firsts import first_order
 from corpusloom.operators.rows import explode_items, keep
+from corpusloom.sources.readers import read_csv
+from corpusloom.sources.writers import write_jsonl
 
 
 def clean_pages(pages: DataFrame) -> DataFrame:
@@ -47,3 +49,15 @@ def distinct_stanzas(stanzas: DataFrame) -> DataFrame:
 def verse_corpus(pages: DataFrame, lines: int = settings.VERSE_LINES,
                  words: int = settings.VERSE_WORDS_PER_LINE) -> DataFrame:
     return distinct_stanzas(valid_stanzas(clean_pages(pages), lines, words))
+
+
+def build_verse_corpus(spark: SparkSession, csv_path: str, jsonl_path: str) -> DataFrame:
+    """Poem pages in CSV to JSON lines of distinct stanzas; returns their count.
+
+    A CSV scan has no row numbers, so URL and place in the page give the order;
+    which copy of a stanza is first has no influence on its text.
+    """
+    columns = {"title": "", "content": None, "source": None, "url": "", "author": settings.UNKNOWN_AUTHOR}
+    pages = read_csv(spark, csv_path, columns).withColumn("ord", F.coalesce("url", F.lit("")))
+    write_jsonl(verse_corpus(pages).orderBy("ord", "stanza_ord").select("text"), jsonl_path)
+    return spark.read.schema("text string").json(jsonl_path).agg(F.count("*").alias("stanzas"))

@@ -10,6 +10,9 @@ from corpusloom import schemas
 from corpusloom.operators.bpe import Vocabulary
 from corpusloom.operators.order import source_of
 from corpusloom.plans.corpus_dedup import build_dedup_corpus
+from corpusloom.plans.training_tables import build_packed_corpus, build_verse_samples, cap_source
+from corpusloom.plans.verse_corpus import build_verse_corpus
+from corpusloom.plans.vocabulary import build_vocabulary, load_vocabulary
 from corpusloom.plans.wiki_corpus import build_wiki_corpus
 from corpusloom.session import cut_lineage, shared_folder
 from corpusloom.sources import readers, writers
@@ -104,3 +107,29 @@ def test_dedup_job(spark, tmp_path):
     assert report["token_audit"]["budget_gap_or_surplus"] == 26 + 32 + 78 - 1000
     kept = spark.read.schema("text string, source string").parquet(f"{out}/corpus")
     assert sorted((r["source"], r["text"]) for r in kept.collect()) == [("a", texts[0]), ("a", texts[1]), ("b", "words of the second source")]
+
+
+def test_vocabulary_training_and_verse_jobs(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    texts = [f"the cat and the hat number {i}" for i in range(60)]
+    spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1).write.parquet(raw)
+    report = build_vocabulary(spark, [("raw", raw)], str(tmp_path / "vocab"), 257 + 12)
+    assert report.first()["broken"] == 0
+    vocab = load_vocabulary(spark, str(tmp_path / "vocab"))
+    assert len(vocab.merges) == 12 and vocab.tokens()[257:] == [
+        r["merged"] for r in spark.read.parquet(str(tmp_path / "vocab" / "merges")).orderBy("rank").collect()]
+
+    capped = cap_source(spark, raw, str(tmp_path / "cap"), 45).first()
+    assert capped["rows"] == 45 and capped["size"].endswith("B")
+    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "cap")).collect()) == sorted(texts[:45])
+
+    plan = build_packed_corpus(spark, [("raw", raw)], str(tmp_path / "blocks"), vocab, {"raw": 2}, 32).first()
+    blocks = spark.read.parquet(str(tmp_path / "blocks"))
+    assert plan["corpus_tokens"] == 32 * blocks.count() and {r[0] for r in blocks.select("split").distinct().collect()} == {"train", "test"}
+
+    page = tmp_path / "pages.csv"
+    stanza = "<br/>".join(["a b c d e"] * 4)
+    page.write_text(f'title,content,source,url,author\nt,"<p>{stanza}</p>",s,u1,x\nt,"{stanza}\n\nno",s,u2,x\n', encoding="utf-8-sig")
+    assert build_verse_corpus(spark, str(page), str(tmp_path / "verse")).first()["stanzas"] == 1
+    rows = build_verse_samples(spark, str(tmp_path / "verse"), str(tmp_path / "samples"), vocab).collect()
+    assert [(r["split"], r["rows"]) for r in rows] == [("test", 1)]
