@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import exact_dedup, license_scan, pii, sharding
+from corpusloom.llm import (
+    exact_dedup,
+    fingerprints,
+    jaccard_join,
+    language_model,
+    license_scan,
+    mixing,
+    packing,
+    pii,
+    sharding,
+    toxicity,
+)
 from corpusloom.llm.tables import documents
 
 
@@ -14,14 +25,25 @@ def over_documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[Spar
     return lambda spark, folder: operator(documents(spark, folder))
 
 
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.op4(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 QUERIES = {
     "op1_pii": over_documents(pii.op1),
     "op2_exact_dedup": over_documents(exact_dedup.op2),
+    "op3_lm_scoring": over_documents(language_model.op3),
+    "op4_toxicity": op4,
     "op5_license_scan": over_documents(license_scan.op5),
+    "op6_mixing": over_documents(mixing.op6),
+    "op7_packing": over_documents(packing.op7),
+    "op8_fingerprints": over_documents(fingerprints.op8),
     "op9_sharding": over_documents(sharding.op9),
+    "op10_jaccard_join": over_documents(jaccard_join.op10),
 }
 ORACLES = {
     "op1_pii": pii.SQL,
     "op2_exact_dedup": exact_dedup.SQL,
     "op5_license_scan": license_scan.SQL,
+    "op6_mixing": mixing.SQL,
 }

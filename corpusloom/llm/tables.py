@@ -28,29 +28,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_places(df: DataFrame, group: list[Column | str], order: Column, rows: int,
-                place: str, ties: tuple[str, ...] = ()) -> DataFrame:
-    """Add ``place``: the row's number, from 0, in its group by an evenly spread
-    LONG ``order``.
-
-    A group may hold any part of all rows, so it is dealt to cells of the hash
-    (``rows``, the number of all rows, decides how many) and numbered per cell;
-    the sizes of earlier cells, one row per cell, are added.
+def uniform(seed: int, *parts: Column | str) -> Column:
+    """A pseudo-random LONG in [0, 2^60) from the values; null counts as a value."""
+    texts = [F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("null")) for p in parts]
+    return F.conv(F.substring(F.md5(F.concat_ws("#", F.lit(str(seed)), *texts).cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def with_places(df: DataFrame, group: list[Column | str], order: Column, rows: int, place: str) -> DataFrame:
+    """Add ``place``: the row's number, from 0, in its group by ``order``, a
+    ``uniform`` LONG.
+
+    A group may hold any part of all rows, so it is dealt to cells, which are
+    ranges of the hash (``rows``, the number of all rows, decides how many), and
+    numbered per cell; the sizes of earlier cells, one row per cell, are added.
     """
     cells = max(1, -(-rows // CELL_ROWS))
     keys = [f"__g{i}" for i in range(len(group))]
     dealt = df.select(
         "*", *[(F.col(g) if isinstance(g, str) else g).alias(k) for g, k in zip(group, keys)],
         order.alias("__order"),
-    ).withColumn("__cell", F.pmod("__order", F.lit(cells)))
-    within = Window.partitionBy(*keys, "__cell").orderBy("__order", *ties)
+    ).withColumn("__cell", F.shiftright(F.shiftright("__order", 30) * cells, 30))
+    within = Window.partitionBy(*keys, "__cell").orderBy("__order")
     before = Window.partitionBy(*keys).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
     sizes = dealt.groupBy(*keys, "__cell").agg(F.count("*").alias("__n")).select(
         *keys, "__cell", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     numbered = dealt.withColumn("__inner", F.row_number().over(within))
-    same = [numbered[k].eqNullSafe(sizes[k]) for k in [*keys, "__cell"]]
-    condition = same[0]
-    for more in same[1:]:
-        condition &= more
-    return numbered.join(sizes, condition).select(
-        *[numbered[c] for c in df.columns], (F.col("__before") + F.col("__inner") - 1).alias(place))
+    return numbered.join(sizes, [*keys, "__cell"]).select(
+        *df.columns, (F.col("__before") + F.col("__inner") - 1).alias(place))
