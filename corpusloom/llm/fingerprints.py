@@ -210,15 +210,15 @@ def corpus_rarity(docs: DataFrame) -> np.ndarray:
     return rarity(counts)
 
 
-LEAST = -(2**63)
+LEAST = -(2**62)  # stands for a null id
 
 
 def with_next(docs: DataFrame, rows: int) -> DataFrame:
     """Documents in ranges of ``doc_id``, each range sorted and followed by the
     first document of the next one (``tail``); after the last comes the first."""
-    ids = stored(docs.select(F.coalesce("doc_id", F.lit(LEAST).cast("long")).alias("id")).repartitionByRange(
+    ids = stored(docs.select(F.coalesce("doc_id", F.lit(LEAST)).alias("id")).repartitionByRange(
         max(1, min(MAX_RANGES, rows // RANGE_ROWS)), "id").select("id", F.spark_partition_id().alias("part")), "ids")
-    firsts = np.array(sorted(r[0] for r in ids.groupBy("part").agg(F.min("id")).collect()), dtype=np.int64)
+    firsts = np.array(sorted(r[1] for r in ids.groupBy("part").agg(F.min("id")).collect()), dtype=np.int64)
 
     @F.pandas_udf("int")
     def range_of(id_: pd.Series) -> pd.Series:
@@ -229,7 +229,7 @@ def with_next(docs: DataFrame, rows: int) -> DataFrame:
         return id_.isin(firsts)
 
     whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
-        "__id", F.coalesce("doc_id", F.lit(LEAST).cast("long")))
+        "__id", F.coalesce("doc_id", F.lit(LEAST)))
     ranged = whole.withColumn("__range", range_of("__id")).withColumn("__opens", opens("__id"))
     before = F.pmod(F.col("__range") - 1, F.lit(len(firsts)))
     places = F.when(F.col("__opens"), F.array(
