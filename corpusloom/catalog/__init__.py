@@ -4,7 +4,7 @@ from importlib import import_module
 
 MODULES = [
     "dedup_queries", "wiki_queries", "page_queries", "verse_queries", "token_queries",
-    "training_queries", "source_queries",
+    "training_queries", "source_queries", "job_queries",
 ]
 
 

@@ -11,7 +11,6 @@ from corpusloom.functions.verse import first_container, total_pages
 from corpusloom.operators import pages as P
 from corpusloom.operators.joins import not_yet_done
 from corpusloom.operators.rows import keep
-from corpusloom.sources.readers import fill_cores
 
 
 @query("page_extract", r"""SELECT page_id, regexp_extract(html, '(?s)<article[^>]*>.*?</article>') AS body FROM pages
@@ -247,5 +246,4 @@ def verse_pages(spark, folder):
         F.when(n % 13 == 0, F.lit(settings.BLOCKED_PAGE_MARKERS[0])).otherwise(""), F.lit("</html>"),
     )
     html = pages.join(poems, n == F.col("doc_id")).select("url", body.alias("html"))
-    html = fill_cores(html, "url")
     return P.verse_pages(html, meta)

@@ -11,7 +11,7 @@ from corpusloom.catalog.registry import documents, query, table
 from corpusloom.functions.text import format_size
 from corpusloom.session import shared_folder
 from corpusloom.sources import readers, writers
-from corpusloom.streaming.ingest import ingest
+from corpusloom.streaming.ingest import UnsafeResume, ingest, ingest_counts
 
 
 def _fresh(spark, name: str) -> str:
@@ -109,17 +109,56 @@ def size_format(spark, folder):
     return documents(spark, folder, "doc_id", "n_chars").select("doc_id", format_size(n).alias("size"))
 
 
-@query("ingest_stream", """SELECT doc_id AS id, source AS title, text, 'u' || doc_id AS url FROM documents""")
-def ingest_stream(spark, folder):
+def _ingested(spark, folder):
     """The documents arrive as JSON lines in three overlapping deliveries; the
-    stream runs after each and stores every key once."""
+    stream runs after each and stores every key once, as delivered first.
+
+    Every seventh record lacks its text in the first two deliveries; the third
+    brings it, next to a cut line for every fifth and a record without an id for
+    every eleventh document.
+    """
     n = F.col("doc_id")
-    records = documents(spark, folder, "doc_id").select(
-        n.alias("id"), F.col("source").alias("title"), "text", F.concat(F.lit("u"), n.cast("string")).alias("url")
-    )
+
+    def records(number):
+        bare = (n % 7 == 0) & F.lit(number < 3)
+        return documents(spark, folder, "doc_id").select(
+            n.alias("id"), F.concat("source", F.lit(f" {number}")).alias("title"),
+            F.when(~bare, F.col("text")).alias("text"), F.concat(F.lit("u"), n.cast("string")).alias("url"))
+
     source, sink, state = _fresh(spark, "in"), _fresh(spark, "sink"), _fresh(spark, "state")
     third = F.col("id") % 3
-    for delivery in (records.filter(third != 0), records.filter(third != 1), records):
-        delivery.write.mode("append").json(source)
-        ingest(spark, source, sink, state, schemas.ARTICLE, "id").awaitTermination()
-    return spark.read.parquet(sink).drop("batch")
+    for number, part in ((1, third != 0), (2, third != 1), (3, F.lit(True))):
+        records(number).filter(part).select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(source)
+        if number == 3:
+            docs = documents(spark, folder, "doc_id")
+            cut = docs.filter(n % 5 == 0).select(F.concat(F.lit('{"id": '), n.cast("string"), F.lit(', "text": "cut')).alias("value"))
+            nameless = docs.filter(n % 11 == 0).select(F.to_json(F.struct("text")).alias("value"))
+            cut.unionByName(nameless).write.mode("append").text(source)
+        ingest(spark, source, sink, state, schemas.ARTICLE, "id", "text").awaitTermination()
+    return source, sink
+
+
+@query("ingest_stream", """SELECT doc_id AS id, source || CASE WHEN doc_id % 7 = 0 THEN ' 3' WHEN doc_id % 3 = 0 THEN ' 2' ELSE ' 1' END AS title,
+  text, 'u' || doc_id AS url FROM documents""")
+def ingest_stream(spark, folder):
+    return spark.read.parquet(_ingested(spark, folder)[1]).drop("batch")
+
+
+@query("ingest_rejected", """SELECT 'stored' AS outcome, count(*) AS lines FROM documents
+UNION ALL SELECT 'malformed', count(*) FROM documents WHERE doc_id % 5 = 0
+UNION ALL SELECT 'no key', count(*) FROM documents WHERE doc_id % 11 = 0
+UNION ALL SELECT 'no content', count(*) FILTER (doc_id % 3 <> 0) + count(*) FILTER (doc_id % 3 <> 1) FROM documents WHERE doc_id % 7 = 0""")
+def ingest_rejected(spark, folder):
+    return ingest_counts(spark, _ingested(spark, folder)[1])
+
+
+@query("ingest_refused", "SELECT count(*) AS rows, true AS refused FROM documents")
+def ingest_refused(spark, folder):
+    """A sink whose checkpoint is lost is left alone."""
+    source, sink = _ingested(spark, folder)
+    try:
+        ingest(spark, source, sink, _fresh(spark, "lost"), schemas.ARTICLE, "id", "text")
+        refused = False
+    except UnsafeResume:
+        refused = True
+    return spark.read.parquet(sink).agg(F.count("*").alias("rows"), F.lit(refused).alias("refused"))

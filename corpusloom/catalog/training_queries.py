@@ -21,8 +21,8 @@ from corpusloom.operators.packing import (
 from corpusloom.operators.selection import split_by_key
 from corpusloom.plans.training_tables import packed_corpus, verse_samples
 
-RATIO = 0.1
-BATCH_ROWS = 64
+RATIO = settings.EVAL_RATIO
+BATCH_ROWS = settings.MAP_BATCH_ROWS
 EOS = 0
 
 _ORD = f"(CAST(so AS BIGINT) * {1 << ROW_BITS} + doc_id)"

@@ -1,8 +1,9 @@
 """Nested, delimited regions of a text, found without Python.
 
 A text is cut at its delimiters.  One fold over the delimiters carries the
-nesting depth and writes one mark per delimiter; the text between them never
-enters the fold, so cost stays linear in the text.
+nesting depth and writes one mark per delimiter, in chunks, because appending
+copies what is there; the text between them never enters the fold.  Regions do
+not overlap, so the closer of a region is found by counting closers.
 
 Marks: ``0`` a closer outside every region (kept), ``x`` the same but dropped,
 ``1`` opens an outermost region, ``2`` lies inside one, ``3`` closes one.
@@ -15,36 +16,44 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusloom.functions.arrays import running_sum
 from corpusloom.functions.text import let
 
+MARKS = 256  # marks of a chunk
+
 
 def _marks(delimiters: Column, opens: Callable[[Column, Column], Column],
            closes: Callable[[Column], Column], stray: str) -> Column:
     """Mark string for the delimiters; ``opens`` sees delimiter and depth."""
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("marks"))
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("marks"), F.array().cast("array<string>").alias("done"))
 
     def step(state: Column, d: Column) -> Column:
-        depth, marks = state["depth"], state["marks"]
+        depth = state["depth"]
         top = depth == 0
+        full = F.length(state["marks"]) >= MARKS
+        done = F.when(full, F.concat(state["done"], F.array(state["marks"]))).otherwise(state["done"])
+        marks = F.when(full, "").otherwise(state["marks"])
 
         def to(new_depth: Column, mark: Column) -> Column:
-            return F.struct(new_depth.alias("depth"), F.concat(marks, mark).alias("marks"))
+            return F.struct(new_depth.alias("depth"), mark.alias("mark"))
 
-        return (
+        moved = (
             F.when(opens(d, depth), to(depth + 1, F.when(top, "1").otherwise("2")))
             .when(~top & closes(d), to(depth - 1, F.when(depth == 1, "3").otherwise("2")))
             .otherwise(to(depth, F.when(top, stray).otherwise("2")))
         )
+        return let(moved, lambda m: F.struct(
+            m["depth"].alias("depth"), F.concat(marks, m["mark"]).alias("marks"), done.alias("done")))
 
-    return F.aggregate(delimiters, start, step, lambda s: s["marks"])
+    return F.aggregate(delimiters, start, step, lambda s: F.concat(F.array_join(s["done"], ""), s["marks"]))
 
 
 class _Cut:
     """A text cut at its delimiters, with everything bound once."""
 
     def __init__(self, cut: Column):
-        self.delimiters, self.texts, self.marks, self.flags = (
-            cut["delimiters"], cut["texts"], cut["marks"], cut["flags"]
+        self.delimiters, self.texts, self.flags, self.closers, self.closed = (
+            cut["delimiters"], cut["texts"], cut["flags"], cut["closers"], cut["closed"]
         )
 
     def flag(self, i: Column) -> Column:
@@ -55,7 +64,7 @@ class _Cut:
 
     def close_of(self, i: Column) -> Column:
         """1-based place of the delimiter closing the region opened at ``i``, or 0."""
-        return F.position(F.lit("3"), self.marks, i + 2)
+        return F.coalesce(F.get(self.closers, F.get(self.closed, i)), F.lit(0))
 
     def inner(self, i: Column, close: Column) -> Column:
         """Text between the delimiter at ``i`` and the 1-based place ``close``."""
@@ -77,16 +86,19 @@ def _cut(text: Column, pattern: str, opens, closes, stray: str, body: Callable[[
     delimiters = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
     def with_marks(ds: Column) -> Column:
-        return let(
-            _marks(ds, opens, closes, stray),
-            lambda marks: let(
+        def with_flags(flags: Column) -> Column:
+            # Places of the closers, and how many of them there are up to each delimiter.
+            closers = F.filter(F.transform(flags, lambda f, i: F.when(f == "3", i + 1)), lambda i: i.isNotNull())
+            closed = running_sum(F.transform(flags, lambda f: F.when(f == "3", 1).otherwise(0)))
+            return let(
                 F.struct(
                     ds.alias("delimiters"), F.split(text, pattern, -1).alias("texts"),
-                    marks.alias("marks"), F.split(marks, "").alias("flags"),
+                    flags.alias("flags"), closers.alias("closers"), closed.alias("closed"),
                 ),
                 lambda cut: body(_Cut(cut)),
-            ),
-        )
+            )
+
+        return let(F.split(_marks(ds, opens, closes, stray), ""), with_flags)
 
     return let(delimiters, with_marks)
 

@@ -110,7 +110,7 @@ def total_pages(page: Column) -> Column:
     stated = F.regexp_extract(page, r"(?U)tổng số (\d+) trang", 1)
     counter = F.regexp_extract(page, rf"(?U)Trang{WS}+\d+{WS}*/{WS}*(\d+)", 1)
     linked = F.regexp_extract_all(
-        page, F.lit(r"""(?i)<a\b[^>]*?\shref\s*=\s*"[^"]*?Page=(\d+)"""), F.lit(1)
+        page, F.lit(r"""(?i)<a\b[^>]*?\shref\s*=\s*(?:"[^"]*?|'[^']*?|[^\s"'>]*?)Page=(\d+)"""), F.lit(1)
     )
     return F.coalesce(
         F.nullif(stated, F.lit("")).cast("bigint"),

@@ -157,8 +157,8 @@ def _batch(ranked: list[str], known: Container[bytes], raw: list[bytes]) -> list
 def _changes(state: DataFrame) -> dict[str, int]:
     """Change of every pair count between ``previous`` and ``symbols``.
 
-    A merge changes only pairs next to its symbols, at most four per token of
-    the vocabulary, so the collected result is bounded by the vocabulary.
+    A merge changes only pairs next to its symbols: at most four pairs per
+    merge and symbol that stands there, which the vocabulary bounds.
     """
     both = F.array(
         F.struct(F.col("previous").alias("symbols"), (-F.col("freq")).alias("freq")),
@@ -259,13 +259,26 @@ def _word_encoder(vocab: Vocabulary):
     def encode(word: str) -> str:
         if word == special:
             return _symbol(SPECIAL_ID)
-        s = word.encode("utf-8").decode("latin-1").translate(table)
-        while len(s) > 1:
-            best = min((s[i:i + 2] for i in range(len(s) - 1)), key=lambda p: rank.get(p, (1 << 60,)))
-            if best not in rank:
-                break
-            s = s.replace(best, rank[best][1])
-        return s
+        parts: list[str | None] = list(word.encode("utf-8").decode("latin-1").translate(table))
+        after = [*range(1, len(parts)), -1]
+        before = list(range(-1, len(parts) - 1))
+        # The best pair first, the leftmost of equals; entries whose symbols changed are stale.
+        ready = [(rank[pair][0], i, pair) for i, pair in enumerate(map("".join, zip(parts, parts[1:]))) if pair in rank]
+        heapq.heapify(ready)
+        while ready:
+            _, i, pair = heapq.heappop(ready)
+            j = after[i]
+            if parts[i] is None or j < 0 or parts[i] + parts[j] != pair:
+                continue
+            parts[i], parts[j], after[i] = rank[pair][1], None, after[j]
+            if after[i] >= 0:
+                before[after[i]] = i
+            for left in (before[i], i):
+                if left >= 0 and after[left] >= 0:
+                    fresh = parts[left] + parts[after[left]]
+                    if fresh in rank:
+                        heapq.heappush(ready, (rank[fresh][0], left, fresh))
+        return "".join(p for p in parts if p is not None)
 
     return encode
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import settings
-from corpusloom.functions.text import digest, python_round, split_paragraphs, strip, with_nfc
+from corpusloom.functions.text import digest, let, python_round, split_paragraphs, strip, with_nfc
 from corpusloom.operators.firsts import first_order, first_rows
 from corpusloom.operators.order import source_of
 from corpusloom.operators.rows import keep
@@ -115,13 +115,13 @@ def deduplicate(docs: DataFrame, *, separator: str = "\n\n",
     prints = _fingerprints(written, separator, min_paragraph, paragraph_sources)
     removals = paragraph_removals(first_rows(prints, ["raw_hash"], ["ord"]))
 
-    by_paragraph = F.array_join(
-        F.filter(
-            split_paragraphs(F.col("text"), separator),
-            lambda _p, i: ~F.array_contains("removed", i),
-        ),
-        separator,
-    )
+    def without_removed(paragraphs: Column) -> Column:
+        # Set difference by hashing: a lookup per paragraph would be quadratic.
+        places = F.when(F.size(paragraphs) > 0, F.sequence(F.lit(0), F.size(paragraphs) - 1)).otherwise(
+            F.array().cast("array<int>"))
+        return F.transform(F.array_except(places, "removed"), lambda i: F.get(paragraphs, i))
+
+    by_paragraph = F.array_join(let(split_paragraphs(F.col("text"), separator), without_removed), separator)
     cleaned = F.when(_uses_paragraphs(F.col("ord"), paragraph_sources), strip(by_paragraph)).otherwise(
         strip(F.col("text"))
     )

@@ -1,46 +1,13 @@
-"""Equi-joins that stay balanced when one key holds a large share of a side."""
+"""Equi-joins by key; adaptive execution splits what a frequent key makes large."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 256
-HOT_SHARE = 0.001  # a key above this share of the left rows is salted
-
-
-def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
-                salts: int = SALTS, hot_share: float = HOT_SHARE) -> DataFrame:
-    """Join ``left`` with ``right`` (unique on ``key``) on ``key``.
-
-    ``freqItems`` finds every key above ``hot_share`` in one pass without a
-    shuffle and returns at most ``1 / hot_share`` keys, which bounds the
-    broadcast.  Rows of a hot key are spread over ``salts`` tasks and its one
-    right row is repeated for each of them.  Which keys are salted has no
-    influence on the result.
-    """
-    name = f"{key}_freqItems"
-    hot = (
-        left.select(key).filter(F.col(key).isNotNull()).freqItems([key], hot_share)
-        .select(F.explode(name).alias(key)).withColumn("__hot", F.lit(True))
-    )
-    # The partition number separates identical rows and, unlike a random number,
-    # is the same when a lost task is computed again.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(salts)).cast("int")
-    salted_left = left.join(F.broadcast(hot), key, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), spread).otherwise(0)
-    ).drop("__hot")
-    salted_right = right.join(F.broadcast(hot), key, "left").withColumn(
-        "__salt",
-        F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-    ).drop("__hot")
-    return salted_left.join(salted_right, [key, "__salt"], how).drop("__salt")
-
-
 def not_yet_done(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows of ``todo`` whose key is absent from ``done``; null keys stay."""
-    keys = done.select(key).filter(F.col(key).isNotNull()).distinct()
-    return salted_join(todo, keys, key, "left_anti")
+    return todo.join(done.select(key), key, "left_anti")
 
 
 def with_weights(counts: DataFrame, weights: dict[str, int], key: str = "source") -> DataFrame:

@@ -12,12 +12,12 @@ from corpusloom.operators.selection import split_by_key
 
 
 def weighted_mixture(docs: DataFrame, weights: dict[str, int], seed: int = settings.SEED) -> DataFrame:
-    """Every row of ``docs(source, ord, ...)`` ``weight`` times.
+    """Every row of ``docs(source, ord, ...)`` ``weight`` times, at least once.
 
     Adds ``replica`` (1..weight) and ``order_key``; sorting by ``order_key`` is
     the shuffle.  Narrow: replicas are made where the row is.
     """
-    replicas = F.explode(F.sequence(F.lit(1), F.col("weight")))
+    replicas = F.explode(F.sequence(F.lit(1), F.greatest(F.col("weight"), F.lit(1))))
     return (
         with_weights(docs, weights).withColumn("replica", replicas).drop("weight")
         .withColumn("order_key", shuffle_key(seed, F.col("ord"), F.col("replica")))

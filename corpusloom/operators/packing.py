@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom import settings
-from corpusloom.operators.rows import explode_items
 from corpusloom.operators.selection import with_rank
 
 
@@ -17,34 +16,35 @@ def with_batches(rows: DataFrame, batch_rows: int = settings.MAP_BATCH_ROWS,
     return ranked.withColumn("batch_id", F.floor(F.col("rank") / batch_rows))
 
 
-def cut_blocks(tokens: Column, length: int) -> Column:
-    """Consecutive blocks of ``length`` tokens; the tail is dropped unless it is
-    all there is; no tokens give no block."""
-    n = F.size(tokens)
-    used = F.when(n >= length, n - n % length).otherwise(n)
-    starts = F.sequence(F.lit(0), used - 1, F.lit(length))
-    # Blocks of whole length, or the single short one.
-    return F.when(
-        n > 0, F.transform(starts, lambda s: F.slice(tokens, s + 1, F.least(F.lit(length), used)))
-    ).otherwise(F.array().cast("array<array<int>>"))
-
-
 def pack_blocks(rows: DataFrame, length: int = settings.BLOCK_LENGTH,
                 within: list[str] | None = None) -> DataFrame:
-    """Concatenate ``input_ids`` inside each batch and cut blocks.
+    """Concatenate ``input_ids`` inside each batch and cut blocks of ``length``.
 
-    A batch is bounded by its row count, so one group stays small whatever the
-    size of the corpus.  ``labels`` equal ``input_ids``.
+    The tail of a batch is dropped unless it is all there is; no tokens give no
+    block.  Each row is cut at the block borders that its offset in the batch
+    decides, so a group gathers the tokens of one block and no more.  ``labels``
+    equal ``input_ids``.
     """
     keys = [*(within or []), "batch_id"]
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "input_ids")))
-    batches = rows.groupBy(*keys).agg(
-        F.flatten(F.transform(ordered, lambda r: r["input_ids"])).alias("tokens")
-    )
-    return (
-        explode_items(batches, keys, cut_blocks(F.col("tokens"), length), "input_ids", "block")
-        .withColumn("labels", F.col("input_ids"))
-    )
+    size = F.size("input_ids").cast("long")
+    batch = Window.partitionBy(*keys)
+    before = batch.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    sized = rows.select(*keys, "rank", "input_ids").filter(size > 0).withColumn(
+        "__start", F.coalesce(F.sum(size).over(before), F.lit(0))
+    ).withColumn("__total", F.sum(size).over(batch))
+    used = F.when(F.col("__total") >= length, F.col("__total") - F.col("__total") % length).otherwise(F.col("__total"))
+    first = F.floor(F.col("__start") / length)
+    last = F.floor((F.least(F.col("__start") + size, used) - 1) / length)
+    cut = sized.withColumn("__used", used).filter(F.col("__start") < F.col("__used")).withColumn(
+        "block", F.explode(F.sequence(first, last)))
+    begin = F.greatest(F.col("block") * length - F.col("__start"), F.lit(0))
+    end = F.least(F.col("block") * length + length, F.col("__used")) - F.col("__start")
+    parts = cut.select(*keys, F.col("block").cast("int").alias("block"), "rank",
+                       F.slice("input_ids", (begin + 1).cast("int"), (end - begin).cast("int")).alias("part"))
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "part")))
+    return parts.groupBy(*keys, "block").agg(
+        F.flatten(F.transform(ordered, lambda r: r["part"])).alias("input_ids")
+    ).withColumn("labels", F.col("input_ids"))
 
 
 def block_totals(blocks: DataFrame, length: int = settings.BLOCK_LENGTH) -> DataFrame:

@@ -12,7 +12,7 @@ from corpusloom.functions.urls import article_url, author_listing_url, listing_u
 from corpusloom.functions.verse import (
     break_tags, capped_pages, first_container, is_marked, poems_of_page, with_element_text,
 )
-from corpusloom.operators.joins import not_yet_done, salted_join
+from corpusloom.operators.joins import not_yet_done
 from corpusloom.operators.order import sort_hex
 from corpusloom.operators.rows import explode_items, keep
 from corpusloom.operators.selection import smallest
@@ -35,7 +35,7 @@ def page_content(contents: DataFrame) -> DataFrame:
 
 def articles(ids: DataFrame, contents: DataFrame) -> DataFrame:
     """``(id, title, text, url)`` of the wanted ids that have content."""
-    found = salted_join(ids.select("pageid"), page_content(contents), "pageid")
+    found = ids.select("pageid").join(page_content(contents), "pageid")
     return found.select(
         F.col("pageid").alias("id"), "title", F.col("content").alias("text"),
         article_url(F.col("title")).alias("url"),
@@ -59,17 +59,25 @@ def first_rows_of_source(rows: DataFrame, cap: int | None = settings.SOURCE_ROW_
     return rows if cap is None else smallest(rows, sort_hex(F.col("ord")), cap)
 
 
+def quoted(value: str) -> str:
+    """Pattern of an attribute value in double, single or no quotation marks."""
+    return rf"""(?:"{value}"|'{value}'|{value}(?=[\s>/]))"""
+
+
 def listing_items(page: DataFrame, html: str = "html") -> DataFrame:
     """``(..., item_ord, title, url, author)`` of every list item of a page."""
-    start = r"""(?i)^<div\b[^>]*\sclass\s*=\s*"list-item"[^>]*>"""
-    link = r"""(?is)<h4\b[^>]*\sclass\s*=\s*"list-item-header"[^>]*>\s*<a\b([^>]*)>(.*?)</a>"""
-    by = r"""(?is)<a\b[^>]*\shref\s*=\s*"[^"]*/author-[^"]*"[^>]*>(.*?)</a>"""
+    start = rf"""(?i)^<div\b[^>]*\sclass\s*=\s*{quoted("list-item")}[^>]*>"""
+    # The link is a child of the header; other children may stand before it.
+    sibling = r"(?:[^<]++|<(?!a\b|/h4\b)[^>]*+>)*+"
+    link = rf"""(?is)<h4\b[^>]*\sclass\s*=\s*{quoted("list-item-header")}[^>]*>{sibling}<a\b([^>]*)>(.*?)</a>"""
+    by = r"""(?is)<a\b[^>]*\shref\s*=\s*(?:"[^"]*/author-[^"]*"|'[^']*/author-[^']*'|[^\s"'>]*/author-[^\s>]*)[^>]*>(.*?)</a>"""
+    href = r"""(?i)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
     others = [c for c in page.columns if c != html]
     items = explode_items(page, others, tag_blocks(F.col(html), "div", start), "__item", "item_ord").filter(
         F.col("__item").rlike(link)
     )
     items = items.withColumn("__title", F.regexp_extract("__item", link, 2)).withColumn(
-        "url", F.regexp_extract(F.regexp_extract("__item", link, 1), r"""(?i)\shref\s*=\s*"([^"]*)\"""", 1)
+        "url", F.concat(*[F.regexp_extract(F.regexp_extract("__item", link, 1), href, n) for n in (1, 2, 3)])
     ).withColumn("__author", F.regexp_extract("__item", by, 1))
     for name in ("__title", "__author"):
         items = items.withColumn(name, F.regexp_replace(name, r"<[^>]*>", ""))
@@ -89,9 +97,15 @@ def known_authors(items: DataFrame) -> DataFrame:
     return items.filter(F.col("author") != settings.UNKNOWN_AUTHOR).select("author").distinct().orderBy("author")
 
 
+def page_numbers(total: Column) -> Column:
+    """1 to the capped total; none for a total of 0."""
+    last = capped_pages(total)
+    return F.when(last >= 1, F.sequence(F.lit(1).cast("bigint"), last)).otherwise(F.array().cast("array<bigint>"))
+
+
 def sort_frontier(listings: DataFrame) -> DataFrame:
     """URLs of ``listings(sort, order, total)``: pages 1 to the capped total."""
-    pages = F.explode(F.sequence(F.lit(1).cast("bigint"), capped_pages(F.col("total"))))
+    pages = F.explode(page_numbers(F.col("total")))
     return listings.select("sort", "order", pages.alias("page")).withColumn(
         "url", listing_url(F.col("sort"), F.col("order"), F.col("page"))
     )
@@ -99,7 +113,7 @@ def sort_frontier(listings: DataFrame) -> DataFrame:
 
 def author_frontier(listings: DataFrame) -> DataFrame:
     """URLs of ``listings(author, total)``: pages 1 to the capped total."""
-    pages = F.explode(F.sequence(F.lit(1).cast("bigint"), capped_pages(F.col("total"))))
+    pages = F.explode(page_numbers(F.col("total")))
     return listings.select("author", pages.alias("page")).withColumn(
         "url", author_listing_url(F.col("author"), F.col("page"))
     )
@@ -134,7 +148,12 @@ def verse_pages(pages: DataFrame, meta: DataFrame, tag: str = "div", content: st
 
     Pages without the content container yield no poem.
     """
-    rows = readable_pages(pages, settings.BLOCKED_PAGE_MARKERS)
+    defaults = meta.select(
+        "url", F.coalesce("title", F.lit("")).alias("__title"),
+        F.coalesce("author", F.lit(settings.UNKNOWN_AUTHOR)).alias("author"),
+    )
+    # Joined before the costly extraction, so only pages that count are read through.
+    rows = readable_pages(pages, settings.BLOCKED_PAGE_MARKERS).join(defaults, "url")
     rows = rows.withColumn("__body", first_container(F.col("html"), tag, content))
     rows = keep(rows, F.col("__body").isNotNull())
     if note is None:
@@ -143,10 +162,5 @@ def verse_pages(pages: DataFrame, meta: DataFrame, tag: str = "div", content: st
         rows = rows.withColumn("__note", first_container(F.col("html"), "div", note))
         rows = with_element_text(rows, "__note", "source").drop("__note")
     rows = rows.withColumn("__body", break_tags(F.col("__body"))).drop("html")
-    defaults = meta.select(
-        "url", F.coalesce("title", F.lit("")).alias("__title"),
-        F.coalesce("author", F.lit(settings.UNKNOWN_AUTHOR)).alias("author"),
-    )
-    rows = salted_join(rows, defaults, "url")
     poems = poems_of_page(F.col("__body"), F.col("__title"))
     return explode_items(rows, ["url", "source", "author"], poems, "__poem", "piece").select("__poem.title", "__poem.content", "source", "url", "author", "piece")

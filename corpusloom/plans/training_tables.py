@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom import settings
@@ -74,8 +74,13 @@ def build_packed_corpus(spark: SparkSession, sources: Sequence[tuple[str, str]],
 
 def build_verse_samples(spark: SparkSession, jsonl_path: str, out: str, vocab: Vocabulary) -> DataFrame:
     """Write the second-stage table by split; return rows per split."""
+    # A JSON scan has no row numbers: the n-th copy of a line in its file is told
+    # apart by n, so equal lines have places of their own whatever the splits.
+    copies = Window.partitionBy("path", "text").orderBy(F.lit(0))
     stanzas = spark.read.schema(TEXT).json(jsonl_path).select(
-        F.sha2("text", 256).alias("ord"), F.lit(0).alias("stanza_ord"), "text"
+        F.col("_metadata.file_path").alias("path"), "text"
+    ).withColumn("stanza_ord", F.row_number().over(copies)).select(
+        F.sha2(F.concat_ws("#", "path", "text"), 256).alias("ord"), "stanza_ord", "text"
     )
     verse_samples(stanzas, vocab).write.mode("overwrite").partitionBy("split").parquet(out)
     return spark.read.parquet(out).groupBy("split").agg(F.count("*").alias("rows"))

@@ -96,15 +96,21 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     """Rows of a JSON-lines file plus ``malformed`` (true where a line is not
     JSON); blank lines are no rows.  A value of an unexpected type becomes null
     without making its line malformed."""
+    return parse_lines(spark.read.text(path), schema)
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType, *keep_columns: str) -> DataFrame:
+    """``read_jsonl`` for the lines in column ``value``; ``keep_columns`` stay."""
     as_text = T.StructType(
         [T.StructField(f.name, f.dataType if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))
                        else T.StringType()) for f in schema]
         + [T.StructField(_CORRUPT, T.StringType())]
     )
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"}
-    lines = spark.read.text(path).filter(strip(F.col("value")) != "")
-    parsed = lines.select(F.from_json("value", as_text, options).alias("r"))
+    written = lines.filter(strip(F.col("value")) != "")
+    parsed = written.select(*keep_columns, F.from_json("value", as_text, options).alias("r"))
     return parsed.select(
+        *keep_columns,
         *[F.col(f"r.{f.name}").try_cast(f.dataType).alias(f.name)
           if not isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else F.col(f"r.{f.name}").alias(f.name)
           for f in schema],

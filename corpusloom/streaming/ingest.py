@@ -1,15 +1,37 @@
-"""Restartable, append-only ingest of page records."""
+"""Restartable, append-only ingest of page records.
+
+The keys that are stored live in the stream's state, so a batch never reads what
+earlier batches wrote.  On a cluster set the RocksDB state store
+(``spark.sql.streaming.stateStore.providerClass``) to keep them out of memory.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from corpusloom.sources.readers import parse_lines
+
+REJECTED = "rejected"  # folder beside the sink
+_DELIVERY = T.StructType([
+    T.StructField("__modified", T.TimestampType()), T.StructField("__file", T.StringType()),
+    T.StructField("__start", T.LongType()), T.StructField("__row", T.LongType()),
+])
 
-from corpusloom.operators.firsts import first_rows
-from corpusloom.operators.joins import not_yet_done
+
+@F.pandas_udf(T.LongType())
+def _place_in_task(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Numbers the rows of a task; a file's part is read in order."""
+    done = 0
+    for batch in column:
+        yield pd.Series(range(done, done + len(batch)), dtype="int64")
+        done += len(batch)
 
 
 class UnsafeResume(RuntimeError):
@@ -23,51 +45,82 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(files.exists(target))
 
 
-def stored(spark: SparkSession, sink: str, schema: T.StructType) -> DataFrame | None:
-    """Rows of the sink, or None before the first batch."""
-    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    try:
-        return spark.read.schema(with_batch).parquet(sink)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def rejected_path(sink: str) -> str:
+    return f"{sink}-{REJECTED}"
+
+
+def delivered(lines: DataFrame, schema: T.StructType, key: str, content: str | None) -> DataFrame:
+    """Parsed lines with their place of delivery, the raw line and ``reason``:
+    why a line is not stored, null if it can be."""
+    place = lines.select(
+        "value", F.col("_metadata.file_modification_time").alias("__modified"),
+        F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
+        _place_in_task("_metadata.file_block_start").alias("__row"),
+    )
+    parsed = parse_lines(place, schema, "value", *_DELIVERY.fieldNames())
+    reason = F.when(F.col("malformed"), "malformed").when(F.col(key).isNull(), "no key")
+    if content is not None:
+        reason = reason.when(F.coalesce(F.col(content), F.lit("")) == "", "no content")
+    return parsed.withColumn("reason", reason).drop("malformed")
 
 
-def append_new(batch: DataFrame, batch_id: int, sink: str, key: str, order: list[str],
-               schema: T.StructType) -> None:
-    """Write the rows of a micro-batch whose key the sink does not hold yet.
+def first_deliveries(rows: DataFrame, key: str) -> DataFrame:
+    """Of every key the row delivered first, once over the life of the stream;
+    rows with a ``reason`` all pass."""
+    order = _DELIVERY.fieldNames()
+    columns = rows.columns
+    # A rejected line has a key of its own.
+    identity = F.when(F.col("reason").isNull(), F.concat(F.lit("k"), F.col(key).cast("string"))).otherwise(
+        F.concat_ws("#", F.lit("r"), *order))
 
-    The rows of a batch live in their own folder.  A batch that runs again
-    after a failure ignores and overwrites what its first attempt left, so
-    every key is stored once.
+    def first(_key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        best = None
+        for batch in batches:
+            both = batch if best is None else pd.concat([best, batch])
+            best = both.sort_values(order).head(1)
+        if not state.exists:
+            state.update((True,))
+            yield best[columns]
+
+    return rows.withColumn("__identity", identity).groupBy("__identity").applyInPandasWithState(
+        first, rows.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+
+
+def append_batch(batch: DataFrame, batch_id: int, sink: str, schema: T.StructType) -> None:
+    """Write the rows of a micro-batch and, beside them, its rejected lines.
+
+    A batch has folders of its own: one that runs again after a failure
+    overwrites what its first attempt left.
     """
-    spark = batch.sparkSession
-    fresh = first_rows(batch, [key], order)
-    before = stored(spark, sink, schema)
-    if before is not None:
-        fresh = not_yet_done(fresh, before.filter(F.col("batch") != batch_id), key)
-    fresh.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+    batch.persist()
+    batch.filter(F.col("reason").isNull()).select(*schema.fieldNames()).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+    batch.filter(F.col("reason").isNotNull()).select("value", "reason").write.mode("overwrite").parquet(
+        f"{rejected_path(sink)}/batch={batch_id}")
+    batch.unpersist()
 
 
 def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, schema: T.StructType,
-           key: str, order: list[str] | None = None, files_per_batch: int = 1000) -> StreamingQuery:
+           key: str, content: str | None = None, files_per_batch: int = 1000) -> StreamingQuery:
     """Start an ``availableNow`` stream from JSON-lines files in ``source``.
 
-    ``order`` decides which of several rows with the same key inside one batch
-    is kept (default: the key's smallest row by all columns).
+    The row of a key that is delivered first is stored.  Lines that are no JSON,
+    have no key or (where ``content`` names a column) no content go to the
+    rejected lines with their reason; a later delivery of such a key counts.
     """
     if _exists(spark, sink) and not _exists(spark, f"{checkpoint}/offsets"):
         raise UnsafeResume(
             f"{sink} exists but {checkpoint} holds no usable checkpoint; remove both to start fresh"
         )
-    rows = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(source)
-        .filter(F.col(key).isNotNull())
-    )
-    ordering = order or schema.fieldNames()
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch).load(source)
+    rows = first_deliveries(delivered(lines, schema, key, content), key)
     return (
         rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-        .foreachBatch(lambda df, n: append_new(df, n, sink, key, ordering, schema))
-        .start()
+        .foreachBatch(lambda df, n: append_batch(df, n, sink, schema)).start()
     )
+
+
+def ingest_counts(spark: SparkSession, sink: str) -> DataFrame:
+    """``outcome, lines``: rows stored and lines rejected by reason."""
+    stored = spark.read.parquet(sink).select(F.lit("stored").alias("outcome"))
+    rejected = spark.read.parquet(rejected_path(sink)).select(F.col("reason").alias("outcome"))
+    return stored.unionByName(rejected).groupBy("outcome").agg(F.count("*").alias("lines"))

@@ -10,7 +10,7 @@ from corpusloom.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session("tests", "local[8]", **{
+    session = build_session("tests", f"local[{os.environ.get('TEST_CPUS', '8')}]", **{
         "spark.sql.shuffle.partitions": "4",
         "spark.default.parallelism": "4",
         "spark.ui.enabled": "false",

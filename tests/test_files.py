@@ -16,7 +16,7 @@ from corpusloom.plans.vocabulary import build_vocabulary, load_vocabulary
 from corpusloom.plans.wiki_corpus import build_wiki_corpus
 from corpusloom.session import cut_lineage, shared_folder
 from corpusloom.sources import readers, writers
-from corpusloom.streaming.ingest import UnsafeResume, append_new, ingest
+from corpusloom.streaming.ingest import UnsafeResume, append_batch, ingest, ingest_counts
 
 
 def test_ordered_scan_over_many_files(spark, tmp_path, monkeypatch):
@@ -73,13 +73,27 @@ def test_ingest_restarts_without_duplicates(spark, tmp_path):
     ingest(spark, source, sink, state, schema, "id").awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(sink).collect()) == [1, 2, 3, 4]
     # The last batch runs again, as after a failure between write and commit.
-    again = spark.createDataFrame([(3, "t", "x3", "u"), (4, "t", "x4", "u")], schema)
-    append_new(again, 1, sink, "id", schema.fieldNames(), schema)
+    again = spark.createDataFrame([(4, "t", "x4", "u", "", None)], "id long, title string, text string, url string, value string, reason string")
+    append_batch(again, 1, sink, schema)
     assert sorted(r["id"] for r in spark.read.parquet(sink).collect()) == [1, 2, 3, 4]
     with pytest.raises(UnsafeResume):
         ingest(spark, source, sink, str(tmp_path / "lost"), schema, "id")
 
 
+def test_ingest_rejects_with_reasons(spark, tmp_path):
+    source, sink = tmp_path / "in", str(tmp_path / "sink")
+    source.mkdir()
+    (source / "a.json").write_text('{"id": 1, "text": "a"}\n{"id": "2", "text": "b"}\n{"id": 3, "te\n\n{"text": "c"}\n{"id": 4, "text": ""}\n'
+                                   '{"id": 1, "text": "later"}\n')
+    ingest(spark, str(source), sink, str(tmp_path / "state"), schemas.ARTICLE, "id", "text").awaitTermination()
+    assert sorted((r["id"], r["text"]) for r in spark.read.parquet(sink).collect()) == [(1, "a"), (2, "b")]
+    assert {r["outcome"]: r["lines"] for r in ingest_counts(spark, sink).collect()} == {
+        "stored": 2, "malformed": 1, "no key": 1, "no content": 1}
+    (source / "b.json").write_text('{"id": 4, "text": "now"}\n')
+    ingest(spark, str(source), sink, str(tmp_path / "state"), schemas.ARTICLE, "id", "text").awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(sink).collect()) == [1, 2, 4]
+
+
 def test_wiki_job(spark, tmp_path):
     path = tmp_path / "a.jsonl"
     lines = [json.dumps({"id": 1, "title": "T", "text": "'''A''' [[b]]\n== Notes ==\nx", "url": "u"}), "broken", ""]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import joins, packing, selection
+from corpusloom.operators import pages as P
 from corpusloom.operators.audit import best_evaluation, token_audit, weighted_tokens, with_perplexity
 from corpusloom.operators.mixture import split_leakage, split_mixture, weighted_mixture
 from corpusloom.operators.order import shuffle_key, sort_hex
@@ -33,28 +34,29 @@ def test_rank(spark):
         assert [r["rank"] for r in mine] == list(range(150))
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
-def test_salted_join_equals_plain(spark, how):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        rng = random.Random(2)
-        left = spark.createDataFrame([(None if rng.random() < 0.05 else "hot" if rng.random() < 0.4 else f"k{rng.randrange(50)}", i % 9)
-                                      for i in range(2000)], "k string, v int")
-        right = spark.createDataFrame([("hot", 1), *[(f"k{i}", i) for i in range(0, 50, 2)]], "k string, w int")
-        got = joins.salted_join(left, right, "k", how)
-        want = left.join(right, "k", how)
-        assert got.columns == want.columns
-        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_not_yet_done_keeps_null(spark):
     todo = spark.createDataFrame([("a",), ("b",), (None,)], "url string")
     done = spark.createDataFrame([("a",), ("a",), (None,)], "url string")
     assert {r[0] for r in joins.not_yet_done(todo, done, "url").collect()} == {"b", None}
 
 
+def test_weight_below_one_keeps_one_copy(spark):
+    docs = spark.createDataFrame([("a", 1), ("b", 2)], "source string, ord long")
+    assert sorted((r["ord"], r["replica"]) for r in weighted_mixture(docs, {"a": 0, "b": 2}).collect()) == [(1, 1), (2, 1), (2, 2)]
+
+
+def test_listing_without_pages(spark):
+    totals = spark.createDataFrame([("a", 0), ("b", 2)], "author string, total long")
+    assert sorted((r["author"], r["page"]) for r in P.author_frontier(totals).collect()) == [("b", 1), ("b", 2)]
+
+
+def test_listing_attribute_forms(spark):
+    html = ("<div class='list-item'><h4 class=list-item-header><span>x</span> <a title=t href=/p/1>A</a></h4>"
+            "<a href='/author-1'>B</a></div><div class=list-item><h4 class='list-item-header'><a href='/p/2'>C</a></h4></div>")
+    got = P.listing_items(spark.createDataFrame([(html,)], "html string")).collect()
+    assert [(r["url"], r["title"], r["author"]) for r in got] == [("/p/1", "A", "B"), ("/p/2", "C", "Unknown")]
+
+
 def test_mixture_and_split(spark):
     docs = spark.createDataFrame([("a" if i % 2 else "b", i) for i in range(100)], "source string, ord long")
     mix = weighted_mixture(docs, {"a": 3})
@@ -68,9 +70,11 @@ def test_mixture_and_split(spark):
 
 
 @pytest.mark.parametrize("total, blocks", [(2 * 8 + 3, [8, 8]), (7, [7]), (0, []), (8, [8])])
-def test_cut_blocks(spark, total, blocks):
-    df = spark.range(1).select(packing.cut_blocks(F.slice(F.sequence(F.lit(1), F.lit(100)), 1, total), 8).alias("b"))
-    assert [len(b) for b in df.first()["b"]] == blocks
+def test_block_of_one_row(spark, total, blocks):
+    df = spark.createDataFrame([(0, 0, list(range(total)))], "batch_id int, rank long, input_ids array<int>")
+    rows = sorted(packing.pack_blocks(df, 8).collect(), key=lambda r: r["block"])
+    assert [len(r["input_ids"]) for r in rows] == blocks
+    assert sum((r["input_ids"] for r in rows), []) == list(range(sum(blocks)))
 
 
 def test_packing_equals_python(spark):

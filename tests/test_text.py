@@ -1,6 +1,7 @@
 import random
 import sys
 import unicodedata
+from decimal import ROUND_HALF_EVEN, Decimal
 
 import pytest
 
@@ -44,11 +45,10 @@ def test_nfc_and_entities(spark):
 
 
 def python_size(n):
-    for unit in ("B", "KB", "MB", "GB"):
-        if n < 1024.0:
-            return f"{n:.2f} {unit}"
-        n /= 1024.0
-    return f"{n:.2f} TB"
+    """The largest unit that fits, from the number's bits; two decimals of the exact quotient."""
+    step = min(max(n.bit_length() - 1, 0) // 10, 4)
+    exact = Decimal(n) / Decimal(2 ** (10 * step))
+    return f"{exact.quantize(Decimal('0.01'), ROUND_HALF_EVEN)} {['B', 'KB', 'MB', 'GB', 'TB'][step]}"
 
 
 def test_format_size(column):

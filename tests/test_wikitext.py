@@ -52,20 +52,35 @@ def regions(text, opener, closer):
 
 
 def link_model(text):
-    out, i = "", 0
-    while i < len(text):
-        if not text.startswith("[[", i):
-            out, i = out + text[i], i + 1
-            continue
-        depth, j = 1, i + 2
-        while j < len(text) and depth:
-            step = {"[[": 1, "]]": -1}.get(text[j:j + 2], 0)
-            depth, j = depth + step, j + (2 if step else 1)
-        inner = text[i + 2:j - 2]
-        if not re.match("file:|image:", inner.lower().replace("_", " ")):
-            out += inner.partition("|")[2] if "|" in inner else inner
-        i = j
-    return out
+    """The rule on the pieces between delimiters: an opener and its matching
+    closer, found by recursion, give way to what the link shows."""
+    pieces = re.split(r"(\[\[|\]\])", text)
+
+    def end_of(k):
+        if k >= len(pieces):
+            return 0
+        if pieces[k] == "]]":
+            return k + 1
+        if pieces[k] == "[[":
+            nested = end_of(k + 1)
+            return end_of(nested) if nested else 0
+        return end_of(k + 1)
+
+    def shown(inner):
+        label = inner.split("|", 1)[-1]
+        return "" if inner.lower().replace("_", " ").startswith(("file:", "image:")) else label
+
+    def render(k):
+        if k >= len(pieces):
+            return ""
+        if pieces[k] != "[[":
+            return pieces[k] + render(k + 1)
+        end = end_of(k + 1)
+        if end:
+            return shown("".join(pieces[k + 1:end - 1])) + render(end)
+        return shown("".join(pieces[k + 1:])[:-2])  # open to the end, less the width of a closer
+
+    return render(0)
 
 
 def noise(alphabet, seed, n=600):
