@@ -227,16 +227,18 @@ def learn(words: DataFrame, vocab_size: int = settings.VOCAB_SIZE,
                         known[pair] = known.get(pair, 0) + change
                 for pair in done:
                     known.pop(pair, None)
+                # Merging never makes an existing pair more frequent: what is not
+                # above the floor now cannot be picked before the next full count.
                 least = max(min_frequency, floor + 1)
-                best = heapq.nsmallest(
-                    CANDIDATES, ((-f, p) for p, f in known.items() if f >= least)
-                )
+                known = {p: f for p, f in known.items() if f >= least}
+                best = heapq.nsmallest(CANDIDATES, ((-f, p) for p, f in known.items()))
                 ranked = [p for _f, p in best]
             state = following.select("symbols", "freq")
             held.append(following)
             pending += len(done)
             if pending >= checkpoint_every:
-                state, pending = cut_lineage(state), 0
+                # Words that are one symbol by now have no pairs left.
+                state, pending = cut_lineage(state.filter(F.length("symbols") > 1)), 0
                 cut = len(held)
             else:
                 cut = len(held) - 1
