@@ -3,7 +3,7 @@ adjust the score.
 
 All of it is column expressions over one text; nothing is shuffled.  Positions
 are code points.  They come from the lengths of the pieces between the matches,
-summed in chunks, so a text of any length costs time in proportion to it.
+summed in proportion to their number, so a text of any length costs time in proportion to it.
 
 Null and empty texts have no spans.  Repeated rows are rows of their own; other
 columns, whatever their names, pass through untouched.
@@ -16,9 +16,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.arrays import running_sum
 from corpusloom.functions.text import let
 
-CHUNK = 64
 CONTEXT = 40  # code points before a span that are searched for a context word
 THRESHOLD = 0.5
 BONUS = 0.3
@@ -53,27 +53,6 @@ BASE = 4  # the first kinds are kept whenever their check holds
 ORDER = {kind.name: i for i, kind in enumerate(KINDS)}
 
 
-def running_sum(steps: Column) -> Column:
-    """Inclusive running sums of an array that is not empty.
-
-    Appending to an array copies it, so sums are made per chunk and shifted by
-    the sums of the chunks before."""
-
-    def append(sums: Column, x: Column) -> Column:
-        return F.concat(sums, F.array(F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0)) + x))
-
-    none = F.array().cast("array<int>")
-    chunk_ids = F.sequence(F.lit(0), ((F.size(steps) - 1) / CHUNK).cast("int"))
-    parts = F.transform(chunk_ids, lambda c: F.aggregate(F.slice(steps, c * CHUNK + 1, CHUNK), none, append))
-
-    def shift(p: Column) -> Column:
-        ends = F.aggregate(F.transform(p, lambda x: F.element_at(x, -1)), F.array(F.lit(0)), append)
-        return let(ends, lambda e: F.flatten(
-            F.transform(p, lambda xs, c: F.transform(xs, lambda x: x + F.get(e, c)))))
-
-    return let(parts, shift)
-
-
 def digits_of(c: Column) -> Column:
     return F.regexp_replace(c, "[^0-9]", "")
 
