@@ -1,14 +1,16 @@
 """Toxicity by a learned lexicon, found through Levenshtein automata.
 
-The lexicon holds whole words and word beginnings that labelled training rows
-show to be toxic.  A trie of it is intersected with the Levenshtein automaton of
+The lexicon holds whole words and proper beginnings of words (a stem counts only
+where more follows) that labelled training rows show to be toxic.  A trie of it is intersected with the Levenshtein automaton of
 one edit: a state is the set of (trie node, edits) that a word read so far can be
 in, and states are built once and kept, so a word costs one table step a
 character.  A window of words around a hit tells quotation from abuse.
 
 A text's score is one minus the product, over its distinct hits, of the chance
-that the hit means nothing: learned per term for exact hits, per class of hit for
-misspelled and quoted ones.  Texts without hits, empty and null ones too, have
+that the hit means nothing: learned per word, for exact and for misspelled hits
+(stems must be spelled right); for stems, which clean words share now and then,
+by how often any of them occurs; and for quoted hits no more than what texts with
+quoted hits alone show.  Texts without hits, empty and null ones too, have
 the share of toxic rows among such training texts.
 
 Labels are learned from rows whose crc32(doc_id) mod 3 is not 1, from at most
@@ -35,12 +37,14 @@ FIT_ROWS = 6_000  # labelled rows of either label that are learned from
 MAX_TERMS = 2_000  # size of the lexicon
 MIN_ROWS = 4  # toxic rows that a term needs
 EVIDENCE = 14.0  # nats that a term's rows must differ from chance
-RATIO = 5  # times as frequent in toxic rows as in clean ones
-PREFIXES = range(4, 9)
-FUZZY_LENGTH = 5  # shorter terms must be spelled right
+RATIO = 3  # times as frequent in toxic rows as in clean ones
+PREFIXES = range(3, 9)
+FUZZY_LENGTH = 5  # shorter words must be spelled right
+STEM_LEVELS = 6  # occurrences of stems that are told apart
 WINDOW = 4  # words on either side
 THRESHOLD = 0.7
 SEED = 4
+QUOTED, NOTHING, STEMS = -1, -2, -3  # in the place of a term
 CACHE = 500_000
 WORD = re.compile(r"[^\W_]+")
 # Words that report speech, and marks of quotation.
@@ -53,9 +57,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 def features(text: str) -> set[str]:
-    """Whole words as ``=word``, beginnings as they are."""
+    """Whole words as ``=word``, proper beginnings as they are."""
     words = set(WORD.findall(text.lower()))
-    return {f"={w}" for w in words} | {w[:k] for w in words for k in PREFIXES if len(w) >= k}
+    return {f"={w}" for w in words} | {w[:k] for w in words for k in PREFIXES if len(w) > k}
 
 
 class Matcher:
@@ -93,12 +97,12 @@ class Matcher:
             self.states[members] = len(self.members)
             self.members.append(members)
             self.steps.append({})
-            self.stem_hit.append(self._best(members, self.stems))
-            self.word_hit.append(self._best(members, self.ends))
+            self.stem_hit.append(self._best(members, self.stems, 0))
+            self.word_hit.append(self._best(members, self.ends, 1))
         return self.states[members]
 
-    def _best(self, members: frozenset, ends: dict[int, int]) -> tuple[int, int] | None:
-        hits = [(edits, ends[node]) for node, edits in members if node in ends]
+    def _best(self, members: frozenset, ends: dict[int, int], most: int) -> tuple[int, int] | None:
+        hits = [(edits, ends[node]) for node, edits in members if node in ends and edits <= most]
         return min(((e, t) for e, t in hits if e == 0 or self.size[t] >= FUZZY_LENGTH), default=None)
 
     def _step(self, state: int, ch: str) -> int:
@@ -120,6 +124,9 @@ class Matcher:
             return self.known[word]
         state, best = self.start, None
         for ch in word:
+            hit = self.stem_hit[state]  # a character follows
+            if hit is not None and (best is None or hit < best):
+                best = hit
             key = ch if ch in self.alphabet else ""
             steps = self.steps[state]
             if key not in steps:
@@ -127,9 +134,6 @@ class Matcher:
             state = steps[key]
             if state < 0:
                 break
-            hit = self.stem_hit[state]
-            if hit is not None and (best is None or hit < best):
-                best = hit
         else:
             hit = self.word_hit[state]
             if hit is not None and (best is None or hit < best):
@@ -139,15 +143,15 @@ class Matcher:
         self.known[word] = best
         return best
 
-    def hits(self, text: str) -> set[tuple[int, int, bool]]:
-        """Distinct ``(term, edits, quoted)`` of a text."""
+    def hits(self, text: str) -> Counter:
+        """How often ``(term, edits, quoted)`` occurs in a text."""
         lowered = text.lower()
         words = WORD.findall(lowered)
         toxic = {w for w in set(words) if self.find(w) is not None}
         if not toxic:
-            return set()
+            return Counter()
         spans = list(WORD.finditer(lowered))
-        found = set()
+        found: Counter = Counter()
         for i, span in enumerate(spans):
             if span.group() in toxic:
                 edits, term = self.find(span.group())
@@ -155,27 +159,37 @@ class Matcher:
                 before, after = lowered[around[0].start():span.start()], lowered[span.end():around[-1].end() + 1]
                 marked = any(q in before for q in QUOTES) and any(q in after for q in QUOTES)
                 reported = any(s.group() in REPORTS for s in around)
-                found.add((term, edits, marked or reported))
+                found[term, edits, marked or reported] += 1
         return found
 
 
 @dataclass
 class Model:
     terms: list[str] = field(default_factory=list)
-    chance: list[float] = field(default_factory=list)  # per term: toxic, given an exact hit outside quotation
-    classes: dict[tuple[bool, int, bool], float] = field(default_factory=dict)  # (stem, edits, quoted)
+    # Per term: toxic, given a hit without an edit and given one with an edit.
+    chance: list[tuple[float, float]] = field(default_factory=list)
+    stems: list[float] = field(default_factory=list)  # toxic, given so many occurrences of stems
+    quoted: float = 0.0  # toxic, given quoted hits only
     nothing: float = 0.0  # toxic, given no hit
 
-    def score(self, hits: set[tuple[int, int, bool]]) -> float:
+    def score(self, hits: Counter) -> float:
         innocent = 1.0 - self.nothing
-        for term, edits, quoted in hits:
-            p = self.classes[not self.terms[term].startswith("="), edits, quoted]
-            if edits == 0:
-                p = min(p, self.chance[term]) if quoted else self.chance[term]
-            innocent *= 1.0 - p
+        plain = [key for key in hits if not key[2]]
+        for term, edits, _ in plain:
+            if self.terms[term].startswith("="):
+                innocent *= 1.0 - self.chance[term][edits]
+        level = stem_level(hits, self.terms)
+        if level:
+            innocent *= 1.0 - self.stems[level]
+        if hits and not plain:
+            innocent *= 1.0 - min(self.quoted, max(self.chance[term][edits] for term, edits, _ in hits))
         return min(max(1.0 - innocent, 0.0), 1.0)
 
 
+def stem_level(hits: Counter, terms: list[str]) -> int:
+    return min(STEM_LEVELS, sum(n for (t, _, quoted), n in hits.items() if not quoted and not terms[t].startswith("=")))
+
+
 def _chance(toxic: float, clean: float, rows: dict[int, int], share: float, belief: float = 0.5, weight: float = 1.0) -> float:
     """P(toxic | seen) at the labels' own share of toxic rows, from a sample that is even by label."""
     hit = (toxic + weight * belief) / (rows[1] + weight)
@@ -213,13 +227,15 @@ def candidates(rows: DataFrame, size: dict[int, int]) -> DataFrame:
     gain = F.col("bad") * F.log(F.col("bad") / (both * rate)) + F.when(
         F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (both * (1 - rate)))).otherwise(0.0)
     return totals.filter((F.col("bad") >= MIN_ROWS) & (F.col("bad") * size[0] > RATIO * F.col("clean") * size[1])
-                         & (gain >= EVIDENCE)).orderBy(F.desc("bad"), "f").limit(10 * MAX_TERMS)
+                         & (gain >= EVIDENCE)).select("f", "bad", gain.alias("gain")).orderBy(F.desc("bad"), "f").limit(10 * MAX_TERMS)
 
 
-def lexicon(found: list[tuple[str, int]]) -> list[str]:
+def lexicon(found: list[tuple[str, int, float]]) -> list[str]:
     """Of features that begin with each other the shortest, made as long as
-    it can be without losing a tenth of its rows."""
-    bad = dict(found)
+    it can be without losing a tenth of its rows, or a whole word with more evidence;
+    and whole words that make up a third of a stem, as those may be misspelled."""
+    bad = {f: n for f, n, _ in found}
+    evidence = {f: e for f, _, e in found}
     longer: dict[str, list[str]] = defaultdict(list)
     for f in bad:
         plain = f.lstrip("=")
@@ -238,8 +254,11 @@ def lexicon(found: list[tuple[str, int]]) -> list[str]:
             if step is None or bad[step] < 0.9 * bad[f]:
                 break
             f = step
-        terms.add(f)
-    return sorted(terms, key=lambda t: (-bad[t], t))[:MAX_TERMS]
+        words = [w for w in bad if w.startswith("=" + plain)]
+        terms.add(max([f, *words], key=lambda w: (evidence[w], w)))
+        terms.update(w for w in words if 3 * bad[w] >= bad[f])
+    # Whole words first: of terms that a word matches equally well the first counts.
+    return sorted(sorted(terms, key=lambda t: (-bad[t], t))[:MAX_TERMS], key=lambda t: not t.startswith("="))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -250,33 +269,41 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not size[0]:
         size[0] = 1
     found = candidates(rows, size).collect()
-    terms = lexicon([(r["f"], r["bad"]) for r in found])
+    terms = lexicon([(r["f"], r["bad"], r["gain"]) for r in found])
 
     def observe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows by label and: term and edits, only quoted hits, no hit at all."""
         matcher = Matcher(terms)
         for batch in batches:
             seen: Counter = Counter()
             for text, toxic in zip(batch["text"], batch["toxic"]):
                 hits = matcher.hits(text)
-                seen.update((toxic, t, -1, False) for t, e, quoted in hits if e == 0 and not quoted)
-                kinds = {(not terms[t].startswith("="), e, q) for t, e, q in hits}
-                seen.update((toxic, -1 - stem, e, q) for stem, e, q in kinds)
-                seen[toxic, -9, 0, False] += not hits
-            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["toxic", "term", "edits", "quoted", "n"])
-
-    counts = rows.mapInPandas(observe, "toxic int, term int, edits int, quoted boolean, n long").groupBy(
-        "toxic", "term", "edits", "quoted").agg(F.sum("n").alias("n")).collect()
-    n = Counter({(r["toxic"], r["term"], r["edits"], r["quoted"]): r["n"] for r in counts})
-    chance = [_chance(n[1, t, -1, False], n[0, t, -1, False], size, share) for t in range(len(terms))]
-    classes = {}
-    for stem in (False, True):
-        for edits in (0, 1):
-            for quoted in (False, True):
-                key = (-1 - stem, edits, quoted)
-                # Quotation and misspelling are believed to mean less until rows say otherwise.
-                classes[stem, edits, quoted] = _chance(n[1, *key], n[0, *key], size, share, belief=0.5, weight=5.0 if quoted or edits else 1.0)
-    nothing = _chance(n[1, -9, 0, False], n[0, -9, 0, False], size, share)
-    return Model(terms, chance, classes, min(nothing, THRESHOLD / 2))
+                plain = {(t, e) for t, e, quoted in hits if not quoted}
+                exact = any(e == 0 for _, e in plain)
+                # A misspelled hit is judged where no exact one explains the label.
+                seen.update((toxic, t, e) for t, e in plain if e == 0 or not exact)
+                words = any(terms[t].startswith("=") for t, _ in plain)
+                level = stem_level(hits, terms)
+                if level and not words:
+                    seen[toxic, STEMS, level] += 1
+                if not plain:
+                    seen[toxic, QUOTED if hits else NOTHING, 0] += 1
+            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["toxic", "term", "edits", "n"])
+
+    counts = rows.mapInPandas(observe, "toxic int, term int, edits int, n long").groupBy("toxic", "term", "edits").agg(
+        F.sum("n").alias("n")).collect()
+    n = Counter({(r["toxic"], r["term"], r["edits"]): r["n"] for r in counts})
+
+    def chance(term: int, edits: int, belief: float, weight: float) -> float:
+        return _chance(n[1, term, edits], n[0, term, edits], size, share, belief, weight)
+
+    # A misspelled word is believed to mean the word, a stem less so, until rows say otherwise.
+    each = [(chance(t, 0, 0.5, 1.0), chance(t, 1, 0.9 if term.startswith("=") else 0.5, 2.0)) for t, term in enumerate(terms)]
+    # More occurrences never mean less.
+    levels = [0.0]
+    for level in range(1, STEM_LEVELS + 1):
+        levels.append(max(levels[-1], chance(STEMS, level, 0.5, 1.0)))
+    return Model(terms, each, levels, chance(QUOTED, 0, 0.3, 5.0), min(chance(NOTHING, 0, 0.5, 1.0), THRESHOLD / 2))
 
 
 def scorer(model: Model):
