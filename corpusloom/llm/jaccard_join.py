@@ -8,18 +8,22 @@ are joined.  Two sets of sizes n and m link when they share at least
   t(n, m) that partners can need: equal subsets are shared by every link.
 * Heavy sets, and light ones that a heavy one can link with, post the first
   ``n - ceil(0.75 n) + 1`` shingles of a common order into inverted lists: sets that
-  link share one of them.  The order puts shingles seen often in a part of the
-  corpus last; any order gives the same links, this one keeps lists short.
+  link share one of them.  The order goes by how often parts of the corpus share a
+  shingle, rare ones first; any order gives the same links, this one keeps lists
+  short.
 
 The boundary is the largest size at which the subsets cost no more than posting
 and checking the shingles of the list.
 
 A posting list is never crossed with itself.  First every set is checked against
-the smallest class of each of its lists, and the links found are joined into
-components.  Only lists that still hold several components need more: there sets
-of *different* components are paired, so copies and near copies of one text,
-however many, cost one check a set and list at most.  Every pair is checked on the
-whole sets.
+one pivot of each of its lists, the set with the largest part of its keys in other
+sets too (an original rather than one of its copies, whose edits are theirs alone),
+and the links found are joined into components.  Only lists that still hold several components need more: there sets
+of *different* components are paired, where the places of the shared shingle leave
+room for a link, so copies and near copies of one text,
+however many, cost one check a set and list at most.  A pair is first bounded by
+the sets' histograms (shingles per hash cell: the cell-wise minima add up to no less
+than what the sets share), then every pair that is left is checked on the whole sets.
 
 Texts: lower-cased A-Z, words ``[^\\x20\\x09-\\x0D]+``, shingles of five words, fewer
 words are one shingle.  Null, empty and blank texts have empty sets and link with
@@ -30,6 +34,7 @@ class; extra columns do not matter.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
 from math import comb
@@ -44,9 +49,12 @@ from corpusloom.llm.tables import stored
 from corpusloom.llm.words import blocks, mix, shingle_sets
 
 CHECK_COST = 3  # a candidate's check, in postings
-OFTEN = 4  # documents of one batch that share a shingle
-LAST_SHINGLES = 65_536  # shingles that the common order puts last
-SKETCH_BITS = 1 << 25  # size of the filter of posted keys, whatever the input
+OFTEN = 2  # documents of one batch that share a shingle
+LAST_SHINGLES = 1 << 20  # most shared shingles, which the common order puts last
+FILTER_BITS = 1 << 27  # size of the filter of posted keys, whatever the input
+FILTER_HASHES = 3
+PER_CELL = 2  # shingles in a cell of a set's histogram, at most, about
+FULL = 255  # a cell counts no further
 _U = np.uint64
 
 
@@ -85,21 +93,34 @@ def digest(one: np.ndarray) -> int:
     return int(h.view(np.int64)[0]) or 1
 
 
-def keys_of(one: np.ndarray, late: np.ndarray) -> np.ndarray:
-    """The keys under which a set is posted."""
+@dataclass
+class Order:
+    """The most shared shingles, sorted by hash, and how often parts of the corpus share them."""
+
+    shingles: np.ndarray
+    counts: np.ndarray
+
+    def sorted(self, one: np.ndarray) -> np.ndarray:
+        if len(self.shingles) == 0:
+            return one
+        at = np.minimum(np.searchsorted(self.shingles, one), len(self.shingles) - 1)
+        return one[np.lexsort((one, np.where(self.shingles[at] == one, self.counts[at], 0)))]
+
+
+def keys_of(one: np.ndarray, late: Order) -> tuple[np.ndarray, np.ndarray]:
+    """The keys under which a set is posted, and each one's place in the common order (0 for subsets)."""
     n, edge = len(one), boundary()
-    keys = []
+    keys, places = [], []
     if n <= edge:
         for c in subset_sizes(n):
             subsets = np.array(list(combinations(one.tolist(), c)), dtype=np.uint64).reshape(-1, c)
             keys.append(mix(mix(subsets + np.arange(1, c + 1, dtype=np.uint64)).sum(axis=1, dtype=np.uint64) + _U(c)))
+            places.append(np.zeros(len(subsets), dtype=np.int64))
     if partners(n)[-1] > edge:
-        if len(late):
-            at = np.minimum(np.searchsorted(late, one), len(late) - 1)
-            again = late[at] == one
-            one = np.concatenate([one[~again], one[again]])
-        keys.append(one[:list_length(n)])
-    return np.unique(np.concatenate(keys))
+        keys.append(late.sorted(one)[:list_length(n)])
+        places.append(np.arange(len(keys[-1])))
+    unique, at = np.unique(np.concatenate(keys), return_index=True)
+    return unique, np.concatenate(places)[at]
 
 
 def sets_of(texts: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -107,8 +128,8 @@ def sets_of(texts: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
         yield first, shingle_sets(data, offsets)
 
 
-def often_shared(docs: DataFrame) -> np.ndarray:
-    """Sorted shingles that many documents of one batch share, at most ``LAST_SHINGLES``."""
+def often_shared(docs: DataFrame) -> Order:
+    """The shingles that documents of one batch share, at most ``LAST_SHINGLES``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,11 +142,13 @@ def often_shared(docs: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often])], ["h", "n"])
 
     rows = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = rows.orderBy(F.desc("n"), "h").limit(LAST_SHINGLES).select("h").toArrow()
-    return np.sort(top["h"].to_numpy().view(np.uint64))
+    top = rows.orderBy(F.desc("n"), "h").limit(LAST_SHINGLES).toArrow()
+    h, n = top["h"].to_numpy().view(np.uint64), top["n"].to_numpy()
+    by_hash = np.argsort(h)
+    return Order(h[by_hash], n[by_hash].astype(np.int32))
 
 
-def post(docs: DataFrame, late: np.ndarray) -> DataFrame:
+def post(docs: DataFrame, late: Order) -> DataFrame:
     """``key, class`` of every class that a task meets."""
     shared = docs.sparkSession.sparkContext.broadcast(late)
 
@@ -138,7 +161,7 @@ def post(docs: DataFrame, late: np.ndarray) -> DataFrame:
                     d = digest(s)
                     if d not in met:
                         met.add(d)
-                        keys.append(keys_of(s, shared.value))
+                        keys.append(keys_of(s, shared.value)[0])
                         classes.append(d)
                 if keys:
                     yield pa.RecordBatch.from_arrays(
@@ -148,22 +171,51 @@ def post(docs: DataFrame, late: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(one, "key long, class long")
 
 
-def sketch(keys: DataFrame) -> np.ndarray:
-    """A bit per key modulo ``SKETCH_BITS``: a filter of fixed size."""
-    bit = F.pmod("key", F.lit(SKETCH_BITS))
-    words = keys.groupBy(F.shiftright(bit, 6).alias("w")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(key, {SKETCH_BITS}) & 63 AS INT))")).alias("bits")).toArrow()
-    out = np.zeros(SKETCH_BITS // 64, dtype=np.uint64)
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter of fixed size over the keys; a crowded one only lets more through."""
+    shift = 64 // FILTER_HASHES
+    bits = F.array(*[F.shiftrightunsigned("key", shift * k).bitwiseAND(F.lit(FILTER_BITS - 1)) for k in range(FILTER_HASHES)])
+    words = keys.select(F.explode(bits).alias("bit")).groupBy(F.shiftright("bit", 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
     out[words["w"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return out
 
 
-SURVEYED = "doc_id long, n long, class long, keys array<long>, shingles array<long>"
+def passes(keys: np.ndarray, live: np.ndarray) -> np.ndarray:
+    shift = 64 // FILTER_HASHES
+    good = np.ones(len(keys), dtype=bool)
+    for k in range(FILTER_HASHES):
+        bit = (keys >> _U(shift * k)) & _U(FILTER_BITS - 1)
+        good &= (live[(bit >> _U(6)).astype(np.int64)] >> (bit & _U(63))) & _U(1) > 0
+    return good
+
+
+def cells_of(one: np.ndarray) -> np.ndarray:
+    """Histogram of a set over a power of two of hash cells."""
+    cells = 1 << max(0, (len(one) // PER_CELL).bit_length())
+    return np.minimum(np.bincount((one & _U(cells - 1)).astype(np.int64), minlength=cells), FULL).astype(np.uint8)
+
+
+def may_link(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two histograms leave room for a link."""
+    if a.max() == FULL or b.max() == FULL:
+        return True
+    a, b = a.astype(np.int32), b.astype(np.int32)
+    n, m = int(a.sum()), int(b.sum())
+    while len(a) > len(b):
+        a = a[:len(a) // 2] + a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[:len(b) // 2] + b[len(b) // 2:]
+    return int(np.minimum(a, b).sum()) >= needed(n, m)
 
 
-def survey(docs: DataFrame, late: np.ndarray, live: np.ndarray) -> DataFrame:
+SURVEYED = "doc_id long, n long, class long, keys array<long>, places array<int>, shared int, cells binary"
+
+
+def survey(docs: DataFrame, late: Order, live: np.ndarray) -> DataFrame:
     """Every document's size and class; with the first of a class that a task meets
-    its keys that other classes may have too and, if there are any, its whole set."""
+    its keys that other classes may have too and, if there are any, its histogram."""
     context = docs.sparkSession.sparkContext
     shared_late, shared_live = context.broadcast(late), context.broadcast(live)
 
@@ -171,32 +223,77 @@ def survey(docs: DataFrame, late: np.ndarray, live: np.ndarray) -> DataFrame:
         met: set[int] = {0}
         for batch in batches:
             for first, sets in sets_of(batch.column(1)):
-                classes, keys, whole = [], [], []
+                classes, keys, places, shared, cells = [], [], [], [], []
                 for s in sets:
                     d = digest(s)
                     classes.append(d)
-                    mine = np.empty(0, dtype=np.uint64)
+                    mine, place = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
                     if d not in met:
                         met.add(d)
-                        mine = keys_of(s, shared_late.value)
-                        bit = mine % _U(SKETCH_BITS)
-                        mine = mine[(shared_live.value[(bit >> _U(6)).astype(np.int64)] >> (bit & _U(63))) & _U(1) > 0]
+                        mine, place = keys_of(s, shared_late.value)
+                        posted = len(mine)
+                        good = passes(mine, shared_live.value)
+                        mine, place = mine[good], place[good]
                     keys.append(mine)
-                    whole.append(s if len(mine) else s[:0])
+                    places.append(place)
+                    shared.append(1_000 * len(mine) // posted if len(mine) else 0)
+                    cells.append(cells_of(s).tobytes() if len(mine) else None)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(classes, pa.int64()), _lists(keys), _lists(whole)], ["doc_id", "n", "class", "keys", "shingles"])
+                    pa.array(classes, pa.int64()), _lists(keys), _lists(places).cast(pa.list_(pa.int32())),
+                    pa.array(shared, pa.int32()), pa.array(cells, pa.binary())],
+                    ["doc_id", "n", "class", "keys", "places", "shared", "cells"])
 
     return docs.select("doc_id", "text").mapInArrow(one, SURVEYED)
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     places = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(places), pa.array(np.concatenate(arrays).view(np.int64)))
+    return pa.ListArray.from_arrays(pa.array(places), pa.array(np.concatenate(arrays).view(np.int64) if arrays else [], pa.int64()))
+
+
+def bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that the histograms do not rule out."""
+
+    def room(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [may_link(np.frombuffer(x.as_buffer(), dtype=np.uint8), np.frombuffer(y.as_buffer(), dtype=np.uint8))
+                    for x, y in zip(batch.column(2), batch.column(3))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    left = sets.select(F.col("class").alias("a"), F.col("cells").alias("ca"))
+    right = sets.select(F.col("class").alias("b"), F.col("cells").alias("cb"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ca", "cb").mapInArrow(room, "a long, b long")
 
-def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+
+def whole_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``class, shingles`` of the given classes, read from the texts again."""
+    shared = docs.sparkSession.sparkContext.broadcast(key_filter(classes.select(F.col("class").alias("key"))))
+
+    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = {0}
+        for batch in batches:
+            for _, sets in sets_of(batch.column(0)):
+                found = {}
+                for s in sets:
+                    d = digest(s)
+                    if d not in met:
+                        met.add(d)
+                        found[d] = s
+                ids = np.array(list(found), dtype=np.int64)
+                some = np.flatnonzero(passes(ids.view(np.uint64), shared.value))
+                whole = list(found.values())
+                yield pa.RecordBatch.from_arrays([pa.array(ids[some]), _lists([whole[i] for i in some])], ["class", "shingles"])
+
+    return docs.select("text").mapInArrow(one, "class long, shingles array<long>").join(
+        classes, "class", "left_semi").dropDuplicates(["class"])
+
+
+def checked(docs: DataFrame, pairs: DataFrame, histograms: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose whole sets link."""
+    pairs = stored(bounded(pairs, histograms), "bounded")
+    classes = stored(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "classes")
+    sets = stored(whole_sets(docs, classes), "sets")
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))
 
@@ -214,42 +311,49 @@ def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(link, "a long, b long")
 
 
-def joinable(n: Column, m: Column) -> Column:
-    return (4 * n >= 3 * m) & (4 * m >= 3 * n)
+def joinable(n: Column, place: Column, m: Column, other_place: Column) -> Column:
+    """Sizes that can link, and places that leave enough shingles behind them.
+
+    Of a list that two linked sets share first in the common order, all they share
+    lies at or after their places."""
+    fits = (4 * n >= 3 * m) & (4 * m >= 3 * n)
+    return fits & (7 * (n - place) >= 3 * (n + m)) & (7 * (m - other_place) >= 3 * (n + m))
 
 
 def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All documents with their classes, and ``node, label`` of linked classes."""
     late = often_shared(docs)
     lists = post(docs, late).groupBy("key").agg(F.min("class").alias("first"), F.max("class").alias("last"))
-    live = stored(lists.filter("first <> last").select("key", "first"), "live-lists")
-    members = stored(survey(docs, late, sketch(live)), "survey")
+    live = stored(lists.filter("first <> last").select("key"), "live-lists")
+    members = stored(survey(docs, late, key_filter(live)), "survey")
 
     with_keys = members.filter(F.size("keys") > 0)
-    sets = stored(with_keys.select("class", "n", "shingles").dropDuplicates(["class"]), "sets")
-    sizes = sets.select("class", "n")
-    postings = stored(with_keys.select("class", "n", F.explode("keys").alias("key")).join(live, "key").dropDuplicates(
-        ["key", "class"]), "postings")
-    firsts = sizes.select(F.col("class").alias("first"), F.col("n").alias("m"))
-    stars = postings.filter("class <> first").select("class", "n", "first").distinct().join(firsts, "first").filter(
-        joinable(F.col("n"), F.col("m"))).select(F.col("class").alias("a"), F.col("first").alias("b"))
-    links = stored(checked(stars, sets), "links")
+    histograms = stored(with_keys.select("class", "n", "cells").dropDuplicates(["class"]), "histograms")
+    posted = with_keys.select("class", "n", "shared", F.explode(F.arrays_zip("keys", "places")).alias("p")).select(
+        "class", "n", "shared", F.col("p.keys").alias("key"), F.col("p.places").alias("place"))
+    postings = stored(posted.join(live, "key").dropDuplicates(["key", "class"]), "postings")
+    pivots = postings.groupBy("key").agg(F.max(F.struct("shared", "class", F.col("n").alias("m"), F.col("place").alias("other_place"))).alias("p")).select(
+        "key", F.col("p.class").alias("pivot"), "p.m", "p.other_place")
+    able = joinable(F.col("n"), F.col("place"), F.col("m"), F.col("other_place"))
+    stars = stored(postings.join(pivots, "key").filter((F.col("class") != F.col("pivot")) & able).select(
+        F.col("class").alias("a"), F.col("pivot").alias("b")).distinct(), "stars")
+    links = stored(checked(docs, stars, histograms), "links")
 
     labels = components(links)
     labelled = postings.join(labels, postings["class"] == labels["node"], "left").select(
-        "key", "class", "n", F.coalesce("label", "class").alias("label"))
+        "key", "class", "n", "place", F.coalesce("label", "class").alias("label"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
     rest = stored(labelled.join(mixed, "key"), "mixed-lists")
-    # Both checked against the first of the list already: nothing new.
-    other = rest.select("key", F.col("class").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
-    pairs = rest.join(other, "key").filter((F.col("label") < F.col("other")) & joinable(F.col("n"), F.col("m"))).select(
+    other = rest.select("key", F.col("class").alias("b"), F.col("n").alias("m"), F.col("place").alias("other_place"), F.col("label").alias("other"))
+    pairs = rest.join(other, "key").filter((F.col("label") < F.col("other")) & able).select(
         F.col("class").alias("a"), "b").distinct()
     fresh = pairs.join(stars.select("a", "b"), ["a", "b"], "left_anti").join(
         stars.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    more = stored(checked(fresh, sets), "more-links")
+    more = stored(checked(docs, fresh, histograms), "more-links")
     if more.isEmpty():
         return members.select("doc_id", "n", "class"), labels
-    return members.select("doc_id", "n", "class"), components(links.unionByName(more))
+    return members.select("doc_id", "n", "class"), components(
+        labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
 
 
 def groups(docs: DataFrame) -> DataFrame:
