@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusloom import settings
 from corpusloom.catalog.registry import documents, query, table
 from corpusloom.operators import audit, bpe
 
 WEIGHTS = {"src0": 1, "src1": 3, "src2": 2}
-QUERY_MERGES = 40  # merges learned by the queries; the size is a parameter of the job
 
 # RE2 has no look-ahead: a mark is put in front of the last blank of a run that
 # precedes a word, and the text is cut there.
@@ -40,7 +40,7 @@ def pair_counts(spark, folder):
 
 
 def _vocabulary(docs):
-    return bpe.learn(bpe.word_counts(docs), 257 + QUERY_MERGES)
+    return bpe.learn(bpe.word_counts(docs), settings.VOCAB_SIZE, settings.MIN_FREQUENCY)
 
 
 @query("bpe_merges")

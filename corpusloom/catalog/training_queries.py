@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import settings
 from corpusloom.catalog.registry import SQL_DOCS, doc_id, documents, query, table, texts
-from corpusloom.catalog.token_queries import QUERY_MERGES, WEIGHTS, _weights_sql
+from corpusloom.catalog.token_queries import WEIGHTS, _weights_sql
 from corpusloom.operators import bpe
 from corpusloom.operators.mixture import split_leakage as leakage_report
 from corpusloom.operators.mixture import split_mixture, weighted_mixture
@@ -137,7 +137,7 @@ def sample_split(spark, folder):
 def training_blocks(spark, folder):
     """The whole first-stage table with a learned vocabulary."""
     docs = documents(spark, folder)
-    vocab = bpe.learn(bpe.word_counts(docs), 257 + QUERY_MERGES)
+    vocab = bpe.learn(bpe.word_counts(docs), settings.VOCAB_SIZE, settings.MIN_FREQUENCY)
     blocks = packed_corpus(docs, vocab, WEIGHTS, ratio=RATIO, batch_rows=BATCH_ROWS)
     return blocks.select("split", "batch_id", "block", F.size("input_ids").alias("n"),
                          F.md5(F.array_join("input_ids", " ")).alias("content"))
@@ -147,7 +147,7 @@ def training_blocks(spark, folder):
 def verse_training_samples(spark, folder):
     """The whole second-stage table with a learned vocabulary."""
     turns = table(spark, folder, "conversations")
-    vocab = bpe.learn(bpe.word_counts(turns), 257 + QUERY_MERGES)
+    vocab = bpe.learn(bpe.word_counts(turns), settings.VOCAB_SIZE, settings.MIN_FREQUENCY)
     rows = turns.select(order_key(F.lit(0), F.col("conv_id")).alias("ord"), F.col("turn").alias("stanza_ord"), "text")
     return verse_samples(rows, vocab).select(
         "ord", "stanza_ord", "split", *[F.array_join(c, " ").alias(c) for c in ("input_ids", "attention_mask", "labels")]

@@ -9,7 +9,8 @@ are linear in the word.  Ids follow the usual layout: the special token, the
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable, Container, Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -26,8 +27,8 @@ from corpusloom.session import cut_lineage
 _FIRST = 0x100  # character of id 0; ids stay below the surrogate block
 MAX_VOCAB = 0xD800 - _FIRST
 SPECIAL_ID = 0
-TOP = 4096  # pairs a full count brings to the driver
-CANDIDATES = 256  # best known pairs looked at in one round
+TOP = 16_384  # pairs a full count brings to the driver
+PART_SYMBOLS = 1_000_000  # symbols of the distinct parts a round brings to the driver
 
 
 def _byte_stand_ins() -> list[str]:
@@ -125,58 +126,119 @@ def pair_counts(state: DataFrame) -> DataFrame:
     return explode_items(state, ["freq"], pairs, "pair").groupBy("pair").agg(F.sum("freq").alias("freq"))
 
 
-def _batch(ranked: list[str], known: Container[bytes], raw: list[bytes]) -> list[str]:
-    """Longest prefix of ``ranked`` pairs that one-at-a-time learning would
-    also pick in this order.
-
-    Merging (a, b) consumes an ``a`` only before ``b`` and a ``b`` only after
-    ``a``, so it changes no count but those of pairs (x, a) and (b, y); the
-    pairs it creates are no more frequent than those.  As long as none of them
-    comes up, the ranking stands.  Self-pairs and pairs that spell a known
-    token change counts in other ways and go alone.
+def _parts(state: DataFrame, active: list[str]) -> DataFrame:
+    """``(part, freq)``: the words cut at every pair that is not ``active``."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pairs = frozenset(active)
+        for batch in batches:
+            found: Counter = Counter()
+            for word, freq in zip(batch["symbols"], batch["freq"]):
+                start = 0
+                for i in range(1, len(word) + 1):
+                    if word[i - 1:i + 1] not in pairs:
+                        if i - start > 1:
+                            found[word[start:i]] += freq
+                        start = i
+            yield pd.DataFrame({"part": pd.Series(list(found), dtype=object), "freq": pd.Series(list(found.values()), dtype="int64")})
+
+    return state.mapInPandas(cut, "part string, freq long").groupBy("part").agg(F.sum("freq").alias("freq"))
+
+
+def _bounded_parts(state: DataFrame, ranked: list[str], most: int) -> tuple[dict[str, int], int]:
+    """The parts of the words for as many of the ``ranked`` pairs, at most
+    ``most``, as give no more than ``PART_SYMBOLS`` symbols, and that number.
+
+    A single pair is taken in any case: its parts are itself or runs of one symbol."""
+    while True:
+        most = min(most, len(ranked))
+        parts = _parts(state, ranked[:most]).persist()
+        try:
+            size = parts.agg(F.sum(F.length("part"))).first()[0] or 0
+            if size <= PART_SYMBOLS or most == 1:
+                return {r["part"]: r["freq"] for r in parts.collect()}, most
+        finally:
+            parts.unpersist()
+        most = max(1, most // 2)
+
+
+def _learn_parts(parts: dict[str, int], last: tuple[int, str], raw: list[bytes], ids: dict[bytes, int],
+                 vocab_size: int) -> list[tuple[int, int, int]]:
+    """Merge one pair at a time up to ``last``, as ``(-freq, pair)``, the end of the active ranking.
+
+    Extends ``raw`` and ``ids``.  A merge that spells a known token makes pairs more
+    frequent, inactive ones too, and is the last of its round.
     """
-    picks: list[str] = []
-    lefts: set[str] = set()
-    rights: set[str] = set()
-    made: set[bytes] = set()
-    for pair in ranked:
-        left, right = pair
-        spelled = raw[ord(left) - _FIRST] + raw[ord(right) - _FIRST]
-        alone = left == right or spelled in known or spelled in made
-        if right in lefts or left in rights or (alone and picks):
+    words, freqs = list(parts), list(parts.values())
+    counts: Counter = Counter()
+    where: dict[str, set[int]] = defaultdict(set)
+    for i, (word, freq) in enumerate(zip(words, freqs)):
+        for pair in map("".join, zip(word, word[1:])):
+            counts[pair] += freq
+            where[pair].add(i)
+    ready = [(-n, pair) for pair, n in counts.items()]
+    heapq.heapify(ready)
+    merges: list[tuple[int, int, int]] = []
+    while ready and len(raw) < vocab_size:
+        key = heapq.heappop(ready)
+        pair = key[1]
+        if counts[pair] != -key[0]:
+            if counts[pair] > 0:
+                heapq.heappush(ready, (-counts[pair], pair))
+            continue
+        if key > last:
             break
-        picks.append(pair)
-        lefts.add(left)
-        rights.add(right)
-        made.add(spelled)
-        if alone:
+        left, right = ord(pair[0]) - _FIRST, ord(pair[1]) - _FIRST
+        spelled = raw[left] + raw[right]
+        known = spelled in ids
+        if not known:
+            ids[spelled] = len(raw)
+            raw.append(spelled)
+        merges.append((left, right, ids[spelled]))
+        if known:
             break
-    return picks
+        symbol, fresh = _symbol(ids[spelled]), set()
+        for i in where.pop(pair):
+            old = words[i]
+            if pair not in old:
+                continue
+            words[i] = new = old.replace(pair, symbol)
+            for p in map("".join, zip(old, old[1:])):
+                counts[p] -= freqs[i]
+            for p in map("".join, zip(new, new[1:])):
+                counts[p] += freqs[i]
+                if symbol in p:
+                    where[p].add(i)
+                    fresh.add(p)
+        for p in fresh:
+            heapq.heappush(ready, (-counts[p], p))
+    return merges
+
+
+def _replayed(state: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame:
+    """The words after ``merges``, one after the other; those of one symbol have no pairs and go."""
+
+    def replay(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        rank = _ranks(merges)
+        for words in batches:
+            yield pd.Series([_merged(w, rank, in_order=True) for w in words], dtype=object)
 
-
-def _changes(state: DataFrame) -> dict[str, int]:
-    """Change of every pair count between ``previous`` and ``symbols``.
-
-    A merge changes only pairs next to its symbols: at most four pairs per
-    merge and symbol that stands there, which the vocabulary bounds.
-    """
-    both = F.array(
-        F.struct(F.col("previous").alias("symbols"), (-F.col("freq")).alias("freq")),
-        F.struct(F.col("symbols").alias("symbols"), F.col("freq").alias("freq")),
-    )
-    sides = state.filter("symbols <> previous").select(F.explode(both).alias("side")).select("side.*")
-    return {r["pair"]: r["freq"] for r in pair_counts(sides).filter("freq <> 0").collect()}
+    udf = F.pandas_udf(replay, T.StringType())
+    return state.select(udf("symbols").alias("symbols"), "freq").filter(F.length("symbols") > 1)
 
 
 def learn(words: DataFrame, vocab_size: int = settings.VOCAB_SIZE,
           min_frequency: int = settings.MIN_FREQUENCY, checkpoint_every: int = 32) -> Vocabulary:
     """Learn merges from ``words(word, freq)``; the words stay distributed.
 
-    A full count of all pairs brings the ``TOP`` most frequent ones to the
-    driver.  Each round then merges the best pairs and counts only the words
-    that hold them, which keeps the known counts exact.  A pair outside the
-    known ones never exceeds the smallest of the full count, so picks above
-    that floor are final; below it a new full count starts.
+    A round counts all pairs and calls the most frequent ones, ``TOP`` at most,
+    active.  A pair that a merge makes is no more frequent than the one it stands on,
+    and its symbols are newer, so what lies across an inactive pair ranks behind all
+    active ones until the round ends.  The words are therefore cut there, equal parts
+    are added up, and the driver merges within the parts, one pair at a time, until
+    the best pair ranks behind the last active one.  ``PART_SYMBOLS`` bounds what it
+    holds; where parts would be larger, fewer pairs are active and the rounds are
+    more.  The merges of a round are then replayed on the words.
     """
     if vocab_size > MAX_VOCAB:
         raise ValueError(f"vocab_size above {MAX_VOCAB}")
@@ -188,7 +250,7 @@ def learn(words: DataFrame, vocab_size: int = settings.VOCAB_SIZE,
     raw = Vocabulary(()).token_bytes()
     ids = {t: i for i, t in enumerate(raw)}
     merges: list[tuple[int, int, int]] = []
-    pending, held = 0, []
+    pending, held, most = 0, [], TOP
     while len(raw) < vocab_size:
         top = (
             pair_counts(state).filter(F.col("freq") >= min_frequency)
@@ -196,63 +258,55 @@ def learn(words: DataFrame, vocab_size: int = settings.VOCAB_SIZE,
         )
         if not top:
             break
-        known = {r["pair"]: r["freq"] for r in top}
-        floor = top[-1]["freq"] if len(top) == TOP else 0
-        ranked = [r["pair"] for r in top]  # freshly counted: exact down to the floor
-        complete = True
-        while complete and ranked and len(raw) < vocab_size:
-            picks = _batch(ranked, ids, raw)
-            rewritten, done = F.col("symbols"), []
-            for pair in picks:
-                if len(raw) >= vocab_size:
-                    break
-                left, right = ord(pair[0]) - _FIRST, ord(pair[1]) - _FIRST
-                spelled = raw[left] + raw[right]
-                if spelled in ids:  # the token existed: its pairs are not all known
-                    complete = False
-                else:
-                    ids[spelled] = len(raw)
-                    raw.append(spelled)
-                merges.append((left, right, ids[spelled]))
-                rewritten = F.replace(rewritten, F.lit(pair), F.lit(_symbol(ids[spelled])))
-                done.append(pair)
-            # One job per round: rewriting fills the cache the next round reads.
-            following = state.select(
-                rewritten.alias("symbols"), "freq", F.col("symbols").alias("previous")
-            ).persist()
-            if complete and len(raw) < vocab_size:
-                fresh = {_symbol(ids[raw[i]]) for i in range(len(raw) - len(done), len(raw))}
-                for pair, change in _changes(following).items():
-                    if pair in known or fresh & set(pair):
-                        known[pair] = known.get(pair, 0) + change
-                for pair in done:
-                    known.pop(pair, None)
-                # Merging never makes an existing pair more frequent: what is not
-                # above the floor now cannot be picked before the next full count.
-                least = max(min_frequency, floor + 1)
-                known = {p: f for p, f in known.items() if f >= least}
-                best = heapq.nsmallest(CANDIDATES, ((-f, p) for p, f in known.items()))
-                ranked = [p for _f, p in best]
-            state = following.select("symbols", "freq")
-            held.append(following)
-            pending += len(done)
-            if pending >= checkpoint_every:
-                # Words that are one symbol by now have no pairs left.
-                state, pending = cut_lineage(state.filter(F.length("symbols") > 1)), 0
-                cut = len(held)
-            else:
-                cut = len(held) - 1
-            for stale in held[:cut]:
+        found, most = _bounded_parts(state, [r["pair"] for r in top], most)
+        last = top[most - 1]
+        done = _learn_parts(found, (-last["freq"], last["pair"]), raw, ids, vocab_size)
+        merges += done
+        most = min(TOP, 2 * most)
+        state = _replayed(state, done).persist()
+        held.append(state)
+        pending += len(done)
+        if pending >= checkpoint_every:
+            state, pending = cut_lineage(state), 0
+            for stale in held:
                 stale.unpersist()
-            held = held[cut:]
+            held = []
     for stale in held:
         stale.unpersist()
     return Vocabulary(tuple(merges))
 
 
+def _ranks(merges: Sequence[tuple[int, int, int]]) -> dict[str, tuple[int, str]]:
+    return {_symbol(l) + _symbol(r): (n, _symbol(m)) for n, (l, r, m) in reversed(list(enumerate(merges)))}
+
+
+def _merged(word: str, rank: dict[str, tuple[int, str]], in_order: bool = False) -> str:
+    """``word`` after its merges, the best first; ``in_order``: none after a later one."""
+    parts: list[str | None] = list(word)
+    after = [*range(1, len(parts)), -1]
+    before = list(range(-1, len(parts) - 1))
+    # The best pair first, the leftmost of equals; entries whose symbols changed are stale.
+    ready = [(rank[pair][0], i, pair) for i, pair in enumerate(map("".join, zip(parts, parts[1:]))) if pair in rank]
+    heapq.heapify(ready)
+    while ready:
+        now, i, pair = heapq.heappop(ready)
+        j = after[i]
+        if parts[i] is None or j < 0 or parts[i] + parts[j] != pair:
+            continue
+        parts[i], parts[j], after[i] = rank[pair][1], None, after[j]
+        if after[i] >= 0:
+            before[after[i]] = i
+        for left in (before[i], i):
+            if left >= 0 and after[left] >= 0:
+                fresh = parts[left] + parts[after[left]]
+                if fresh in rank and not (in_order and rank[fresh][0] <= now):
+                    heapq.heappush(ready, (rank[fresh][0], left, fresh))
+    return "".join(p for p in parts if p is not None)
+
+
 def _word_encoder(vocab: Vocabulary):
     """Function word -> symbol string, remembering recent words."""
-    rank = {_symbol(l) + _symbol(r): (n, _symbol(m)) for n, (l, r, m) in reversed(list(enumerate(vocab.merges)))}
+    rank = _ranks(vocab.merges)
     table = {b: _BYTE_SYMBOLS[b] for b in range(256)}
 
     special = settings.SPECIAL_TOKEN
@@ -261,26 +315,7 @@ def _word_encoder(vocab: Vocabulary):
     def encode(word: str) -> str:
         if word == special:
             return _symbol(SPECIAL_ID)
-        parts: list[str | None] = list(word.encode("utf-8").decode("latin-1").translate(table))
-        after = [*range(1, len(parts)), -1]
-        before = list(range(-1, len(parts) - 1))
-        # The best pair first, the leftmost of equals; entries whose symbols changed are stale.
-        ready = [(rank[pair][0], i, pair) for i, pair in enumerate(map("".join, zip(parts, parts[1:]))) if pair in rank]
-        heapq.heapify(ready)
-        while ready:
-            _, i, pair = heapq.heappop(ready)
-            j = after[i]
-            if parts[i] is None or j < 0 or parts[i] + parts[j] != pair:
-                continue
-            parts[i], parts[j], after[i] = rank[pair][1], None, after[j]
-            if after[i] >= 0:
-                before[after[i]] = i
-            for left in (before[i], i):
-                if left >= 0 and after[left] >= 0:
-                    fresh = parts[left] + parts[after[left]]
-                    if fresh in rank:
-                        heapq.heappush(ready, (rank[fresh][0], left, fresh))
-        return "".join(p for p in parts if p is not None)
+        return _merged(word.encode("utf-8").decode("latin-1").translate(table), rank)
 
     return encode
 

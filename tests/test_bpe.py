@@ -1,9 +1,11 @@
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.catalog import token_queries
 from corpusloom.operators import bpe
 
 TEXTS = [
@@ -70,3 +72,50 @@ def test_tables(spark):
     assert vocab.roles_table(spark).first()["eos_token"] == "<|endoftext|>"
     with pytest.raises(ValueError):
         bpe.learn(spark.createDataFrame([("a", 1)], "word string, freq long"), bpe.MAX_VOCAB + 1)
+
+
+def one_at_a_time(words, size, least=2):
+    """Merges over byte strings, every pair counted anew for every merge."""
+    ids = {t: i for i, t in enumerate(bpe.Vocabulary(()).token_bytes())}
+    raw = list(ids)
+    state = [([ids[bytes([b])] for b in w.encode()], n) for w, n in words]
+    merges = []
+    while len(raw) < size:
+        counts = Counter()
+        for w, n in state:
+            for pair in zip(w, w[1:]):
+                counts[pair] += n
+        (left, right), n = min(counts.items(), key=lambda x: (-x[1], x[0]), default=((0, 0), 0))
+        if n < least:
+            break
+        if raw[left] + raw[right] not in ids:
+            ids[raw[left] + raw[right]] = len(raw)
+            raw.append(raw[left] + raw[right])
+        merged = ids[raw[left] + raw[right]]
+        merges.append((left, right, merged))
+        for w, _ in state:
+            i = 0
+            while i < len(w) - 1:
+                if (w[i], w[i + 1]) == (left, right):
+                    w[i:i + 2] = [merged]
+                i += 1
+    return tuple(merges)
+
+
+@pytest.mark.parametrize("top, symbols", [(4_096, 1_000_000), (40, 1_000_000), (4_096, 60)])
+def test_learns_until_no_pair_is_left(spark, docs, monkeypatch, top, symbols):
+    monkeypatch.setattr(bpe, "TOP", top)
+    monkeypatch.setattr(bpe, "PART_SYMBOLS", symbols)
+    rng = random.Random(3)
+    words = [("".join(rng.choices("aab", k=rng.randrange(1, 9))), rng.randrange(1, 4)) for _ in range(30)]
+    words = list(dict(words).items())
+    table = spark.createDataFrame(words, "word string, freq long")
+    assert bpe.learn(table).merges == one_at_a_time(words, 50_257)
+
+
+def test_queries_learn_the_whole_vocabulary(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(bpe, "learn", lambda words, size, least: sizes.append((size, least)) or bpe.Vocabulary(()))
+    docs = spark.createDataFrame([("s", 0, "a")], "source string, ord long, text string")
+    token_queries._vocabulary(docs)
+    assert sizes == [(50_257, 2)]
