@@ -42,6 +42,7 @@ PREFIXES = range(3, 9)
 FUZZY_LENGTH = 5  # shorter words must be spelled right
 STEM_LEVELS = 6  # occurrences of stems that are told apart
 WINDOW = 4  # words on either side
+MISSPELLED = 0.6  # belief in a misspelled word that no row shows; alone it marks no text
 THRESHOLD = 0.7
 SEED = 4
 QUOTED, NOTHING, STEMS = -1, -2, -3  # in the place of a term
@@ -191,10 +192,11 @@ def stem_level(hits: Counter, terms: list[str]) -> int:
 
 
 def _chance(toxic: float, clean: float, rows: dict[int, int], share: float, belief: float = 0.5, weight: float = 1.0) -> float:
-    """P(toxic | seen) at the labels' own share of toxic rows, from a sample that is even by label."""
-    hit = (toxic + weight * belief) / (rows[1] + weight)
-    miss = (clean + weight * (1 - belief)) / (rows[0] + weight)
-    return share * hit / (share * hit + (1 - share) * miss)
+    """P(toxic | seen): the seen rows weighted back to the labels' own share of toxic
+    rows, and a belief of ``weight`` rows, whatever the sizes of the two samples."""
+    seen = toxic + clean
+    bad, good = share * toxic / rows[1], (1 - share) * clean / rows[0]
+    return ((seen * bad / (bad + good) if bad + good else 0.0) + weight * belief) / (seen + weight)
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
@@ -297,8 +299,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     def chance(term: int, edits: int, belief: float, weight: float) -> float:
         return _chance(n[1, term, edits], n[0, term, edits], size, share, belief, weight)
 
-    # A misspelled word is believed to mean the word, a stem less so, until rows say otherwise.
-    each = [(chance(t, 0, 0.5, 1.0), chance(t, 1, 0.9 if term.startswith("=") else 0.5, 2.0)) for t, term in enumerate(terms)]
+    # A misspelled word is believed to mean the word rather than not, until rows say otherwise.
+    each = [(chance(t, 0, 0.5, 1.0), chance(t, 1, MISSPELLED if term.startswith("=") else 0.5, 2.0)) for t, term in enumerate(terms)]
     # More occurrences never mean less.
     levels = [0.0]
     for level in range(1, STEM_LEVELS + 1):

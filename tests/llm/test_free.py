@@ -116,6 +116,15 @@ def test_learns_terms_and_context(spark):
     assert scored[1_000]["score"] > scored[1_003]["score"] and scored[1_001]["score"] == scored[1_002]["score"]
 
 
+def test_chances_do_not_depend_on_the_sample(spark):
+    whole, capped = {0: 54_000, 1: 6_000}, {0: 6_000, 1: 6_000}
+    for belief, weight in ((toxicity.MISSPELLED, 2.0), (0.5, 1.0)):
+        unseen = [toxicity._chance(0, 0, size, 0.1, belief, weight) for size in (whole, capped)]
+        assert unseen == [belief, belief] and belief < toxicity.THRESHOLD
+    # As many rows, of which the same part is toxic in all labelled rows.
+    assert abs(toxicity._chance(5, 5, whole, 0.1) - toxicity._chance(9, 1, capped, 0.1)) < 1e-9
+
+
 def test_without_labels(spark, docs, rows):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity.op4(docs, none).collect()
