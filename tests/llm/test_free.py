@@ -167,6 +167,22 @@ def test_packing(docs, rows, monkeypatch):
     assert Counter(map(tuple, lengths)) == Counter((r["doc_id"], r["piece"], r["n_tokens"]) for r in got)
 
 
+def test_batches_follow_the_rows(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(packing, "TOKEN_BUDGET", 30)
+    monkeypatch.setattr(packing.batches, "__defaults__", (packing.BUCKETS, 30, None))
+    # 300 rows in the order of a mix: every third from b, ten documents of it again and again.
+    rows = [(1_000 + i // 3 % 10, "one two three") if i % 3 == 2 else (i, "one two three") for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "x"), mode="append")
+    spark.createDataFrame([(7_000, "one two three")], "doc_id long, text string").repartition(3).limit(0).write.parquet(
+        str(tmp_path / "x"), mode="append")
+    got = packing.pack(spark.read.parquet(str(tmp_path / "x"))).collect()
+    got = sorted(got, key=lambda r: (r["batch"], r["slot"]))
+    assert [r["doc_id"] for r in got] == [i for i, _ in rows]
+    for k in range(30):
+        batch = [r["doc_id"] for r in got if r["batch"] == k]
+        assert abs(sum(i >= 1_000 for i in batch) - len(batch) / 3) < 1 and len(set(batch)) == len(batch) == 10
+
+
 # --- fingerprints ---
 def test_entropy_classes():
     rng = np.random.default_rng(4)
