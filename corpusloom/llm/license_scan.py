@@ -1,7 +1,9 @@
 """Licence notices by sentences: known sentences become identifiers, sequences of
 identifiers are matched against ordered licence rules.
 
-A text is cut at line ends and after ``. ! ? ;`` before white space.  A sentence
+A known sentence that is wrapped over lines, with or without comment marks, is first
+put on one line; a line without letters and digits ends it.  Then a text is cut at
+line ends and after ``. ! ? ;`` before white space.  A sentence
 is lower-cased (A-Z) and its runs of other characters than letters and digits
 become one space.  A known sentence becomes its identifier, an unknown one that
 speaks of a licence becomes ``?``, others nothing.  The rules are tried in order on
@@ -79,12 +81,26 @@ RULES = (
 GUARD = "licen[sc]e|public license|rights reserved|redistribution|permission is hereby|cc0|spdx"
 SPEAKS = "licen[sc]e"
 CUT = r"[\n\r]+|[.!?;]+[\x20\x09]+"
+WRAPPED_GUARD = GUARD.replace(" ", "[^a-z0-9]+")
+# Between two words of a sentence: no sentence mark and no blank line, comment marks after a line break.
+_LINE = r"(?:\r\n|\r|\n)(?![^A-Za-z0-9\r\n]*[\r\n])(?:[\x20\x09]*;+)?"
+_BETWEEN = rf"(?:[^A-Za-z0-9\r\n.!?;]|[.!?;](?![\x20\x09\r\n])|{_LINE})+"
+_STARTS = r"(?<![A-Za-z0-9])(?<![A-Za-z0-9][^A-Za-z0-9\r\n.!?;]{1,8})"
+_ENDS = r"(?=[^A-Za-z0-9\r\n.!?;]*(?:[.!?;]+[\x20\x09]|[.!?;]*[^A-Za-z0-9\r\n]*(?:[\r\n]|\z)))"
 
 
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def unwrapped(text: Column) -> Column:
+    """Every known sentence on one line, the longest first."""
+    joined = text
+    for sentence in sorted((x for x in SENTENCES if " " in x), key=len, reverse=True):
+        joined = F.regexp_replace(joined, "(?i)" + _STARTS + _BETWEEN.join(sentence.split()) + _ENDS, sentence)
+    return F.when(F.rlike(text, F.lit(r"[\r\n]")), joined).otherwise(text)
+
+
 def identifiers(text: Column) -> Column:
     """The identifier sequence of a text, one character a sentence."""
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
@@ -95,7 +111,7 @@ def identifiers(text: Column) -> Column:
             F.element_at(known, p),
             F.when(F.rlike(p, F.lit(SPEAKS)), "?").otherwise("")))
 
-    return F.array_join(F.transform(F.split(text, CUT, -1), one), "")
+    return F.array_join(F.transform(F.split(unwrapped(text), CUT, -1), one), "")
 
 
 def licences(ids: Column) -> Column:
@@ -111,7 +127,7 @@ def licences(ids: Column) -> Column:
 def scan(docs: DataFrame) -> DataFrame:
     """``doc_id, sentence_ids, licences, n_known, n_unknown``."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    seen = docs.select("doc_id", F.when(F.rlike(text, F.lit("(?i)" + GUARD)), identifiers(text)).otherwise("").alias("sentence_ids"))
+    seen = docs.select("doc_id", F.when(F.rlike(text, F.lit("(?i)" + WRAPPED_GUARD)), identifiers(text)).otherwise("").alias("sentence_ids"))
     return seen.select(
         "doc_id", "sentence_ids",
         F.when(F.col("sentence_ids") != "", licences(F.col("sentence_ids"))).otherwise(

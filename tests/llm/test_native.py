@@ -139,6 +139,45 @@ def test_licence_sequences(spark):
     assert got == {1: ("Mmn", "MIT"), 2: ("?", ""), 3: ("R", "proprietary")}
 
 
+WRAPPED = {
+    "MIT": """Permission is
+hereby granted, free of charge, to any person obtaining a copy of this software
+and associated documentation files (the "Software"), to deal in the Software
+without restriction.
+
+The above copyright notice and this permission notice shall be included in
+all copies or substantial portions of the Software.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.""",
+    "Apache-2.0": """Licensed under the Apache License,
+Version 2.0 (the "License"); you may not use this file except in
+compliance with the License. You may obtain a copy of
+the License at""",
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+}
+
+
+@pytest.mark.parametrize("mark, end", [("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("// ", "\n"), (";; ", "\n")])
+def test_wrapped_licences(spark, mark, end):
+    texts = [(k, "".join(mark + line + end for line in t.split("\n"))) for k, t in WRAPPED.items()]
+    # A blank line ends a sentence.
+    texts.append(("", WRAPPED["GPL-3.0"].replace("modify\n", "modify\n\n")))
+    df = spark.createDataFrame(texts, "doc_id string, text string")
+    assert {r["doc_id"]: r["licences"] for r in license_scan.op5(df).collect()} == {k: k for k, _ in texts}
+
+
 def test_period_deviates_less_than_a_block(spark):
     for units in ([1], [500, 300, 200], [333, 333, 334], [900, 1, 99], [7] * 30 + [400]):
         total, done = sum(units), [0] * len(units)
