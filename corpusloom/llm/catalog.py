@@ -16,6 +16,7 @@ from corpusloom.llm import (
     packing,
     pii,
     sharding,
+    target_resampling,
     toxicity,
 )
 from corpusloom.llm.tables import documents
@@ -29,6 +30,10 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.op4(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
 
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return target_resampling.op11(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 QUERIES = {
     "op1_pii": over_documents(pii.op1),
     "op2_exact_dedup": over_documents(exact_dedup.op2),
@@ -40,10 +45,12 @@ QUERIES = {
     "op8_fingerprints": over_documents(fingerprints.op8),
     "op9_sharding": over_documents(sharding.op9),
     "op10_jaccard_join": over_documents(jaccard_join.op10),
+    "op11_target_resampling": op11,
 }
 ORACLES = {
     "op1_pii": pii.SQL,
     "op2_exact_dedup": exact_dedup.SQL,
     "op5_license_scan": license_scan.SQL,
     "op6_mixing": mixing.SQL,
+    "op11_target_resampling": target_resampling.SQL,
 }
