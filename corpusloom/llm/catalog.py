@@ -12,6 +12,7 @@ from corpusloom.llm import (
     jaccard_join,
     language_model,
     license_scan,
+    line_dedup,
     mixing,
     packing,
     pii,
@@ -46,6 +47,7 @@ QUERIES = {
     "op9_sharding": over_documents(sharding.op9),
     "op10_jaccard_join": over_documents(jaccard_join.op10),
     "op11_target_resampling": op11,
+    "op13_line_dedup": over_documents(line_dedup.op13),
 }
 ORACLES = {
     "op1_pii": pii.SQL,
@@ -53,4 +55,5 @@ ORACLES = {
     "op5_license_scan": license_scan.SQL,
     "op6_mixing": mixing.SQL,
     "op11_target_resampling": target_resampling.SQL,
+    "op13_line_dedup": line_dedup.SQL,
 }
