@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import (
+    collocations,
     exact_dedup,
     fingerprints,
     jaccard_join,
@@ -47,6 +48,7 @@ QUERIES = {
     "op9_sharding": over_documents(sharding.op9),
     "op10_jaccard_join": over_documents(jaccard_join.op10),
     "op11_target_resampling": op11,
+    "op12_collocations": over_documents(collocations.op12),
     "op13_line_dedup": over_documents(line_dedup.op13),
 }
 ORACLES = {
@@ -55,5 +57,6 @@ ORACLES = {
     "op5_license_scan": license_scan.SQL,
     "op6_mixing": mixing.SQL,
     "op11_target_resampling": target_resampling.SQL,
+    "op12_collocations": collocations.SQL,
     "op13_line_dedup": line_dedup.SQL,
 }
