@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.tables import stored
+from corpusloom.llm.tables import packed, stored, unpacked
 
 FAN_BITS = 4  # 16 runs merge into one
 LEVELS = 2
@@ -72,11 +72,12 @@ def decide(docs: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     digests = stored(with_digest(docs.select("doc_id", "text")).drop("text"), "digests")
-    merged = winners(digests).select(
-        RUN, *DIGEST, F.col("keep_id").alias("__keep"), F.col("group_size").alias("__n"))
-    nth = F.row_number().over(Window.partitionBy(RUN, *DIGEST, "doc_id").orderBy(F.lit(0)))
-    return with_digest(docs).join(merged, [RUN, *DIGEST]).filter(F.col("doc_id").eqNullSafe(F.col("__keep"))).withColumn(
-        "__nth", nth).filter("__nth = 1").select(*docs.columns)
+    merged = winners(digests).select(RUN, *DIGEST, "keep_id")
+    # Of rows equal in text and id one stays, whatever the order in which they arrive.
+    nth = F.row_number().over(Window.partitionBy(RUN, *DIGEST, "doc_id").orderBy(F.xxhash64(F.to_json("row"))))
+    rows = with_digest(packed(docs, "doc_id", "text")).drop("text").join(merged, [RUN, *DIGEST]).filter(
+        F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    return unpacked(rows.withColumn("nth", nth).filter("nth = 1"), docs.columns)
 
 
 def op2(docs: DataFrame) -> DataFrame:

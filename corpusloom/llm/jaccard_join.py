@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.graph import components
-from corpusloom.llm.tables import stored
+from corpusloom.llm.tables import bounded_batches, packed, stored, unpacked
 from corpusloom.llm.words import blocks, mix, shingle_sets
 
 CHECK_COST = 3  # a candidate's check, in postings
@@ -148,8 +148,8 @@ def often_shared(docs: DataFrame) -> Order:
     return Order(h[by_hash], n[by_hash].astype(np.int32))
 
 
-def post(docs: DataFrame, late: Order) -> DataFrame:
-    """``key, class`` of every class that a task meets."""
+def live_lists(docs: DataFrame, late: Order) -> DataFrame:
+    """``key`` of the lists that several classes are posted to; a task posts each class it meets once."""
     shared = docs.sparkSession.sparkContext.broadcast(late)
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +168,11 @@ def post(docs: DataFrame, late: Order) -> DataFrame:
                         [pa.array(np.concatenate(keys).view(np.int64)),
                          pa.array(np.repeat(np.array(classes, dtype=np.int64), [len(k) for k in keys]))], ["key", "class"])
 
-    return docs.select("text").mapInArrow(one, "key long, class long")
+    lists = docs.select("text").mapInArrow(one, "key long, class long").groupBy("key").agg(
+        F.min("class").alias("first"), F.max("class").alias("last"))
+    live = stored(lists.filter("first <> last").select("key"), "live-lists")
+    shared.destroy()
+    return live
 
 
 def key_filter(keys: DataFrame) -> np.ndarray:
@@ -210,11 +214,11 @@ def may_link(a: np.ndarray, b: np.ndarray) -> bool:
     return int(np.minimum(a, b).sum()) >= needed(n, m)
 
 
-SURVEYED = "doc_id long, n long, class long, keys array<long>, places array<int>, shared int, cells binary"
+SURVEYED = "doc_id long, mark long, n long, class long, keys array<long>, places array<int>, shared int, cells binary"
 
 
 def survey(docs: DataFrame, late: Order, live: np.ndarray) -> DataFrame:
-    """Every document's size and class; with the first of a class that a task meets
+    """Every document's size and class, stored; with the first of a class that a task meets
     its keys that other classes may have too and, if there are any, its histogram."""
     context = docs.sparkSession.sparkContext
     shared_late, shared_live = context.broadcast(late), context.broadcast(live)
@@ -222,7 +226,7 @@ def survey(docs: DataFrame, late: Order, live: np.ndarray) -> DataFrame:
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = {0}
         for batch in batches:
-            for first, sets in sets_of(batch.column(1)):
+            for first, sets in sets_of(batch.column(2)):
                 classes, keys, places, shared, cells = [], [], [], [], []
                 for s in sets:
                     d = digest(s)
@@ -239,12 +243,21 @@ def survey(docs: DataFrame, late: Order, live: np.ndarray) -> DataFrame:
                     shared.append(1_000 * len(mine) // posted if len(mine) else 0)
                     cells.append(cells_of(s).tobytes() if len(mine) else None)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(first, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
+                    batch.column(0).slice(first, len(sets)), batch.column(1).slice(first, len(sets)),
+                    pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(classes, pa.int64()), _lists(keys), _lists(places).cast(pa.list_(pa.int32())),
                     pa.array(shared, pa.int32()), pa.array(cells, pa.binary())],
-                    ["doc_id", "n", "class", "keys", "places", "shared", "cells"])
+                    ["doc_id", "mark", "n", "class", "keys", "places", "shared", "cells"])
+
+    found = stored(docs.select("doc_id", mark().alias("mark"), "text").mapInArrow(one, SURVEYED), "survey")
+    shared_late.destroy()
+    shared_live.destroy()
+    return found
+
 
-    return docs.select("doc_id", "text").mapInArrow(one, SURVEYED)
+def mark() -> Column:
+    """Tells texts of one ``doc_id`` apart."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -267,7 +280,7 @@ def bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``class, shingles`` of the given classes, read from the texts again."""
+    """``class, shingles`` of the given classes, read from the texts again and stored."""
     shared = docs.sparkSession.sparkContext.broadcast(key_filter(classes.select(F.col("class").alias("key"))))
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,30 +298,23 @@ def whole_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
                 whole = list(found.values())
                 yield pa.RecordBatch.from_arrays([pa.array(ids[some]), _lists([whole[i] for i in some])], ["class", "shingles"])
 
-    return docs.select("text").mapInArrow(one, "class long, shingles array<long>").join(
-        classes, "class", "left_semi").dropDuplicates(["class"])
+    sets = stored(docs.select("text").mapInArrow(one, "class long, shingles array<long>").join(
+        classes, "class", "left_semi").dropDuplicates(["class"]), "sets")
+    shared.destroy()
+    return sets
 
 
 def checked(docs: DataFrame, pairs: DataFrame, histograms: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose whole sets link."""
+    """The pairs ``a, b`` whose whole sets link; a pair of sets meets in the JVM, one pair at a time."""
     pairs = stored(bounded(pairs, histograms), "bounded")
     classes = stored(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "classes")
-    sets = stored(whole_sets(docs, classes), "sets")
+    sets = whole_sets(docs, classes)
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                u, v = x.values.to_numpy(zero_copy_only=False), y.values.to_numpy(zero_copy_only=False)
-                both = np.concatenate([u, v])
-                both.sort()
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * common >= 75 * (len(u) + len(v) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(link, "a long, b long")
+    common = F.size(F.array_intersect("sa", "sb"))
+    links = pairs.join(left, "a").join(right, "b").select(
+        "a", "b", common.alias("common"), (F.size("sa") + F.size("sb")).alias("both"))
+    return links.filter("100 * common >= 75 * (both - common)").select("a", "b")
 
 
 def joinable(n: Column, place: Column, m: Column, other_place: Column) -> Column:
@@ -322,10 +328,10 @@ def joinable(n: Column, place: Column, m: Column, other_place: Column) -> Column
 
 def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All documents with their classes, and ``node, label`` of linked classes."""
+    bounded_batches(docs)
     late = often_shared(docs)
-    lists = post(docs, late).groupBy("key").agg(F.min("class").alias("first"), F.max("class").alias("last"))
-    live = stored(lists.filter("first <> last").select("key"), "live-lists")
-    members = stored(survey(docs, late, key_filter(live)), "survey")
+    live = live_lists(docs, late)
+    members = survey(docs, late, key_filter(live))
 
     with_keys = members.filter(F.size("keys") > 0)
     histograms = stored(with_keys.select("class", "n", "cells").dropDuplicates(["class"]), "histograms")
@@ -351,17 +357,21 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         stars.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
     more = stored(checked(docs, fresh, histograms), "more-links")
     if more.isEmpty():
-        return members.select("doc_id", "n", "class"), labels
-    return members.select("doc_id", "n", "class"), components(
+        return members.select("doc_id", "mark", "n", "class"), labels
+    return members.select("doc_id", "mark", "n", "class"), components(
         labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
 
 
+def labelled(docs: DataFrame) -> DataFrame:
+    """``doc_id, mark, n, class, label`` of every row, stored; rows of a component share a label."""
+    members, labels = linked_classes(docs)
+    return stored(members.join(labels, members["class"] == labels["node"], "left").select(
+        "doc_id", "mark", "n", "class", F.coalesce("label", "class").alias("label")), "labelled")
+
+
 def groups(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, class, component_id`` of every row."""
-    members, labels = linked_classes(docs)
-    labelled = members.join(labels, members["class"] == labels["node"], "left").select(
-        "doc_id", "n", "class", F.coalesce("label", "class").alias("label"))
-    named = stored(labelled, "labelled")
+    named = labelled(docs)
     # A class of empty sets links nothing; its documents answer for themselves.
     least = named.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("component"))
     return named.join(least, "label", "left").select(
@@ -370,9 +380,18 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group, the one with the smallest ``doc_id``."""
-    gone = stored(groups(docs.select("doc_id", "text")).filter("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group, the one with the smallest ``doc_id``; all columns pass through.
+
+    A null ``doc_id`` is larger than any other.  Rows that share a ``doc_id`` are told apart by their sets: of
+    different texts with the smallest one the one with the smaller class stays, in all its rows."""
+    named = labelled(docs.select("doc_id", "text")).filter("n > 0")
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "class")
+    least = named.groupBy("label").agg(F.min(rank).alias("least"))
+    gone = stored(named.withColumn("rank", rank).join(least, "label").filter("rank <> least").select(
+        F.col("doc_id").alias("id"), "mark").distinct(), "near-copies")
+    rows = packed(docs, "text").withColumn("of", mark())
+    left = rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("of") == F.col("mark")), "left_anti")
+    return unpacked(left, docs.columns)
 
 
 def op10(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.tables import uniform, with_places
+from corpusloom.llm.tables import packed, uniform, unpacked, with_places
 
 BLOCK_ROWS = 64
 UNITS = 1_000  # resolution of the weights
@@ -127,8 +127,8 @@ def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None) ->
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None) -> DataFrame:
     """The documents in the order of the mix, each as often as it has turns."""
-    ordered = schedule(docs, weights).repartitionByRange("__slot", "__row").sortWithinPartitions("__slot", "__row")
-    return ordered.select(*docs.columns)
+    ordered = schedule(packed(docs, "doc_id", "source"), weights).repartitionByRange("__slot", "__row").sortWithinPartitions("__slot", "__row")
+    return unpacked(ordered, docs.columns)
 
 
 def op6(docs: DataFrame) -> DataFrame:

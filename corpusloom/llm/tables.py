@@ -28,6 +28,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 16 << 20  # of an Arrow batch; a larger row goes alone
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session sends Python batches of at most ``BATCH_BYTES``.
+
+    Batches are counted in rows unless told otherwise, and rows can be long."""
+    settings = df.sparkSession.conf
+    if int(settings.get(_BATCH_SETTING, str(2**31 - 1)).rstrip("bB")) > BATCH_BYTES:
+        settings.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The whole row as the struct ``row`` and ``columns`` beside it, so that no other name can clash."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(whole, *columns)
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The ``columns`` of a ``packed`` frame."""
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])
+
+
 def uniform(seed: int, *parts: Column | str) -> Column:
     """A pseudo-random LONG in [0, 2^60) from the values; null counts as a value."""
     texts = [F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("null")) for p in parts]

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.tables import stored, uniform
+from corpusloom.llm.tables import bounded_batches, packed, stored, uniform, unpacked
 
 FIT_ROWS = 6_000  # labelled rows of either label that are learned from
 MAX_TERMS = 2_000  # size of the lexicon
@@ -46,7 +46,8 @@ MISSPELLED = 0.6  # belief in a misspelled word that no row shows; alone it mark
 THRESHOLD = 0.7
 SEED = 4
 QUOTED, NOTHING, STEMS = -1, -2, -3  # in the place of a term
-CACHE = 500_000
+CACHE = 100_000  # remembered words
+STATES = 20_000  # built states
 WORD = re.compile(r"[^\W_]+")
 # Words that report speech, and marks of quotation.
 REPORTS = {"said", "says", "quoted", "quote", "called", "wrote", "word", "term", "insult", "slur"}
@@ -80,6 +81,10 @@ class Matcher:
                 node = self.children[node][ch]
             (self.ends if term.startswith("=") else self.stems)[node] = number
         self.alphabet = {ch for edges in self.children for ch in edges}
+        self.forget()
+
+    def forget(self) -> None:
+        """Start over with no states and no words; they are built again as needed."""
         self.states: dict[frozenset, int] = {}
         self.members: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
@@ -123,6 +128,8 @@ class Matcher:
         """``(edits, term)`` of the best term in ``word``, or nothing."""
         if word in self.known:
             return self.known[word]
+        if len(self.known) >= CACHE or len(self.members) >= STATES:
+            self.forget()
         state, best = self.start, None
         for ch in word:
             hit = self.stem_hit[state]  # a character follows
@@ -139,8 +146,6 @@ class Matcher:
             hit = self.word_hit[state]
             if hit is not None and (best is None or hit < best):
                 best = hit
-        if len(self.known) >= CACHE:
-            self.known.clear()
         self.known[word] = best
         return best
 
@@ -322,12 +327,13 @@ def scorer(model: Model):
 
 def scored(docs: DataFrame, labels: DataFrame, target: str = "score") -> DataFrame:
     """``docs`` plus the score of every text."""
-    return docs.withColumn(target, scorer(fit(docs, labels))(F.col("text")))
+    return bounded_batches(docs).withColumn(target, scorer(fit(docs, labels))(F.col("text")))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold."""
-    return scored(docs, labels, "__toxicity").filter(F.col("__toxicity") < THRESHOLD).drop("__toxicity")
+    """The rows of ``docs`` that score below the threshold; all columns pass through, whatever their names."""
+    score = scorer(fit(docs.select("doc_id", "text"), labels))
+    return unpacked(packed(bounded_batches(docs), score("text").alias("score")).filter(F.col("score") < THRESHOLD), docs.columns)
 
 
 def op4(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -293,6 +293,35 @@ def test_one_of_each_group_stays(docs, rows):
     assert {r["doc_id"] for r in kept.collect()} == want
 
 
+def test_no_text_goes_with_another_of_its_id(spark):
+    words = [f"w{k}" for k in range(60)]
+    text, near = " ".join(words), " ".join([*words[:-1], "other"])
+    rows = [(1, text), (None, near), (2, near), (2, "an unrelated text of its own that stays"), (3, None), (3, None), (None, "x")]
+    kept = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, kept)) == Counter([rows[0], rows[3], rows[4], rows[5], rows[6]])
+    same = [(7, text), (7, near), (7, text), (None, near)]
+    kept = jaccard_join.keep_one(spark.createDataFrame(same, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in kept} == {7} and len({r["text"] for r in kept}) == 1
+
+
+def test_batches_are_bounded_in_bytes(spark, docs):
+    from corpusloom.llm import tables
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    tables.bounded_batches(docs)
+    assert int(spark.conf.get(setting).rstrip("bB")) == tables.BATCH_BYTES
+    spark.conf.set(setting, "1000")
+    tables.bounded_batches(docs)
+    assert spark.conf.get(setting) == "1000"
+    spark.conf.unset(setting)
+
+
+def test_matcher_forgets(monkeypatch):
+    found = {w: toxicity.Matcher(["=stupid", "idio"]).find(w) for w in ("stupid", "stupit", "idiotic", "other", "stuppid")}
+    monkeypatch.setattr(toxicity, "STATES", 3)
+    small = toxicity.Matcher(["=stupid", "idio"])
+    assert {w: small.find(w) for w in found} == found == {w: small.find(w) for w in found}
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(200)]
     star = [(1_000, 1_000 + i) for i in range(1, 300)]

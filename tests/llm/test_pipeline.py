@@ -47,3 +47,16 @@ def test_stages_on_awkward_rows(spark, docs, no_docs, tmp_path):
             now.write.parquet(path := str(tmp_path / f"{start is docs}-{k}"))
             now = spark.read.parquet(path)
         assert (now.count() > 0) == (start is docs)
+
+
+INTERNAL = ["row", "__run", "__sha", "__size", "__second", "__norm", "__n", "__keep", "__nth", "__slot", "__order", "__lane", "__place",
+            "__epoch", "__toxicity", "score", "class", "mark", "label", "id", "of", "keep_id", "nth", "a.b"]
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES[:4]])
+def test_columns_named_like_the_operators_own(spark, stage, tmp_path):
+    spark.createDataFrame([(1, 1, 0), (2, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    schema = "doc_id long, text string, source string, " + ", ".join(f"`{c}` string" for c in INTERNAL)
+    rows = [(i, f"text number {i} of some words more", "s", *[f"{c}{i}" for c in INTERNAL]) for i in range(3)]
+    got = dict(corpus_pipeline.STAGES)[stage](spark, spark.createDataFrame(rows, schema), str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == rows and got.columns == ["doc_id", "text", "source", *INTERNAL]
