@@ -11,6 +11,7 @@ from corpusloom.catalog.registry import documents, query, table
 from corpusloom.functions.text import format_size
 from corpusloom.session import shared_folder
 from corpusloom.sources import readers, writers
+from corpusloom.sources.csv_ranges import read_csv_ranges
 from corpusloom.streaming.ingest import UnsafeResume, ingest, ingest_counts
 
 
@@ -79,10 +80,12 @@ def jsonl_sink(spark, folder):
     return spark.read.schema("id bigint, text string").json(path)
 
 
-@query("csv_multiline", """SELECT 'q "' || source || '", x' AS title, text AS content, source, CAST(doc_id AS VARCHAR) AS url, 'Unknown' AS author FROM documents""")
-def csv_multiline(spark, folder):
-    """Multi-line cells with quotes, appended in two writes; a missing column
-    takes its default."""
+_CSV = """SELECT 'q "' || source || '", x' AS title, text AS content, source, CAST(doc_id AS VARCHAR) AS url, 'Unknown' AS author FROM documents"""
+_CSV_DEFAULTS = {"title": "", "content": None, "source": None, "url": None, "author": "Unknown"}
+
+
+def _csv(spark, folder):
+    """Multi-line cells with quotes, appended in two writes."""
     rows = documents(spark, folder, "doc_id").select(
         F.concat(F.lit('q "'), "source", F.lit('", x')).alias("title"), F.col("text").alias("content"), "source",
         F.col("doc_id").cast("string").alias("url"),
@@ -91,7 +94,20 @@ def csv_multiline(spark, folder):
     even = F.col("url").cast("bigint") % 2 == 0
     writers.append_csv(rows.filter(even), path)
     writers.append_csv(rows.filter(~even), path)
-    return readers.read_csv(spark, path, {"title": "", "content": None, "source": None, "url": None, "author": "Unknown"})
+    return path
+
+
+@query("csv_multiline", _CSV)
+def csv_multiline(spark, folder):
+    """A missing column takes its default."""
+    return readers.read_csv(spark, _csv(spark, folder), _CSV_DEFAULTS)
+
+
+@query("csv_ranges", _CSV)
+def csv_ranges(spark, folder):
+    """The same files cut into ranges, which do not wait for one another."""
+    cells = read_csv_ranges(spark, _csv(spark, folder))
+    return cells.select(*[c for c in _CSV_DEFAULTS if c in cells.columns], F.lit("Unknown").alias("author"))
 
 
 @query("table_stats", "SELECT count(*) AS rows, true AS has_bytes FROM documents")

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from corpusloom.functions.text import strip
 from corpusloom.operators.order import FILE_ROW_BITS, MAX_FILES, MAX_SOURCES, order_key
 from corpusloom.operators.rows import keep
+from corpusloom.sources.csv_ranges import read_csv_ranges
 
 log = logging.getLogger(__name__)
 FILES_PER_LOOKUP = 50_000  # file ordinals in one broadcast lookup
@@ -136,16 +137,27 @@ def read_csv(spark: SparkSession, path: str, defaults: dict[str, str | None]) ->
     multi-line cells.  ``defaults`` names the wanted columns and the value of a
     column the file does not have.
 
-    Multi-line cells make a file unsplittable: write many files, not one.
+    Files are read one per task; where the largest would keep its task longer than a
+    split's size is meant to, all are cut into ranges, with the same rows.
     """
-    raw = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"',
-                         encoding="UTF-8", inferSchema=False)
+    sizes = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()
+    if (sizes[0] or 0) > _split_bytes(spark):
+        raw = read_csv_ranges(spark, path)
+    else:
+        raw = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"',
+                             encoding="UTF-8", inferSchema=False)
     return raw.select(*[
         F.col(f"`{name}`") if name in raw.columns else F.lit(value).cast("string").alias(name)
         for name, value in defaults.items()
     ])
 
 
+def _split_bytes(spark: SparkSession) -> int:
+    """Bytes of a file that one task is meant to read."""
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    return size(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+
+
 def table_stats(frame: DataFrame) -> DataFrame:
     """Row count and stored bytes of a file-based frame, per input file first
     so that only file sizes are aggregated."""
