@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.catalog.registry import documents, query, table
 from corpusloom.functions import wikitext as W
-from corpusloom.functions.text import with_unescaped
+from corpusloom.functions.entities import with_unescaped
 from corpusloom.plans.wiki_corpus import cleaning_audit
 
 # Characters with a meaning in markup leave the documents before the markup is added.

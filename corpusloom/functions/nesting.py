@@ -6,7 +6,8 @@ copies what is there; the text between them never enters the fold.  Regions do
 not overlap, so the closer of a region is found by counting closers.
 
 Marks: ``0`` a closer outside every region (kept), ``x`` the same but dropped,
-``1`` opens an outermost region, ``2`` lies inside one, ``3`` closes one.
+``1`` opens an outermost region, ``2`` lies inside one, ``3`` closes one.  Elements of
+a page add ``4``, which closes a region and is no part of it, and ``5``, a region by itself.
 """
 
 from __future__ import annotations
@@ -22,30 +23,37 @@ from corpusloom.functions.text import let
 MARKS = 256  # marks of a chunk
 
 
+def _folded(delimiters: Column, start: Column, move: Callable[[Column, Column], Column]) -> Column:
+    """Mark string for the delimiters: ``move(state, delimiter)`` is the struct ``(state, mark)`` that follows."""
+    begin = F.struct(start.alias("state"), F.lit("").alias("marks"), F.array().cast("array<string>").alias("done"))
+
+    def step(before: Column, d: Column) -> Column:
+        full = F.length(before["marks"]) >= MARKS
+        done = F.when(full, F.concat(before["done"], F.array(before["marks"]))).otherwise(before["done"])
+        marks = F.when(full, "").otherwise(before["marks"])
+        return let(move(before["state"], d), lambda m: F.struct(
+            m["state"].alias("state"), F.concat(marks, m["mark"]).alias("marks"), done.alias("done")))
+
+    return F.aggregate(delimiters, begin, step, lambda s: F.concat(F.array_join(s["done"], ""), s["marks"]))
+
+
 def _marks(delimiters: Column, opens: Callable[[Column, Column], Column],
            closes: Callable[[Column], Column], stray: str) -> Column:
     """Mark string for the delimiters; ``opens`` sees delimiter and depth."""
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("marks"), F.array().cast("array<string>").alias("done"))
 
-    def step(state: Column, d: Column) -> Column:
-        depth = state["depth"]
+    def move(depth: Column, d: Column) -> Column:
         top = depth == 0
-        full = F.length(state["marks"]) >= MARKS
-        done = F.when(full, F.concat(state["done"], F.array(state["marks"]))).otherwise(state["done"])
-        marks = F.when(full, "").otherwise(state["marks"])
 
         def to(new_depth: Column, mark: Column) -> Column:
-            return F.struct(new_depth.alias("depth"), mark.alias("mark"))
+            return F.struct(new_depth.alias("state"), mark.alias("mark"))
 
-        moved = (
+        return (
             F.when(opens(d, depth), to(depth + 1, F.when(top, "1").otherwise("2")))
             .when(~top & closes(d), to(depth - 1, F.when(depth == 1, "3").otherwise("2")))
             .otherwise(to(depth, F.when(top, stray).otherwise("2")))
         )
-        return let(moved, lambda m: F.struct(
-            m["depth"].alias("depth"), F.concat(marks, m["mark"]).alias("marks"), done.alias("done")))
 
-    return F.aggregate(delimiters, start, step, lambda s: F.concat(F.array_join(s["done"], ""), s["marks"]))
+    return _folded(delimiters, F.lit(0), move)
 
 
 class _Cut:
@@ -82,14 +90,14 @@ class _Cut:
         return F.concat(F.element_at(self.texts, 1), F.array_join(parts, ""))
 
 
-def _cut(text: Column, pattern: str, opens, closes, stray: str, body: Callable[[_Cut], Column]) -> Column:
+def _cut(text: Column, pattern: str, marks: Callable[[Column], Column], body: Callable[[_Cut], Column]) -> Column:
     delimiters = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
     def with_marks(ds: Column) -> Column:
         def with_flags(flags: Column) -> Column:
             # Places of the closers, and how many of them there are up to each delimiter.
-            closers = F.filter(F.transform(flags, lambda f, i: F.when(f == "3", i + 1)), lambda i: i.isNotNull())
-            closed = running_sum(F.transform(flags, lambda f: F.when(f == "3", 1).otherwise(0)))
+            closers = F.filter(F.transform(flags, lambda f, i: F.when(f.isin("3", "4"), i + 1)), lambda i: i.isNotNull())
+            closed = running_sum(F.transform(flags, lambda f: F.when(f.isin("3", "4"), 1).otherwise(0)))
             return let(
                 F.struct(
                     ds.alias("delimiters"), F.split(text, pattern, -1).alias("texts"),
@@ -98,7 +106,7 @@ def _cut(text: Column, pattern: str, opens, closes, stray: str, body: Callable[[
                 lambda cut: body(_Cut(cut)),
             )
 
-        return let(F.split(_marks(ds, opens, closes, stray), ""), with_flags)
+        return let(F.split(marks(ds), ""), with_flags)
 
     return let(delimiters, with_marks)
 
@@ -106,8 +114,8 @@ def _cut(text: Column, pattern: str, opens, closes, stray: str, body: Callable[[
 def drop_regions(text: Column, pattern: str, opener: str, closer: str, keep_stray_closer: bool) -> Column:
     """Text outside the regions; an unclosed region reaches the end."""
     return _cut(
-        text, pattern, lambda d, _depth: d == opener, lambda d: d == closer,
-        "0" if keep_stray_closer else "x",
+        text, pattern,
+        lambda ds: _marks(ds, lambda d, _depth: d == opener, lambda d: d == closer, "0" if keep_stray_closer else "x"),
         lambda cut: cut.rebuild(
             lambda d, i, f: F.when(f == "0", F.concat(d, cut.text_after(i)))
             .when(f.isin("x", "3"), cut.text_after(i)).otherwise("")
@@ -136,30 +144,6 @@ def map_regions(text: Column, pattern: str, opener: str, closer: str,
         )
 
     return _cut(
-        text, pattern, lambda d, _depth: d == opener, lambda d: d == closer, "0",
+        text, pattern, lambda ds: _marks(ds, lambda d, _depth: d == opener, lambda d: d == closer, "0"),
         lambda cut: cut.rebuild(lambda d, i, f: piece(cut, d, i, f)),
     )
-
-
-def tag_blocks(html: Column, tag: str, starts: str) -> Column:
-    """Array of outer HTML of every outermost ``tag`` element whose start tag
-    matches the Java pattern ``starts``; equal tags inside it are balanced."""
-    pattern = rf"(?i)<{tag}\b[^>]*>|</{tag}\s*>"
-
-    def closes(d: Column) -> Column:
-        return F.startswith(d, F.lit("</"))
-
-    def opens(d: Column, depth: Column) -> Column:
-        return ~closes(d) & ((depth > 0) | d.rlike(starts))
-
-    def blocks(cut: _Cut) -> Column:
-        def block(d: Column, i: Column) -> Column:
-            close = cut.close_of(i)
-            whole = F.when(
-                close > 0, F.concat(d, cut.inner(i, close), F.element_at(cut.delimiters, F.greatest(close, F.lit(1))))
-            ).otherwise(F.concat(d, cut.inner(i, F.size(cut.delimiters) + 1)))
-            return F.when(cut.flag(i) == "1", whole)
-
-        return F.array_compact(F.transform(cut.delimiters, block))
-
-    return _cut(html, pattern, opens, closes, "0", blocks)

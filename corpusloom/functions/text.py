@@ -1,14 +1,12 @@
 """Text expressions with Python string semantics, evaluated inside the JVM.
 
-The two things Spark has no built-in for, NFC and HTML entities, are pandas
-UDFs.  A ``CASE`` does not keep rows out of a Python UDF, so the *argument* is
-made null for rows that cannot change: Arrow then carries only the texts that
-really need Python.
+NFC, which Spark has no built-in for, is a pandas UDF.  A ``CASE`` does not keep
+rows out of a Python UDF, so the *argument* is made null for rows that cannot
+change: Arrow then carries only the texts that really need Python.
 """
 
 from __future__ import annotations
 
-import html
 import unicodedata
 from collections.abc import Callable
 
@@ -97,35 +95,16 @@ def _nfc_udf(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
 
-@F.pandas_udf(T.StringType())
-def _unescape_udf(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
-
-
-def _through_udf(df: DataFrame, source: str, target: str, udf, needs: Column) -> DataFrame:
-    changed = f"__{target}_changed"
-    return (
-        df.withColumn(changed, udf(F.when(needs, F.col(source))))
-        .withColumn(target, F.coalesce(F.col(changed), F.col(source)))
-        .drop(changed)
-    )
-
-
 def with_nfc(df: DataFrame, source: str, target: str | None = None) -> DataFrame:
     """Add ``target`` = NFC form of ``source``; null becomes the empty text."""
     target = target or source
     df = df.withColumn(target, F.coalesce(F.col(source), F.lit("")))
     # ASCII texts are NFC; both lengths are cheap, a regular expression over the
     # text costs more than the Arrow transfer it would save.
+    changed = f"__{target}_changed"
     beyond_ascii = F.octet_length(target) != F.length(target)
-    return _through_udf(df, target, target, _nfc_udf, beyond_ascii)
-
-
-def with_unescaped(df: DataFrame, source: str, target: str | None = None) -> DataFrame:
-    """Add ``target`` = ``source`` with HTML5 entities decoded."""
-    return _through_udf(
-        df, source, target or source, _unescape_udf, F.contains(F.col(source), F.lit("&"))
-    )
+    df = df.withColumn(changed, _nfc_udf(F.when(beyond_ascii, F.col(target))))
+    return df.withColumn(target, F.coalesce(F.col(changed), F.col(target))).drop(changed)
 
 
 def word_count(line: Column) -> Column:

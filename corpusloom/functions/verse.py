@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import settings
-from corpusloom.functions.nesting import tag_blocks
+from corpusloom.functions.elements import TOKEN, class_value, element_blocks, start_tag, visible
+from corpusloom.functions.entities import with_unescaped
 from corpusloom.functions.text import (
-    WS, squeeze_newlines, strip, with_unescaped,
+    WS, squeeze_newlines, strip,
 )
 
 # Fixed patterns: quotes and separators trimmed from a verse line.
@@ -72,24 +73,17 @@ def poems_of_page(html: Column, default_title: Column) -> Column:
     return F.when(html.rlike(TITLE), cut).otherwise(whole)
 
 
-def class_start(tag: str, name: str) -> str:
-    """Java pattern of a ``tag`` start whose class list contains ``name``."""
-    listed = rf"(?:[^\"]*\s)?{name}(?:\s[^\"]*)?"
-    single = listed.replace('\\"', "'")
-    return rf"""(?i)^<{tag}\b[^>]*\sclass\s*=\s*(?:"{listed}"|'{single}'|{name}(?=[\s>/]))"""
-
-
 def first_container(html: Column, tag: str, name: str | None = None) -> Column:
     """Outer HTML of the first matching element, null when there is none."""
-    start = class_start(tag, name) if name else rf"(?i)^<{tag}\b"
+    start = start_tag(tag, "class", class_value(name)) if name else start_tag(tag)
     present = F.contains(html, F.lit(name)) if name else html.rlike(rf"(?i)<{tag}\b")
-    return F.when(present, F.get(tag_blocks(html, tag, start), F.lit(0)))
+    return F.when(present, F.get(element_blocks(html, start), F.lit(0)))
 
 
 def with_element_text(df: DataFrame, source: str, target: str) -> DataFrame:
     """Add ``target`` = text nodes of ``source``, each stripped, joined without
     a separator; NUL keeps the nodes apart while entities are decoded."""
-    nodes = F.regexp_replace(F.coalesce(F.col(source), F.lit("")), r"(?s)<!--.*?-->|<[^>]*>", "\u0000")
+    nodes = F.regexp_replace(visible(F.coalesce(F.col(source), F.lit(""))), TOKEN, "\u0000")
     df = with_unescaped(df.withColumn(target, nodes), target)
     return df.withColumn(
         target, F.array_join(F.transform(F.split(F.col(target), "\u0000"), strip), "")

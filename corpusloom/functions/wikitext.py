@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from corpusloom import settings
 from corpusloom.functions.nesting import drop_regions, map_regions
+from corpusloom.functions.entities import with_unescaped
 from corpusloom.functions.text import (
     OTHER_BREAK, WS, WS_SET, contains_any, let, lstrip, rstrip, split_lines, squeeze_newlines,
-    strip, strip_lines, with_unescaped,
+    strip, strip_lines,
 )
 
 TABLE_MARKS = r"\{\||\|\}"

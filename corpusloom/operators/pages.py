@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import settings
-from corpusloom.functions.nesting import tag_blocks
-from corpusloom.functions.text import strip, with_unescaped
+from corpusloom.functions.elements import TOKEN, attribute_of, element_blocks, start_tag, visible
+from corpusloom.functions.entities import unescaped
+from corpusloom.functions.text import strip
 from corpusloom.functions.urls import article_url, author_listing_url, listing_url
 from corpusloom.functions.verse import (
     break_tags, capped_pages, first_container, is_marked, poems_of_page, with_element_text,
@@ -59,33 +60,24 @@ def first_rows_of_source(rows: DataFrame, cap: int | None = settings.SOURCE_ROW_
     return rows if cap is None else smallest(rows, sort_hex(F.col("ord")), cap)
 
 
-def quoted(value: str) -> str:
-    """Pattern of an attribute value in double, single or no quotation marks."""
-    return rf"""(?:"{value}"|'{value}'|{value}(?=[\s>/]))"""
-
-
 def listing_items(page: DataFrame, html: str = "html") -> DataFrame:
-    """``(..., item_ord, title, url, author)`` of every list item of a page."""
-    start = rf"""(?i)^<div\b[^>]*\sclass\s*=\s*{quoted("list-item")}[^>]*>"""
-    # The link is a child of the header; other children may stand before it.
-    sibling = r"(?:[^<]++|<(?!a\b|/h4\b)[^>]*+>)*+"
-    link = rf"""(?is)<h4\b[^>]*\sclass\s*=\s*{quoted("list-item-header")}[^>]*>{sibling}<a\b([^>]*)>(.*?)</a>"""
-    by = r"""(?is)<a\b[^>]*\shref\s*=\s*(?:"[^"]*/author-[^"]*"|'[^']*/author-[^']*'|[^\s"'>]*/author-[^\s>]*)[^>]*>(.*?)</a>"""
-    href = r"""(?i)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    """``(..., item_ord, title, url, author)`` of every list item of a page.
+
+    The link is a child of the item's header, the author's link any link to an author's page
+    inside the item; neither is looked for in comments, scripts and attribute values."""
     others = [c for c in page.columns if c != html]
-    items = explode_items(page, others, tag_blocks(F.col(html), "div", start), "__item", "item_ord").filter(
-        F.col("__item").rlike(link)
-    )
-    items = items.withColumn("__title", F.regexp_extract("__item", link, 2)).withColumn(
-        "url", F.concat(*[F.regexp_extract(F.regexp_extract("__item", link, 1), href, n) for n in (1, 2, 3)])
-    ).withColumn("__author", F.regexp_extract("__item", by, 1))
-    for name in ("__title", "__author"):
-        items = items.withColumn(name, F.regexp_replace(name, r"<[^>]*>", ""))
-        items = with_unescaped(items, name)
-    items = with_unescaped(items, "url")
-    return keep(items, F.col("url") != "").withColumn("title", strip(F.col("__title"))).withColumn(
-        "author", author_or_unknown(F.col("__author"))
-    ).drop("__item", "__title", "__author")
+    items = explode_items(page, others, element_blocks(F.col(html), start_tag("div", "class", "list-item")), "__item", "item_ord")
+    items = items.withColumn("__item", visible(F.col("__item")))
+    headers = element_blocks(F.col("__item"), start_tag("h4", "class", "list-item-header"))
+    by = element_blocks(F.col("__item"), start_tag("a", "href", r"""[^"'>]*/author-[^"'>]*"""))
+    items = items.select(*others, "item_ord", F.array_join(headers, "</h4>").alias("__headers"), F.get(by, F.lit(0)).alias("__by"))
+    items = items.withColumn("__link", F.get(element_blocks(F.col("__headers"), start_tag("a"), depth=1), F.lit(0)))
+    items = keep(items, F.col("__link").isNotNull())
+    inner = [F.regexp_replace(c, TOKEN, "") for c in ("__link", "__by")]
+    found = F.array(attribute_of(F.col("__link"), "a", "href"), *inner)
+    items = items.select(*others, "item_ord", F.transform(found, unescaped).alias("__found"))
+    url, title, author = [F.get("__found", F.lit(k)) for k in range(3)]
+    return keep(items, url != "").select(*others, "item_ord", url.alias("url"), strip(title).alias("title"), author_or_unknown(author).alias("author"))
 
 
 def author_or_unknown(author: Column) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom import settings
-from corpusloom.functions.text import strip, with_nfc, with_unescaped, word_count
+from corpusloom.functions.entities import with_unescaped
+from corpusloom.functions.text import strip, with_nfc, word_count
 from corpusloom.functions.verse import clean_source_note, stanza_lines, with_plain_verse
 from corpusloom.operators.firsts import first_order
 from corpusloom.operators.rows import explode_items, keep

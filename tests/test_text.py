@@ -6,6 +6,7 @@ from decimal import ROUND_HALF_EVEN, Decimal
 import pytest
 
 from corpusloom.functions import text as X
+from corpusloom.functions.entities import with_unescaped
 from corpusloom.functions.urls import article_url
 
 ALPHABET = list("ab \t\n\r\x0b\x0c\x1c\x1e\x1f\x85\xa0é　  .") + ["\r\n", "ế"]
@@ -40,7 +41,7 @@ def test_nfc_and_entities(spark):
     df = X.with_nfc(spark.createDataFrame(list(enumerate(rows)), "i int, t string"), "t", "n")
     got = {r["i"]: r["n"] for r in df.collect()}
     assert got == {i: unicodedata.normalize("NFC", t or "") for i, t in enumerate(rows)}
-    df = X.with_unescaped(spark.createDataFrame([("&lt;&eacute;&#x2014;&nbsp;&bogus;",), (None,)], "t string"), "t")
+    df = with_unescaped(spark.createDataFrame([("&lt;&eacute;&#x2014;&nbsp;&bogus;",), (None,)], "t string"), "t")
     assert [r[0] for r in df.collect()] == ["<é—\xa0&bogus;", None]
 
 
