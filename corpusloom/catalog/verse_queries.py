@@ -12,12 +12,12 @@ from corpusloom.functions.verse import break_tags, poems_of_page
 from corpusloom.plans import verse_corpus as V
 
 
-@query("poem_split", r"""WITH d AS (SELECT doc_id, source, regexp_replace(text, '[<>]', '', 'g') AS t FROM documents)
+@query("poem_split", r"""WITH d AS (SELECT doc_id, source, text AS t FROM documents)
 SELECT doc_id, 0 AS piece, 'First' AS title, t AS content FROM d WHERE doc_id % 3 <> 0
 UNION ALL SELECT doc_id, 1, 'Second', 'l1' || chr(10) || t FROM d WHERE doc_id % 3 <> 0
 UNION ALL SELECT doc_id, 0, source, t || chr(10) || '<b>inline</b> x' FROM d WHERE doc_id % 3 = 0""")
 def poem_split(spark, folder):
-    rows = documents(spark, folder, "doc_id").withColumn("t", F.regexp_replace("text", "[<>]", ""))
+    rows = documents(spark, folder, "doc_id").withColumnRenamed("text", "t")
     titled = F.concat(F.lit("lost <b>First </b>\n\n\n"), "t", F.lit("<br><B> Second</B> <br/>\n\nl1<BR />"), "t", F.lit("\n\n"))
     plain = F.concat("t", F.lit("<br><b>inline</b> x"))
     page = break_tags(F.when(F.col("doc_id") % 3 != 0, titled).otherwise(plain))
@@ -30,11 +30,10 @@ def poem_split(spark, folder):
 @query("poem_clean", r"""SELECT doc_id, trim(regexp_replace(regexp_replace(replace(t, chr(10), chr(10) || chr(10)),
     ' +', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10)) || ' < é' AS content,
   'Book ' || source AS source, 'T & ' || doc_id AS title
-FROM (SELECT doc_id, source, regexp_replace(text, '[<>&]', '', 'g') AS t FROM documents)""")
+FROM (SELECT doc_id, source, text AS t FROM documents)""")
 def poem_clean(spark, folder):
-    t = F.regexp_replace("text", "[<>&]", "")
     content = F.concat(
-        F.lit("<DIV class=x><p><img src='a'></img><I>note\nlost</I>"), F.replace(t, F.lit("\n"), F.lit("<br/>\n")),
+        F.lit("<DIV class=x><p><img src='a'></img><I>note\nlost</I>"), F.replace("text", F.lit("\n"), F.lit("<br/>\n")),
         F.lit("</p> &nbsp; &lt;<b> &eacute;</b></div>  "),
     )
     pages = documents(spark, folder, "doc_id").select(

@@ -11,17 +11,12 @@ from corpusloom.functions import wikitext as W
 from corpusloom.functions.entities import with_unescaped
 from corpusloom.plans.wiki_corpus import cleaning_audit
 
-# Characters with a meaning in markup leave the documents before the markup is added.
-_MARKUP_CHARS = r"[<>{}\[\]|=&'_*#;:]|--+"
-_BASE = f"""WITH base AS (SELECT doc_id, source,
-  regexp_replace(text, '{_MARKUP_CHARS.replace("'", "''")}', '', 'g') AS t FROM documents)
-"""
+# The documents keep all their characters; where some have a meaning in a step, the SQL states it.
+_BASE = "WITH base AS (SELECT doc_id, source, text AS t FROM documents) "
 
 
 def _base(spark, folder):
-    return documents(spark, folder, "doc_id").withColumn(
-        "t", F.regexp_replace("text", _MARKUP_CHARS, "")
-    )
+    return documents(spark, folder, "doc_id").withColumnRenamed("text", "t")
 
 
 def _cat(*parts: str | Column) -> Column:
@@ -61,7 +56,7 @@ def wiki_orphan_rows(spark, folder):
 
 
 @query("wiki_links", _BASE + r"""SELECT doc_id, replace(t, chr(10), 'labelpage' || chr(10)) || 'b [[c]] d' || ']]' ||
-  CASE WHEN length(t) > 2 THEN left(t, length(t) - 2) ELSE '' END AS clean FROM base""")
+  CASE WHEN length(t) > 2 THEN regexp_replace(left(t, length(t) - 2), '^[^|]*\|', '') ELSE '' END AS clean FROM base""")
 def wiki_links(spark, folder):
     raw = _cat(
         _marked_lines("[[page|label]][[Tập_tin:x.jpg|thumb|a [[b]] c]][[page]][[CATEGORY:x]]"),
