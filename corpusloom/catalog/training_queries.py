@@ -66,11 +66,21 @@ def split_leakage(spark, folder):
     return leakage_report(split_mixture(_mixture(spark, folder), RATIO))
 
 
-_BLOCKS = _MIX + f""", placed AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY order_key) - 1 AS rank FROM split),
-tok AS (SELECT doc_id, list_append(list_transform(list_filter(string_split(text, ''), lambda c: c <> ''), lambda c: unicode(c)), {EOS}) AS ids FROM documents),
-batches AS (SELECT split, rank // {BATCH_ROWS} AS batch_id, flatten(list(ids ORDER BY rank)) AS t FROM placed JOIN tok USING (doc_id) GROUP BY ALL),
-cuts AS (SELECT split, batch_id, t, unnest(range(0, CASE WHEN len(t) >= 1024 THEN len(t) // 1024 WHEN len(t) > 0 THEN 1 ELSE 0 END)) AS block FROM batches),
-blocks AS (SELECT split, batch_id, CAST(block AS INTEGER) AS block, t[block * 1024 + 1 : block * 1024 + 1024] AS ids FROM cuts)
+# Running lengths place every text in its batch; a block is made of the substrings that fall into it. chr(1) stands for the end of a text.
+_PLACES = _MIX + f""", placed AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY order_key) - 1 AS rank FROM split),
+texts AS (SELECT doc_id, text || chr(1) AS t, length(text) + 1 AS n FROM documents),
+sized AS (SELECT split, rank // {BATCH_ROWS} AS batch_id, rank, t, n FROM placed JOIN texts USING (doc_id)),
+running AS (SELECT *, sum(n) OVER (PARTITION BY split, batch_id ORDER BY rank) - n AS start, sum(n) OVER (PARTITION BY split, batch_id) AS total FROM sized),
+used AS (SELECT *, CASE WHEN total >= 1024 THEN total - total % 1024 ELSE total END AS used FROM running)
+"""
+_BLOCKS = _PLACES + f""", cuts AS (SELECT *, unnest(range(CAST(start // 1024 AS BIGINT), CAST((least(start + n, used) - 1) // 1024 AS BIGINT) + 1)) AS block FROM used WHERE start < used),
+parts AS (SELECT split, batch_id, block, rank, greatest(block * 1024 - start, 0) AS first, least(block * 1024 + 1024, used) - start AS last, t FROM cuts),
+joined AS (SELECT split, batch_id, block, string_agg(substring(t, CAST(first AS BIGINT) + 1, CAST(last - first AS BIGINT)), '' ORDER BY rank) AS body FROM parts GROUP BY ALL),
+blocks AS (SELECT split, batch_id, CAST(block AS INTEGER) AS block,
+  list_transform(list_filter(string_split(body, ''), lambda c: c <> ''), lambda c: CASE WHEN c = chr(1) THEN {EOS} ELSE unicode(c) END) AS ids FROM joined)
+"""
+_SUMS = _PLACES + """, sums AS (SELECT split, batch_id, max(used) AS used FROM used GROUP BY ALL),
+totals AS (SELECT split, CAST(sum((used + 1023) // 1024) AS BIGINT) AS blocks, CAST(sum(used) AS BIGINT) AS real_tokens FROM sums GROUP BY split)
 """
 
 
@@ -91,14 +101,13 @@ def packed_blocks(spark, folder):
     )
 
 
-@query("block_totals", _BLOCKS + """SELECT split, count(*) AS blocks, count(*) * 1024 AS total_tokens,
-  CAST(sum(len(ids)) AS BIGINT) AS real_tokens FROM blocks GROUP BY split""")
+@query("block_totals", _SUMS + "SELECT split, blocks, blocks * 1024 AS total_tokens, real_tokens FROM totals")
 def block_totals(spark, folder):
     return totals_of_blocks(_blocks(spark, folder))
 
 
-@query("budget_plan", _BLOCKS + """SELECT count(*) * 1024 AS corpus_tokens, 262144::BIGINT AS tokens_per_step, 9460::BIGINT AS max_steps,
-  2480000000.0::DOUBLE / (count(*) * 1024) AS epochs FROM blocks""")
+@query("budget_plan", _SUMS + """SELECT CAST(sum(blocks) * 1024 AS BIGINT) AS corpus_tokens, 262144::BIGINT AS tokens_per_step, 9460::BIGINT AS max_steps,
+  2480000000.0::DOUBLE / (sum(blocks) * 1024) AS epochs FROM totals""")
 def budget_plan(spark, folder):
     return plan_for_budget(totals_of_blocks(_blocks(spark, folder)))
 
