@@ -1,48 +1,26 @@
 """Restartable, append-only ingest of page records.
 
-The keys that are stored live in the stream's state, so a batch never reads what
-earlier batches wrote.  On a cluster set the RocksDB state store
-(``spark.sql.streaming.stateStore.providerClass``) to keep them out of memory.
+The stream itself has no state: a batch is a table of lines, and everything about it
+is decided by joins and aggregations.  Rejected lines leave first; of every key in the
+batch the row delivered first is left by one aggregation; keys that earlier batches stored
+are found by a scan of the sink's key column, whose other columns are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from corpusloom.sources.readers import parse_lines
+from corpusloom.streaming.ledger import UnsafeResume, check_resume, record_batch
 
-REJECTED = "rejected"  # folder beside the sink
-_DELIVERY = T.StructType([
-    T.StructField("__modified", T.TimestampType()), T.StructField("__file", T.StringType()),
-    T.StructField("__start", T.LongType()), T.StructField("__row", T.LongType()),
-])
-
-
-@F.pandas_udf(T.LongType())
-def _place_in_task(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Numbers the rows of a task; a file's part is read in order."""
-    done = 0
-    for batch in column:
-        yield pd.Series(range(done, done + len(batch)), dtype="int64")
-        done += len(batch)
-
+__all__ = ["UnsafeResume", "append_batch", "ingest", "ingest_counts", "rejected_path", "store_batch"]
 
-class UnsafeResume(RuntimeError):
-    """The sink has data but its checkpoint is gone: appending could duplicate."""
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(files.exists(target))
+REJECTED = "rejected"  # folder beside the sink
+_FILE = {"__modified": "file_modification_time", "__file": "file_path", "__start": "file_block_start"}
+_ORDER = [*_FILE, "__row"]
 
 
 def rejected_path(sink: str) -> str:
@@ -52,51 +30,53 @@ def rejected_path(sink: str) -> str:
 def delivered(lines: DataFrame, schema: T.StructType, key: str, content: str | None) -> DataFrame:
     """Parsed lines with their place of delivery, the raw line and ``reason``:
     why a line is not stored, null if it can be."""
-    place = lines.select(
-        "value", F.col("_metadata.file_modification_time").alias("__modified"),
-        F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
-        _place_in_task("_metadata.file_block_start").alias("__row"),
-    )
-    parsed = parse_lines(place, schema, "value", *_DELIVERY.fieldNames())
+    # A task reads a file's part from its start on, so numbers within a task follow the file.
+    placed = lines.withColumn("__row", F.monotonically_increasing_id())
+    parsed = parse_lines(placed, schema, "value", *_ORDER)
     reason = F.when(F.col("malformed"), "malformed").when(F.col(key).isNull(), "no key")
     if content is not None:
         reason = reason.when(F.coalesce(F.col(content), F.lit("")) == "", "no content")
     return parsed.withColumn("reason", reason).drop("malformed")
 
 
-def first_deliveries(rows: DataFrame, key: str) -> DataFrame:
-    """Of every key the row delivered first, once over the life of the stream;
-    rows with a ``reason`` all pass."""
-    order = _DELIVERY.fieldNames()
-    columns = rows.columns
-    # A rejected line has a key of its own.
-    identity = F.when(F.col("reason").isNull(), F.concat(F.lit("k"), F.col(key).cast("string"))).otherwise(
-        F.concat_ws("#", F.lit("r"), *order))
+def first_deliveries(rows: DataFrame, schema: T.StructType, key: str) -> DataFrame:
+    """Of every key the row delivered first."""
+    first = F.min_by(F.struct(*schema.fieldNames()), F.struct(*_ORDER))
+    return rows.groupBy(F.col(key).alias("__key")).agg(first.alias("row")).select("row.*")
 
-    def first(_key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best = None
-        for batch in batches:
-            both = batch if best is None else pd.concat([best, batch])
-            best = both.sort_values(order).head(1)
-        if not state.exists:
-            state.update((True,))
-            yield best[columns]
 
-    return rows.withColumn("__identity", identity).groupBy("__identity").applyInPandasWithState(
-        first, rows.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+def stored_keys(spark: SparkSession, sink: str, schema: T.StructType, key: str, before: int) -> DataFrame:
+    """Keys that batches with a smaller number stored; a batch that runs again does not see itself."""
+    columns = T.StructType([schema[key], T.StructField("batch", T.LongType())])
+    return spark.read.schema(columns).parquet(sink).filter(F.col("batch") < before).select(key)
 
 
 def append_batch(batch: DataFrame, batch_id: int, sink: str, schema: T.StructType) -> None:
-    """Write the rows of a micro-batch and, beside them, its rejected lines.
+    """Write the rows of a batch, its rejected lines beside them, and its manifest last.
 
     A batch has folders of its own: one that runs again after a failure
     overwrites what its first attempt left.
     """
-    batch.persist()
-    batch.filter(F.col("reason").isNull()).select(*schema.fieldNames()).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-    batch.filter(F.col("reason").isNotNull()).select("value", "reason").write.mode("overwrite").parquet(
-        f"{rejected_path(sink)}/batch={batch_id}")
-    batch.unpersist()
+    spark = batch.sparkSession
+    good, bad = f"{sink}/batch={batch_id}", f"{rejected_path(sink)}/batch={batch_id}"
+    batch.filter(F.col("reason").isNull()).select(*schema.fieldNames()).write.mode("overwrite").parquet(good)
+    batch.filter(F.col("reason").isNotNull()).select("value", "reason").write.mode("overwrite").parquet(bad)
+    record_batch(spark, sink, batch_id, spark.read.schema(schema).parquet(good).count(),
+                 spark.read.schema("value string, reason string").parquet(bad).count())
+
+
+def store_batch(lines: DataFrame, batch_id: int, sink: str, schema: T.StructType, key: str, content: str | None) -> None:
+    """Decide about the lines of a micro-batch and write them."""
+    rows = delivered(lines, schema, key, content).persist()
+    try:
+        fresh = first_deliveries(rows.filter(F.col("reason").isNull()), schema, key)
+        if batch_id > 0:
+            fresh = fresh.join(stored_keys(lines.sparkSession, sink, schema, key, batch_id), key, "left_anti")
+        nothing = [F.lit(None).cast("string").alias(c) for c in ("value", "reason")]
+        rejected = rows.filter(F.col("reason").isNotNull()).select(*schema.fieldNames(), "value", "reason")
+        append_batch(fresh.select(*schema.fieldNames(), *nothing).unionByName(rejected), batch_id, sink, schema)
+    finally:
+        rows.unpersist()
 
 
 def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, schema: T.StructType,
@@ -106,16 +86,14 @@ def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, schema:
     The row of a key that is delivered first is stored.  Lines that are no JSON,
     have no key or (where ``content`` names a column) no content go to the
     rejected lines with their reason; a later delivery of such a key counts.
+    Sink and checkpoint that do not fit each other are refused.
     """
-    if _exists(spark, sink) and not _exists(spark, f"{checkpoint}/offsets"):
-        raise UnsafeResume(
-            f"{sink} exists but {checkpoint} holds no usable checkpoint; remove both to start fresh"
-        )
-    lines = spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch).load(source)
-    rows = first_deliveries(delivered(lines, schema, key, content), key)
+    check_resume(spark, sink, checkpoint)
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch).load(source).select(
+        "value", *[F.col(f"_metadata.{field}").alias(name) for name, field in _FILE.items()])
     return (
-        rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-        .foreachBatch(lambda df, n: append_batch(df, n, sink, schema)).start()
+        lines.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        .foreachBatch(lambda df, n: store_batch(df, n, sink, schema, key, content)).start()
     )
 
 
