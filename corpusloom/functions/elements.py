@@ -6,7 +6,8 @@ stands inside them is taken for a tag.  The fold carries the stack of open eleme
 of all names: an end tag closes the nearest open element of its name and whatever is
 open inside it, and is ignored where none is open; void elements and ``<x/>`` never
 open.  So an element ends at its own end tag, at the end tag of an element around it,
-or with the page.
+or with the page.  The fold marks the tokens as for nested regions, and with ``4`` the end
+tag around an element that ends there and with ``5`` an element that never opens.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom.functions.nesting import _cut, _Cut, _folded
+from corpusloom.functions.nesting import folded_marks
 from corpusloom.functions.text import let
 
 # Elements that have no end tag.
@@ -81,7 +82,7 @@ def _element_marks(tokens: Column, starts: str, depth: int | None) -> Column:
         return (F.when(t["kind"] == START, begun).when(t["kind"] == END, let(from_top, ended))
                 .otherwise(to(opened, at, F.when(hit, "5").otherwise(stays))))
 
-    return _folded(F.transform(tokens, kind), begin, move)
+    return folded_marks(F.transform(tokens, kind), begin, move)
 
 
 def _kinds(starts: str):
@@ -102,18 +103,28 @@ def element_blocks(html: Column, starts: str, depth: int | None = None) -> Colum
     """Array of the outer HTML of every outermost element whose start tag matches ``starts``,
     if ``depth`` is given of those inside as many elements."""
 
-    def blocks(cut: _Cut) -> Column:
-        def block(d: Column, i: Column) -> Column:
-            close = cut.close_of(i)
-            last = F.greatest(close, F.lit(1))
-            end = F.when(cut.flag(last - 1) == "3", F.element_at(cut.delimiters, last)).otherwise("")
-            whole = F.when(close > 0, F.concat(d, cut.inner(i, close), end)).otherwise(
-                F.concat(d, cut.inner(i, F.size(cut.delimiters) + 1)))
-            return F.when(cut.flag(i) == "1", whole).when(cut.flag(i) == "5", d)
+    def with_flags(tokens: Column) -> Column:
+        return let(F.struct(tokens.alias("tokens"), F.split(html, TOKEN, -1).alias("texts"),
+                            F.split(_element_marks(tokens, starts, depth), "").alias("flags")), blocks)
 
-        return F.array_compact(F.transform(cut.delimiters, block))
+    def blocks(cut: Column) -> Column:
+        tokens, texts, flags = cut["tokens"], cut["texts"], cut["flags"]
 
-    return _cut(html, TOKEN, lambda tokens: _element_marks(tokens, starts, depth), blocks)
+        def places(marks: str) -> Column:
+            """1-based places of the tokens with one of the ``marks``."""
+            return F.filter(F.transform(flags, lambda f, i: F.when(f.isin(*marks), i + 1)), lambda i: i.isNotNull())
+
+        def block(first: Column, last: Column) -> Column:
+            """From token ``first`` up to token ``last``, and with it if it is the element's own end."""
+            inner = F.coalesce(last, F.size(tokens) + 1) - first
+            body = F.zip_with(F.slice(tokens, first, inner), F.slice(texts, first + 1, inner), lambda t, x: F.concat(t, x))
+            own = F.get(flags, last - 1) == "4"
+            return F.concat(F.array_join(body, ""), F.when(last.isNull() | own, "").otherwise(F.get(tokens, last - 1)))
+
+        # Regions do not overlap: the first to open is the first to close, the last may stay open.
+        return F.zip_with(places("15"), places("345"), block)
+
+    return let(F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0)), with_flags)
 
 
 def visible(html: Column) -> Column:

@@ -6,8 +6,7 @@ copies what is there; the text between them never enters the fold.  Regions do
 not overlap, so the closer of a region is found by counting closers.
 
 Marks: ``0`` a closer outside every region (kept), ``x`` the same but dropped,
-``1`` opens an outermost region, ``2`` lies inside one, ``3`` closes one.  Elements of
-a page add ``4``, which closes a region and is no part of it, and ``5``, a region by itself.
+``1`` opens an outermost region, ``2`` lies inside one, ``3`` closes one.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from corpusloom.functions.text import let
 MARKS = 256  # marks of a chunk
 
 
-def _folded(delimiters: Column, start: Column, move: Callable[[Column, Column], Column]) -> Column:
+def folded_marks(delimiters: Column, start: Column, move: Callable[[Column, Column], Column]) -> Column:
     """Mark string for the delimiters: ``move(state, delimiter)`` is the struct ``(state, mark)`` that follows."""
     begin = F.struct(start.alias("state"), F.lit("").alias("marks"), F.array().cast("array<string>").alias("done"))
 
@@ -53,7 +52,7 @@ def _marks(delimiters: Column, opens: Callable[[Column, Column], Column],
             .otherwise(to(depth, F.when(top, stray).otherwise("2")))
         )
 
-    return _folded(delimiters, F.lit(0), move)
+    return folded_marks(delimiters, F.lit(0), move)
 
 
 class _Cut:
@@ -96,8 +95,8 @@ def _cut(text: Column, pattern: str, marks: Callable[[Column], Column], body: Ca
     def with_marks(ds: Column) -> Column:
         def with_flags(flags: Column) -> Column:
             # Places of the closers, and how many of them there are up to each delimiter.
-            closers = F.filter(F.transform(flags, lambda f, i: F.when(f.isin("3", "4"), i + 1)), lambda i: i.isNotNull())
-            closed = running_sum(F.transform(flags, lambda f: F.when(f.isin("3", "4"), 1).otherwise(0)))
+            closers = F.filter(F.transform(flags, lambda f, i: F.when(f == "3", i + 1)), lambda i: i.isNotNull())
+            closed = running_sum(F.transform(flags, lambda f: F.when(f == "3", 1).otherwise(0)))
             return let(
                 F.struct(
                     ds.alias("delimiters"), F.split(text, pattern, -1).alias("texts"),
