@@ -32,6 +32,15 @@ def ordered_scan(spark, folder):
                        F.col("ord").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("row_ord"), "text")
 
 
+@query("source_prefix", """SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT (SELECT count(*) * 3 // 5 FROM documents)""")
+def source_prefix(spark, folder):
+    """The first rows of a source in many files, of which only those that hold them are read."""
+    path = _fresh(spark, "many-files")
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    docs.repartitionByRange(16, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    return readers.first_rows(spark, path, docs.count() * 3 // 5).select("doc_id", "source")
+
+
 @query("parquet_by_source", """SELECT source, count(*) AS docs, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY source
 UNION ALL SELECT 'none', 0, 0""")
 def parquet_by_source(spark, folder):

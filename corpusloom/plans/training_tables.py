@@ -15,10 +15,9 @@ from corpusloom.operators.order import shuffle_key
 from corpusloom.operators.packing import (
     block_totals, budget_plan, pack_blocks, padded_samples, with_batches,
 )
-from corpusloom.operators.pages import first_rows_of_source
 from corpusloom.operators.selection import split_by_key
 from corpusloom.schemas import TEXT
-from corpusloom.sources.readers import read_corpora, table_stats
+from corpusloom.sources.readers import first_rows, read_corpora, table_stats
 from corpusloom.sources.writers import write_parquet
 
 
@@ -57,8 +56,7 @@ def verse_samples(stanzas: DataFrame, vocab: Vocabulary, prefix: str = settings.
 
 def cap_source(spark: SparkSession, path: str, out: str, cap: int = settings.SOURCE_ROW_CAP) -> DataFrame:
     """Write the first ``cap`` rows of a Parquet source and return rows and size."""
-    rows = first_rows_of_source(read_corpora(spark, [("source", path)]), cap)
-    write_parquet(rows.select("text"), out)
+    write_parquet(first_rows(spark, path, cap).select("text"), out)
     stats = table_stats(spark.read.parquet(out))
     return stats.select("rows", format_size(F.col("bytes")).alias("size"))
 

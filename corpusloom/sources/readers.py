@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -67,6 +68,34 @@ def _ordered(spark: SparkSession, position: int, frame: DataFrame, columns: list
     return out
 
 
+def first_rows(spark: SparkSession, path: str, cap: int) -> DataFrame:
+    """The first ``cap`` rows of a Parquet source, by file and row in the file.
+
+    The files' footers tell their numbers of rows; a prefix sum over them says which files
+    are needed, and only these are read, the last one up to the row where the cap ends.
+    """
+    frame = spark.read.parquet(path)
+    file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    files = frame.inputFiles()
+    if len(files) > MAX_FILES:
+        raise ValueError(f"more than {MAX_FILES} files in one source")
+    # No column is asked for, so a task answers from the footer.
+    counts = frame.select(file.alias("file")).groupBy("file").agg(F.count("*").alias("rows")).collect()
+    needed, left = [], cap
+    for name, rows in sorted(map(tuple, counts)):
+        if left <= 0:
+            break
+        needed.append((name, min(rows, left)))
+        left -= rows
+    if not needed:
+        return frame.filter(F.lit(False))
+    last, taken = needed[-1]
+    is_file = len(files) == 1 and unquote(files[0]).endswith(path.split(":", 1)[-1].lstrip("/"))
+    base = {} if is_file else {"basePath": path}  # partition columns come from the folders below
+    part = spark.read.schema(frame.schema).options(**base).parquet(*[unquote(name) for name, _ in needed])
+    return part.filter((file != last) | (row < taken))
+
+
 def read_corpora(spark: SparkSession, sources: Sequence[tuple[str, str]]) -> DataFrame:
     """``(source, ord, text)`` of all sources in list order, pruned to ``text``."""
     if len(sources) > MAX_SOURCES:

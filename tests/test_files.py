@@ -2,6 +2,7 @@
 
 import json
 import os
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,3 +148,24 @@ def test_vocabulary_training_and_verse_jobs(spark, tmp_path):
     assert build_verse_corpus(spark, str(page), str(tmp_path / "verse")).first()["stanzas"] == 1
     rows = build_verse_samples(spark, str(tmp_path / "verse"), str(tmp_path / "samples"), vocab).collect()
     assert [(r["split"], r["rows"]) for r in rows] == [("test", 1)]
+
+
+@pytest.mark.parametrize("cap", [0, 1, 9, 10, 11, 25, 60, 99])
+def test_first_rows_read_only_the_files_they_are_in(spark, tmp_path, cap):
+    path = str(tmp_path / "a folder, with blanks")
+    spark.range(60).selectExpr("id", "cast(id as string) as text").repartitionByRange(6, "id").sortWithinPartitions("id").write.parquet(path)
+    sizes = [r["count"] for r in spark.read.parquet(path).groupBy("_metadata.file_path").count().orderBy("file_path").collect()]
+    rows = readers.first_rows(spark, path, cap)
+    assert sorted(r["id"] for r in rows.collect()) == list(range(min(cap, 60))) and rows.columns == ["id", "text"]
+    if cap:
+        assert len(rows.inputFiles()) == next((n for n in range(1, 7) if sum(sizes[:n]) >= cap), 6)
+
+
+def test_first_rows_of_one_file_and_of_partitions(spark, tmp_path):
+    one = str(tmp_path / "one")
+    spark.range(20).coalesce(1).write.parquet(one)
+    file = unquote(spark.read.parquet(one).inputFiles()[0])
+    assert sorted(r["id"] for r in readers.first_rows(spark, file, 7).collect()) == list(range(7))
+    parted = str(tmp_path / "parted")
+    spark.range(20).selectExpr("id", "id % 2 as part").coalesce(1).write.partitionBy("part").parquet(parted)
+    assert sorted(map(tuple, readers.first_rows(spark, parted, 12).collect())) == sorted([(2 * k, 0) for k in range(10)] + [(1, 1), (3, 1)])
