@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from corpusloom import settings
 from corpusloom.catalog.registry import documents, query, table
-from corpusloom.operators import audit, bpe
+from corpusloom.operators import audit, bpe, token_store
+from corpusloom.session import shared_folder
 
 WEIGHTS = {"src0": 1, "src1": 3, "src2": 2}
 
@@ -92,6 +95,33 @@ def token_audit(spark, folder):
     return audit.token_audit(audit.weighted_tokens(_tokens(spark, folder), WEIGHTS))
 
 
+# The vocabulary without merges has the bytes of the NFC text as tokens, so SQL can count them.
+_BYTES = "WITH tokens AS (SELECT source, count(*) AS docs, CAST(sum(strlen(nfc_normalize(text))) AS BIGINT) AS tokens FROM documents GROUP BY source)\n"
+
+
+def _stored(spark, folder):
+    """The documents come in two deliveries, the second one twice."""
+    store, vocab = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}", bpe.Vocabulary(())
+    docs = documents(spark, folder, "doc_id")
+    even = F.col("doc_id") % 2 == 0
+    for name, part in (("first", even), ("second", ~even), ("second", ~even)):
+        token_store.add_delivery(docs.filter(part), vocab, store, name)
+    return store, vocab
+
+
+@query("stored_tokens", _BYTES + f"""SELECT source, tokens, {_weights_sql()} AS weight, tokens * {_weights_sql()} AS weighted_tokens FROM tokens""")
+def stored_tokens(spark, folder):
+    return token_store.stored_audit(spark, *_stored(spark, folder), WEIGHTS)[0]
+
+
+@query("stored_token_audit", _BYTES + f""", t AS (SELECT CAST(sum(tokens) AS BIGINT) AS u, CAST(sum(tokens * {_weights_sql()}) AS BIGINT) AS w FROM tokens)
+SELECT u AS unique_tokens, w AS effective_tokens_with_weights, 2480000000::BIGINT AS token_budget,
+  round(2480000000 / u, 2) AS repeat_factor, w >= 2480000000 AS enough_for_budget,
+  w - 2480000000 AS budget_gap_or_surplus FROM t""".replace("\n, t AS", ", t AS"))
+def stored_token_audit(spark, folder):
+    return token_store.stored_audit(spark, *_stored(spark, folder), WEIGHTS)[1]
+
+
 # --- training log: event values stand in for losses ---
 _LOG = """WITH log AS (SELECT event_id AS step, event_type AS run, value AS loss,
   CASE WHEN event_id % 10 = 0 THEN value / 2 END AS eval_loss FROM events)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.catalog import token_queries
-from corpusloom.operators import bpe
+from corpusloom.operators import bpe, token_store
 
 TEXTS = [
     "the cat sat on the mat.  The bat's hat!", "Tiếng Việt có dấu: ế ề ệ", "aaaa aaa aa a", "x\n\n  y\tz 123 4567",
@@ -49,6 +49,22 @@ def test_learning_equals_public_package(spark, docs, monkeypatch, top):
     assert bpe.token_counts(docs, vocab).first()["tokens"] == report["tokens"]
 
 
+def test_stored_counts_equal_public_package(spark, docs, tmp_path):
+    tk, store = public(257 + 40), str(tmp_path / "tokens")
+    vocab = bpe.learn(bpe.word_counts(docs), 257 + 40)
+    rows = docs.withColumn("source", F.when(F.col("ord") % 3 == 0, "a").otherwise("b"))
+    for name, part in (("1", F.col("ord") < 50), ("2", F.col("ord") >= 50), ("2", F.col("ord") >= 50)):
+        token_store.add_delivery(rows.filter(part), vocab, store, name)
+    sizes = [len(tk.encode(t).ids) for t in corpus()]
+    got = {r["source"]: (r["docs"], r["tokens"]) for r in token_store.stored_counts(spark, store, vocab).collect()}
+    assert got == {"a": (len(sizes[::3]), sum(sizes[::3])), "b": (len(sizes) - len(sizes[::3]), sum(sizes) - sum(sizes[::3]))}
+    weighted, report = token_store.stored_audit(spark, store, vocab, {"a": 3}, budget=10_000)
+    assert {r["source"]: r["weighted_tokens"] for r in weighted.collect()} == {"a": 3 * got["a"][1], "b": got["b"][1]}
+    assert report.first()["budget_gap_or_surplus"] == 3 * got["a"][1] + got["b"][1] - 10_000
+    with pytest.raises(token_store.OtherVocabulary):
+        token_store.stored_counts(spark, store, bpe.Vocabulary(vocab.merges[:-1]))
+
+
 def test_special_token_in_text(spark):
     df = spark.createDataFrame([("a!<|endoftext|> b<|endoftext|>",)], "text string")
     vocab = bpe.Vocabulary(())
