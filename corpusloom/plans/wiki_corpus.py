@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import schemas
 from corpusloom.functions.wikitext import STEPS, clean_wikitext
-from corpusloom.sources.readers import read_counts, read_jsonl, valid_rows
+from corpusloom.sources.readers import observed_reads, read_jsonl, valid_rows
 from corpusloom.sources.writers import write_jsonl, write_parquet
 
 
@@ -30,11 +30,11 @@ def cleaning_audit(rows: DataFrame, by: str, text: str = "text", mode: str = "fa
 def build_wiki_corpus(spark: SparkSession, articles_path: str, jsonl_path: str, parquet_path: str,
                       mode: str = "faithful") -> DataFrame:
     """Clean the articles of a JSON-lines input, write JSON lines and Parquet,
-    and return the counters of the run.  Nothing is written to Parquet when no
-    line is valid."""
-    parsed = read_jsonl(spark, articles_path, schemas.ARTICLE)
+    and return the counters of the run, gathered while the lines are written.
+    Nothing is written to Parquet when no line is valid."""
+    parsed, counters = observed_reads(read_jsonl(spark, articles_path, schemas.ARTICLE))
     write_jsonl(clean_wikitext(valid_rows(parsed), mode=mode), jsonl_path)
     cleaned = spark.read.schema(schemas.ARTICLE).json(jsonl_path)
     if not cleaned.isEmpty():
         write_parquet(cleaned, parquet_path)
-    return read_counts(parsed)
+    return counters()

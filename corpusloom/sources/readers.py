@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,13 +152,33 @@ def valid_rows(parsed: DataFrame) -> DataFrame:
     return keep(parsed, ~F.col("malformed")).drop("malformed")
 
 
-def read_counts(parsed: DataFrame) -> DataFrame:
+def _counters() -> list[Column]:
     """Lines read, rows kept, lines malformed."""
-    return parsed.agg(
+    return [
         F.count("*").alias("total_read"),
         F.count_if(~F.col("malformed")).alias("kept"),
         F.count_if("malformed").alias("malformed"),
-    )
+    ]
+
+
+def read_counts(parsed: DataFrame) -> DataFrame:
+    """Counters of the lines, as one row."""
+    return parsed.agg(*_counters())
+
+
+def observed_reads(parsed: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``parsed``, and its counters as they are gathered by the first job that reads it all.
+
+    The counters ride along with that job's tasks, so the lines are not read once more; of a task that
+    runs again only the run that counts is counted.  Asking for them waits for the job."""
+    observation = Observation()
+
+    def counters() -> DataFrame:
+        seen = observation.get
+        names = ["total_read", "kept", "malformed"]
+        return parsed.sparkSession.createDataFrame([tuple(seen[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+    return parsed.observe(observation, *_counters()), counters
 
 
 def read_csv(spark: SparkSession, path: str, defaults: dict[str, str | None]) -> DataFrame:

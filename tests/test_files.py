@@ -169,3 +169,18 @@ def test_first_rows_of_one_file_and_of_partitions(spark, tmp_path):
     parted = str(tmp_path / "parted")
     spark.range(20).selectExpr("id", "id % 2 as part").coalesce(1).write.partitionBy("part").parquet(parted)
     assert sorted(map(tuple, readers.first_rows(spark, parted, 12).collect())) == sorted([(2 * k, 0) for k in range(10)] + [(1, 1), (3, 1)])
+
+
+def test_counters_of_the_job_that_writes(spark, tmp_path):
+    """The lines are read by one job, and a task that runs again does not count twice."""
+    path = str(tmp_path / "lines")
+    good = [json.dumps({"id": i, "text": "t"}) for i in range(90)]
+    spark.createDataFrame([(x,) for x in good + ['{"id": 1, "te'] * 10], "value string").repartition(5).write.text(path)
+    rows, counters = readers.observed_reads(readers.read_jsonl(spark, path, schemas.ARTICLE))
+    readers.valid_rows(rows).write.parquet(str(tmp_path / "out"))
+    assert counters().first().asDict() == {"total_read": 100, "kept": 90, "malformed": 10}
+    none = str(tmp_path / "none")
+    spark.createDataFrame([], "value string").write.text(none)
+    rows, counters = readers.observed_reads(readers.read_jsonl(spark, none, schemas.ARTICLE))
+    readers.valid_rows(rows).write.parquet(str(tmp_path / "out2"))
+    assert counters().first().asDict() == {"total_read": 0, "kept": 0, "malformed": 0}
