@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
@@ -235,3 +236,21 @@ def test_written_shards(spark, docs, rows, tmp_path):
     sharding.write_shards(docs, str(tmp_path / "out"), 4)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == len(rows)
+
+
+def test_written_files_follow_the_slots(spark, docs, rows, tmp_path):
+    """Whole rows, each shard's files in the order of its slots without gaps."""
+    path = str(tmp_path / "out")
+    sharding.write_shards(docs.withColumn("row", sharding.F.lit(1)).withColumn("id", sharding.F.lit(2)), path, 3)
+    placed = Counter((r["doc_id"], r["shard"]) for r in sharding.place(docs, 3).collect())
+    found = Counter()
+    for shard in range(3):
+        folder = tmp_path / "out" / f"shard={shard}"
+        slots = []
+        for file in sorted(folder.glob("part-*")):
+            part = pq.read_table(file).to_pylist()
+            slots += [r["slot_"] for r in part]
+            found.update((r["doc_id"], shard) for r in part)
+            assert all(r["row"] == 1 and r["id"] == 2 for r in part)
+        assert slots == list(range(len(slots)))
+    assert found == placed and sum(found.values()) == len(rows)
