@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from corpusloom import settings
-from corpusloom.catalog.registry import documents, query, table
+from corpusloom.catalog.registry import doc_id, documents, query, table
 from corpusloom.operators import audit, bpe, token_store
+from corpusloom.operators.dictionary import encoded_texts
 from corpusloom.session import shared_folder
 
 WEIGHTS = {"src0": 1, "src1": 3, "src2": 2}
@@ -58,9 +59,9 @@ def bpe_vocab(spark, folder):
 
 @query("bpe_encode")
 def bpe_encode(spark, folder):
-    docs = documents(spark, folder, "doc_id")
-    rows = bpe.with_token_ids(docs, _vocabulary(docs))
-    return rows.select("doc_id", F.size("ids").alias("n_tokens"), F.array_join("ids", " ").alias("ids"))
+    docs = documents(spark, folder)
+    rows = encoded_texts(docs, _vocabulary(docs))
+    return rows.select(doc_id(), F.size("ids").alias("n_tokens"), F.array_join("ids", " ").alias("ids"))
 
 
 @query("token_counts")

@@ -24,8 +24,8 @@ from corpusloom.functions.text import with_nfc
 from corpusloom.operators.rows import explode_items
 from corpusloom.session import cut_lineage
 
-_FIRST = 0x100  # character of id 0; ids stay below the surrogate block
-MAX_VOCAB = 0xD800 - _FIRST
+FIRST = 0x100  # character of id 0; ids stay below the surrogate block
+MAX_VOCAB = 0xD800 - FIRST
 SPECIAL_ID = 0
 TOP = 16_384  # pairs a full count brings to the driver
 PART_SYMBOLS = 1_000_000  # symbols of the distinct parts a round brings to the driver
@@ -44,7 +44,7 @@ _BYTE_ID = {b: 1 + rank for rank, b in enumerate(sorted(range(256), key=_STAND_I
 
 
 def _symbol(token_id: int) -> str:
-    return chr(_FIRST + token_id)
+    return chr(FIRST + token_id)
 
 
 _LATIN = "".join(map(chr, range(256)))
@@ -188,7 +188,7 @@ def _learn_parts(parts: dict[str, int], last: tuple[int, str], raw: list[bytes],
             continue
         if key > last:
             break
-        left, right = ord(pair[0]) - _FIRST, ord(pair[1]) - _FIRST
+        left, right = ord(pair[0]) - FIRST, ord(pair[1]) - FIRST
         spelled = raw[left] + raw[right]
         known = spelled in ids
         if not known:
@@ -320,6 +320,17 @@ def _word_encoder(vocab: Vocabulary):
     return encode
 
 
+def encoded(word: str, vocab: Vocabulary) -> Column:
+    """The symbols of a word under ``vocab``, one character per id, from an Arrow batch of words."""
+
+    def encode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = _word_encoder(vocab)
+        for words in batches:
+            yield words.map(encode)
+
+    return F.pandas_udf(encode_batches, T.StringType())(word)
+
+
 def with_token_ids(docs: DataFrame, vocab: Vocabulary, text: str = "text", target: str = "ids") -> DataFrame:
     """Add the token ids of every text: pre-tokens from the JVM, merges in an
     Arrow batch with a per-worker memo of words.  Narrow; nothing is shuffled."""
@@ -327,7 +338,7 @@ def with_token_ids(docs: DataFrame, vocab: Vocabulary, text: str = "text", targe
     def encode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = _word_encoder(vocab)
         for words in batches:
-            yield words.map(lambda ws: [ord(ch) - _FIRST for w in ws for ch in encode(w)])
+            yield words.map(lambda ws: [ord(ch) - FIRST for w in ws for ch in encode(w)])
 
     udf = F.pandas_udf(encode_batches, T.ArrayType(T.IntegerType()))
     return (

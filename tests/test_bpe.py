@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.catalog import token_queries
-from corpusloom.operators import bpe, token_store
+from corpusloom.operators import bpe, dictionary, token_store
 
 TEXTS = [
     "the cat sat on the mat.  The bat's hat!", "Tiếng Việt có dấu: ế ề ệ", "aaaa aaa aa a", "x\n\n  y\tz 123 4567",
@@ -49,6 +49,29 @@ def test_learning_equals_public_package(spark, docs, monkeypatch, top):
     assert bpe.token_counts(docs, vocab).first()["tokens"] == report["tokens"]
 
 
+@pytest.mark.parametrize("share, length, segment", [(1 << 16, 64, 1 << 13), (20, 64, 3), (1 << 16, 3, 1), (1, 64, 7)])
+def test_dictionary_encodes_as_the_public_package(spark, docs, monkeypatch, share, length, segment):
+    """Hot words only, both kinds, long words and none hot; texts of many segments, null and empty ones."""
+    monkeypatch.setattr(dictionary, "HOT_SHARE", share)
+    monkeypatch.setattr(dictionary, "HOT_BYTES", length)
+    monkeypatch.setattr(dictionary, "SEGMENT", segment)
+    tk = public(257 + 70)
+    vocab = bpe.learn(bpe.word_counts(docs), 257 + 70)
+    more = docs.unionByName(spark.createDataFrame([("s", 9_000, None)], docs.schema))
+    rows = dictionary.encoded_texts(more, vocab).collect()
+    assert {r["ord"]: r["ids"] for r in rows} == {i: tk.encode(t).ids for i, t in enumerate(corpus())} | {9_000: []}
+    assert len(rows) == len(corpus()) + 1
+
+
+def test_dictionary_holds_every_word_once(spark, docs):
+    words = dictionary.word_dictionary(docs.unionByName(docs), bpe.Vocabulary(()))
+    assert words.count() == words.select("word").distinct().count() == bpe.word_counts(docs).count()
+    tagged = spark.createDataFrame([(0, "a!<|endoftext|> b"), (1, "")], "ord long, text string")
+    rows = dictionary.encoded_texts(tagged, bpe.Vocabulary(()))
+    narrow = bpe.with_token_ids(tagged, bpe.Vocabulary(()))
+    assert sorted(rows.collect()) == sorted(narrow.select("ord", "ids").collect())
+
+
 def test_stored_counts_equal_public_package(spark, docs, tmp_path):
     tk, store = public(257 + 40), str(tmp_path / "tokens")
     vocab = bpe.learn(bpe.word_counts(docs), 257 + 40)
