@@ -163,7 +163,7 @@ modification, are permitted provided that the following conditions are met:
 Version 2.0 (the "License"); you may not use this file except in
 compliance with the License. You may obtain a copy of
 the License at""",
-    "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
 it under the terms of the GNU General Public License as published by
 the Free Software Foundation, either version 3 of the License, or
 (at your option) any later version.""",
@@ -174,11 +174,97 @@ the Free Software Foundation, either version 3 of the License, or
 def test_wrapped_licences(spark, mark, end):
     texts = [(k, "".join(mark + line + end for line in t.split("\n"))) for k, t in WRAPPED.items()]
     # A blank line ends a sentence.
-    texts.append(("", WRAPPED["GPL-3.0"].replace("modify\n", "modify\n\n")))
+    texts.append(("", WRAPPED["GPL-3.0-or-later"].replace("modify\n", "modify\n\n")))
     df = spark.createDataFrame(texts, "doc_id string, text string")
     assert {r["doc_id"]: r["licences"] for r in license_scan.op5(df).collect()} == {k: k for k, _ in texts}
 
 
+# Notices as they stand in files.
+_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+_BSD = """Copyright (c) 2020, Foo Inc.
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+"""
+_NAME = """Neither the name of Foo Inc. nor the names of its contributors may be
+   used to endorse or promote products derived from this software without
+   specific prior written permission."""
+_GNU = """Copyright (C) 2020 Foo
+This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU {} as published by
+the Free Software Foundation; {}.
+
+This program is distributed in the hope that it will be useful. See the GNU
+{} for more details."""
+
+
+def _gnu(name, version):
+    return _GNU.format(name, version, name)
+
+
+FULL = [
+    ("MIT", _GRANT), ("MIT", "MIT License\n\nCopyright (c) 2020 Foo\n\n" + _GRANT), ("MIT", "Copyright 2020 Foo. All rights reserved.\n" + _GRANT),
+    ("BSD-2-Clause", _BSD), ("BSD-3-Clause", _BSD + "3. " + _NAME),
+    ("BSD-3-Clause", _BSD + "3. The name of the author may not be used to endorse or promote products\n   derived from this software without specific prior written permission."),
+    ("BSD-4-Clause", _BSD + "3. All advertising materials mentioning features or use of this software\n   must display the following acknowledgement:\n"
+                            "   This product includes software developed by Foo.\n4. " + _NAME),
+    ("GPL-2.0-or-later", _gnu("General Public License", "either version 2 of the License, or\n(at your option) any later version")),
+    ("GPL-2.0-only", _gnu("General Public License", "version 2 of the License")),
+    ("GPL-3.0-or-later", _gnu("General Public License", "either version 3 of the License, or\n(at your option) any later version")),
+    ("GPL-3.0-or-later", _gnu("General Public License", "either version 3 of the License, or\n(at your option) any later version").replace(";", ",")),
+    ("GPL-2.0-or-later", _gnu("General Public License", "either version 2 of the License, or\n(at your option) any later version").replace(";", ",")),
+    ("LGPL-2.1-or-later", _gnu("Lesser General Public\nLicense", "either\nversion 2.1 of the License, or (at your option) any later version")),
+    ("LGPL-3.0-only", _gnu("Lesser General Public License", "version 3 of the License")),
+    ("AGPL-3.0-or-later", _gnu("Affero General Public License", "either version 3 of the License, or\n(at your option) any later version")),
+    ("ISC", "ISC License\n\nCopyright (c) 2020, Foo\n\nPermission to use, copy, modify, and/or distribute this software for any\n"
+            "purpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not\ndistributed with this file, so be it."),
+    ("EPL-2.0", "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\nwhich is available at https://example.org/epl"),
+    ("EPL-1.0", "This program and the accompanying materials\nare made available under the terms of the Eclipse Public License v1.0\nwhich accompanies this distribution."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied\nwarranty.\n\nPermission is granted to anyone to use this software for any purpose,\n"
+             "including commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0.\n(See accompanying file.)"),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons\nAttribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-ND-3.0", "SPDX-License-Identifier: CC-BY-ND-3.0"), ("CC0-1.0", "CC0 1.0 Universal"), ("proprietary", "(c) Foo. All rights\nreserved."),
+]
+
+
+@pytest.mark.parametrize("mark, end", [("", "\n"), ("# ", "\n"), (" * ", "\r\n")])
+def test_licences_as_they_occur(spark, mark, end):
+    rows = [(i, "int x;" + end * 2 + "".join(mark + line + end for line in t.split("\n")) + end + "int y = f(x);") for i, (_, t) in enumerate(FULL)]
+    rows += [(1_000, None), (1_001, ""), (1_002, "licen" * 9_000), (1_003, "a license\n" * 2_000), (1_004, "MIT License\n" * 500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_scan.op5(df).collect()}
+    assert {i: got[i]["licences"] for i in range(len(FULL))} == {i: name for i, (name, _) in enumerate(FULL)}
+    assert [got[1_000 + i]["sentence_ids"] for i in range(5)] == ["", "", "", "?" * 2_000, "M" * 500]
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    assert {r[0]: r[1] for r in con.sql(f"SELECT doc_id, sentence_ids FROM ({license_scan.SQL})").fetchall()} == {i: r["sentence_ids"] for i, r in got.items()}
+
+
+def test_known_sentences_have_a_guard_word():
+    known = [*license_scan.SENTENCES, *(f"{begin} {end}" for begin, end in license_scan.GAPS)]
+    assert [k for k in known if not re.search(license_scan.GUARD, k)] == []
+    assert {*license_scan.SENTENCES.values(), *license_scan.GAPS.values()} <= set("".join(p for _, p in license_scan.RULES))
+
+
 def test_period_deviates_less_than_a_block(spark):
     for units in ([1], [500, 300, 200], [333, 333, 334], [900, 1, 99], [7] * 30 + [400]):
         total, done = sum(units), [0] * len(units)
