@@ -16,7 +16,9 @@ the copies of a hot text or paragraph in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corpusloom import settings
@@ -161,27 +163,47 @@ def _rate(removed: Column, original: Column) -> Column:
     return F.coalesce(python_round(removed / F.nullif(original, F.lit(0)), 4), F.lit(0.0))
 
 
-_COUNTERS = {
-    "original_docs": F.count,
-    "removed_by_doc_dedup": lambda s: F.count_if(s.isin(RAW_DUPLICATE, FINAL_DUPLICATE)),
-    "removed_as_too_short": lambda s: F.count_if(s.isin(EMPTY, SHORT)),
-    "deduped_docs": lambda s: F.count_if(s == KEPT),
-}
+def _counters() -> dict[str, Column]:
+    """What each counter counts."""
+    status = F.col("status")
+    return {
+        "original_docs": status.isNotNull(),
+        "removed_by_doc_dedup": status.isin(RAW_DUPLICATE, FINAL_DUPLICATE),
+        "removed_by_paragraph_dedup": F.col("changed"),
+        "removed_as_too_short": status.isin(EMPTY, SHORT),
+        "deduped_docs": status == KEPT,
+    }
 
 
-def dedup_report(decided: DataFrame) -> DataFrame:
-    """Counters per source position."""
-    status = F.col("status")
-    counted = decided.groupBy(source_of(F.col("ord")).alias("source_ord")).agg(
-        *[count(status).alias(name) for name, count in _COUNTERS.items()],
-        F.count_if("changed").alias("removed_by_paragraph_dedup"),
-    )
+def _with_rates(counted: DataFrame) -> DataFrame:
     removed = F.col("original_docs") - F.col("deduped_docs")
     return counted.select(
-        "source_ord", "original_docs", "removed_by_doc_dedup", "removed_by_paragraph_dedup",
-        "removed_as_too_short", "deduped_docs", removed.alias("removed_docs"),
-        _rate(removed, F.col("original_docs")).alias("duplicate_rate"),
-    )
+        "source_ord", *_counters(), removed.alias("removed_docs"), _rate(removed, F.col("original_docs")).alias("duplicate_rate"))
+
+
+def dedup_report(decided: DataFrame) -> DataFrame:
+    """Counters per source position."""
+    return _with_rates(decided.groupBy(source_of(F.col("ord")).alias("source_ord")).agg(
+        *[F.count_if(condition).alias(name) for name, condition in _counters().items()]))
+
+
+def observed_report(decided: DataFrame, positions: list[int]) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``decided``, and its report over the sources at ``positions`` as gathered by the job that writes it.
+
+    The counters ride along with the tasks of that write, so the decisions are not read once more;
+    of a task that runs again only the run that counts is counted.  The sources are a list of the
+    configuration, and so are the counters.  Asking for the report waits for the job."""
+    observation, conditions = Observation(), _counters()
+    source = source_of(F.col("ord"))
+
+    def report() -> DataFrame:
+        seen = observation.get if positions else {}
+        rows = [(p, *(seen[f"{name}@{p}"] for name in conditions)) for p in positions]
+        schema = "source_ord int, " + ", ".join(f"{name} long" for name in conditions)
+        return _with_rates(decided.sparkSession.createDataFrame(rows, schema))
+
+    counts = [F.count_if((source == p) & condition).alias(f"{name}@{p}") for p in positions for name, condition in conditions.items()]
+    return (decided.observe(observation, *counts) if counts else decided), report
 
 
 def dedup_totals(report: DataFrame) -> DataFrame:

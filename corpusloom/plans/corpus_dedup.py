@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom import settings
 from corpusloom.operators.audit import token_audit, weighted_tokens
 from corpusloom.operators.bpe import Vocabulary, token_counts
-from corpusloom.operators.dedup import dedup_report, dedup_totals, deduplicate, kept_texts
+from corpusloom.operators.dedup import dedup_totals, deduplicate, kept_texts, observed_report
 from corpusloom.operators.order import source_of
 from corpusloom.functions.text import format_size
 from corpusloom.session import cut_lineage
@@ -31,16 +31,16 @@ def build_dedup_corpus(spark: SparkSession, sources: Sequence[tuple[str, str]],
     """Write ``<out>/corpus/source=<name>`` and ``<out>/report``; return the
     report document.
 
-    Decisions and kept texts are written once; counters, sizes and tokens are
-    then read from stored tables instead of running the stages again.
+    Decisions and kept texts are written once; the counters are gathered while the
+    decisions are written, sizes and tokens are then read from stored tables.
     """
     names = {position: name for position, name, _ in existing(spark, sources)}
     positions = [p for p, n in names.items() if n in paragraph_sources]
     docs = read_corpora(spark, sources)
     decided_path = f"{out}/decisions"
-    deduplicate(docs.select("ord", "text"), paragraph_sources=positions).write.mode("overwrite").parquet(
-        decided_path
-    )
+    decisions, report_of = observed_report(
+        deduplicate(docs.select("ord", "text"), paragraph_sources=positions), list(names))
+    decisions.write.mode("overwrite").parquet(decided_path)
     decided = spark.read.parquet(decided_path)
 
     kept = with_source_names(kept_texts(decided).withColumn("source_ord", source_of(F.col("ord"))), names)
@@ -48,7 +48,7 @@ def build_dedup_corpus(spark: SparkSession, sources: Sequence[tuple[str, str]],
     write_by_source(kept, corpus_path, names.values())
     corpus = spark.read.schema("text string, source string").parquet(corpus_path)
 
-    stats = with_source_names(dedup_report(decided), names)
+    stats = with_source_names(report_of(), names)
     blank = spark.createDataFrame([(n,) for n in names.values()], "source string")
     counted = blank.join(stats.drop("source_ord"), "source", "left").fillna(0)
     report = counted.withColumn("output_path", F.concat(F.lit(f"{corpus_path}/source="), "source"))

@@ -73,6 +73,19 @@ def test_staged_equals_sequential(spark, seed, opted, parts):
     assert totals["duplicate_rate"] == round((len(rows) - kept) / len(rows), 4)
 
 
+@pytest.mark.parametrize("empty", [False, True])
+def test_observed_report_equals_the_one_read_again(spark, tmp_path, empty):
+    texts = [t for _, t in corpus(4)]
+    rows = [] if empty else [(((i % 3) << ROW_BITS) + i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "ord long, text string").repartition(5)
+    decided, report = D.observed_report(D.deduplicate(docs, min_paragraph=8, min_document=12, paragraph_sources=[0, 2]), [0, 1, 2, 7])
+    decided.write.parquet(str(tmp_path / "decisions"))
+    again = {r["source_ord"]: r for r in D.dedup_report(spark.read.parquet(str(tmp_path / "decisions"))).collect()}
+    got = {r["source_ord"]: r for r in report().collect()}
+    assert set(got) == {0, 1, 2, 7} and {k: got[k] for k in again} == again
+    assert len(again) == (0 if empty else 3) and got[7]["original_docs"] == 0 and got[7]["duplicate_rate"] == 0.0
+
+
 def test_second_run_removes_nothing(spark):
     docs = spark.createDataFrame(corpus(9), "ord long, text string")
     once = D.kept_texts(D.deduplicate(docs, min_paragraph=8, min_document=12))
