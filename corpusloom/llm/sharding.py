@@ -1,9 +1,10 @@
 """Sharding in two passes of an external shuffle.
 
-Pass one scatters the rows into memory-sized buckets by seeded hashes: the shard
-by rendezvous hashing of ``doc_id`` (the largest of one hash per shard wins), the
-bucket inside the shard by a hash of ``doc_id`` and text.  Pass two puts each
-bucket in order, shuffles it (Fisher-Yates) and writes it.
+Pass one scatters the documents into memory-sized buckets by seeded hashes: the
+shard by rendezvous hashing of ``doc_id`` (the largest of one hash per shard wins),
+the bucket inside the shard by a hash of ``doc_id`` and text.  Pass two puts each
+bucket in order, shuffles it (Fisher-Yates) and writes its documents to their
+shard, one after the other by slot.
 
 Law ``key``: ``doc_id`` and the number of shards decide, so a further shard takes
 rows only into itself.  Rows with a null ``doc_id`` go to one shard by the hash of
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from corpusloom.llm.tables import packed, stored
 
 SHARDS = 40
-BUCKET_ROWS = 50_000  # rows of one bucket on average
+BUCKET_ROWS = 50_000  # rows of one bucket on average, where rows are keys only
+BUCKET_BYTES = 8 << 20  # of the documents of one bucket on average
 SEED = 9
 
 
@@ -28,10 +30,9 @@ def shard_of(doc_id: Column, shards: int) -> Column:
     return F.greatest(*draws)["k"] if shards > 1 else F.lit(0)
 
 
-def scatter(docs: DataFrame, shards: int, rows: int) -> DataFrame:
-    """Pass one: add ``size, text_crc32, shard, grown_shard`` and the bucket."""
+def scatter(docs: DataFrame, shards: int, buckets: int) -> DataFrame:
+    """Pass one: add ``size, text_crc32, shard, grown_shard`` and the bucket, one of ``buckets`` a shard."""
     whole = F.coalesce(F.col("text"), F.lit(""))
-    buckets = max(1, -(-rows // (BUCKET_ROWS * shards)))
     return docs.select(
         *docs.columns,
         (F.octet_length(whole) + 16).cast("long").alias("size"),
@@ -50,15 +51,19 @@ def shuffled(scattered: DataFrame) -> DataFrame:
     before = Window.partitionBy("shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = scattered.groupBy(*keys).agg(F.count("*").alias("__n")).select(
         *keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    return mixed.join(offsets, keys).select(
+    return mixed.join(F.broadcast(offsets), keys).select(  # one row a bucket
         *[F.col(f"__row.`{c}`").alias(c) for c in columns], "shard", (F.col("__before") + F.col("__at")).alias("slot"))
 
 
 def place(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``doc_id, size, text_crc32, shard, grown_shard, slot`` of every row."""
+    """``doc_id, size, text_crc32, shard, grown_shard, slot`` of every row, as the written shards hold them."""
     narrow = docs.select("doc_id", "text")
-    scattered = scatter(narrow, shards, docs.count()).drop("text")
-    return shuffled(stored(scattered, "scattered"))
+    measured = narrow.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0] or 0
+    buckets = max(1, -(-measured // (BUCKET_BYTES * shards)))
+    # Ranges of buckets: what a task shuffles lies one after the other in its shards.
+    scattered = scatter(narrow, shards, buckets).repartitionByRange("shard", "__bucket")
+    ordered = shuffled(scattered).sortWithinPartitions("shard", "slot")
+    return stored(ordered, "shards", "shard").select("doc_id", "size", "text_crc32", "shard", "grown_shard", "slot")
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
@@ -69,7 +74,8 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
     which spills where they are larger than memory."""
     kept = stored(packed(docs, "doc_id", "text").withColumn("id", F.monotonically_increasing_id()), "to-shard")
     numbered = kept.select("doc_id", "text", "id")
-    slots = shuffled(scatter(numbered, shards, kept.count()).drop("text")).select("id", "shard", "slot")
+    buckets = max(1, -(-kept.count() // (BUCKET_ROWS * shards)))
+    slots = shuffled(scatter(numbered, shards, buckets).drop("text")).select("id", "shard", "slot")
     out = kept.select("row", "id").join(slots, "id").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
     folder, place = (name + "_" * (name in docs.columns) for name in ("shard", "slot"))
     columns = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]

@@ -340,3 +340,19 @@ def test_written_files_follow_the_slots(spark, docs, rows, tmp_path):
             assert all(r["row"] == 1 and r["id"] == 2 for r in part)
         assert slots == list(range(len(slots)))
     assert found == placed and sum(found.values()) == len(rows)
+
+
+def test_placing_writes_the_documents(docs, rows, monkeypatch):
+    """The second pass writes whole documents, shard by shard, in the order of their slots."""
+    monkeypatch.setattr(sharding, "BUCKET_BYTES", 20_000)
+    placed = sharding.place(docs, 3)
+    parts = sorted(f.removeprefix("file://").removeprefix("file:") for f in placed.inputFiles())
+    found, slots = Counter(), defaultdict(list)
+    for part in parts:
+        shard = int(part.split("shard=")[1].split("/")[0])
+        for r in pq.ParquetFile(part).read().to_pylist():
+            found[r["doc_id"], r["text"], shard] += 1
+            slots[shard].append(r["slot"])
+    assert all(s == list(range(len(s))) for s in slots.values())
+    assert Counter((i, t) for i, t, _ in found.elements()) == Counter((r[0], r[1]) for r in rows)
+    assert Counter((i, s) for i, _, s in found.elements()) == Counter((r["doc_id"], r["shard"]) for r in placed.collect())
