@@ -158,3 +158,14 @@ def test_queries_learn_the_whole_vocabulary(spark, monkeypatch):
     docs = spark.createDataFrame([("s", 0, "a")], "source string, ord long, text string")
     token_queries._vocabulary(docs)
     assert sizes == [(50_257, 2)]
+
+
+def test_rounds_start_with_few_pairs_and_write_the_words(spark, monkeypatch):
+    """The first round does not cut the whole words at every level of pairs, and equal merges come out of any schedule."""
+    words = spark.createDataFrame([("abcabc", 9), ("ab", 5), ("xabcy", 4), ("aaaa", 3), ("bc", 2), ("é\U0001f600é", 2)], "word string, freq long")
+    asked, bounded = [], bpe._bounded_parts
+    monkeypatch.setattr(bpe, "_bounded_parts", lambda state, ranked, most: asked.append(most) or bounded(state, ranked, most))
+    merges = bpe.learn(words, 300)
+    assert asked[0] == bpe.FIRST_TOP < bpe.TOP
+    monkeypatch.setattr(bpe, "FIRST_TOP", 1)
+    assert bpe.learn(words, 300, checkpoint_every=1) == merges and len(merges.merges) > 10
