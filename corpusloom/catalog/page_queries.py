@@ -39,6 +39,9 @@ items AS (
 """
 
 
+PAGES_OF_A_TASK = 1_000  # reading a page for its items is some ten milliseconds
+
+
 def _listing_pages(spark, folder):
     """Listing pages: the real page plus four list items, one without a URL."""
     title = F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1)
@@ -53,7 +56,7 @@ def _listing_pages(spark, folder):
     def author(name):
         return F.concat(F.lit('<p><a href="/author-1"> '), name, F.lit("</a></p>"))
 
-    return texts(spark, folder, "pages", "page_id").select(
+    return texts(spark, folder, "pages", "page_id", PAGES_OF_A_TASK).select(
         "page_id", "url", title.alias("title"),
         F.concat(
             "html",

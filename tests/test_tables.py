@@ -129,3 +129,14 @@ def test_audit(spark):
     log = spark.createDataFrame([(1, 1.0, None), (2, None, 0.5), (3, None, 0.5), (4, None, 2.0)], "step long, loss double, eval_loss double")
     assert best_evaluation(log).first()["best_step"] == 2
     assert with_perplexity(log).filter("step = 1").first()["eval_perplexity"] is None
+
+
+def test_listing_pages_come_in_bounded_tasks(spark, tmp_path):
+    """However many pages there are, a task reads a bounded number of them."""
+    from corpusloom.catalog import page_queries
+
+    spark.range(40_000).selectExpr("id AS page_id", "concat('/p', id) AS url", "'<h1>t</h1>' AS html").coalesce(1).write.parquet(
+        str(tmp_path / "pages.parquet"))
+    pages = page_queries._listing_pages(spark, str(tmp_path))
+    sizes = pages.select("page_id").rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(sizes) == 40_000 and max(sizes) <= 2 * page_queries.PAGES_OF_A_TASK
