@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.tables import stored
+from corpusloom.llm.tables import bounded_batches, stored
 from corpusloom.llm.words import mix
 
 LONGEST = 3  # words of a phrase; the packing of a run's suffixes allows 2 or 3
@@ -70,20 +70,33 @@ def chunks(texts: list[bytes]) -> Iterator[bytes]:
         at = end + 1
 
 
+def tokens(lang: str, texts: list[bytes], seed: int) -> Iterator[tuple[str, np.ndarray, list[bytes], np.ndarray]]:
+    prefix = lang.encode() + CUT
+    for chunk in chunks(texts):
+        words = np.array([CUT, *chunk.replace(CUT, b" \xff ").split()], dtype=object)
+        codes, distinct = pd.factorize(words)
+        codes = codes[1:].astype(np.int32) - np.int32(1)
+        del words  # while the part is in use, only its distinct words are held
+        names = np.array([xxhash.xxh3_64_intdigest(prefix + w, seed) for w in distinct[1:]], dtype=np.uint64)
+        yield lang, codes, distinct[1:].tolist(), names
+
+
 def tokens_by_lang(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[tuple[str, np.ndarray, list[bytes], np.ndarray]]:
-    """``(lang, code of every word, words by code, their names)`` of parts of the texts; the end of a piece is code -1."""
+    """``(lang, code of every word, words by code, their names)`` of parts of the texts; the end of a piece is code -1.
+
+    Texts of a lang are gathered up to ``CHUNK_BYTES``, whatever the batch holds."""
     for batch in batches:
         by_lang: dict[str, list[bytes]] = {}
+        size: dict[str, int] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary())):
             if text.is_valid:
                 by_lang.setdefault(lang, []).append(text.as_py())
-        for lang, texts in by_lang.items():
-            prefix = lang.encode() + CUT
-            for chunk in chunks(texts):
-                words = np.array([CUT, *chunk.replace(CUT, b" \xff ").split()], dtype=object)
-                codes, distinct = pd.factorize(words)
-                names = np.array([xxhash.xxh3_64_intdigest(prefix + w, seed) for w in distinct[1:]], dtype=np.uint64)
-                yield lang, codes[1:] - 1, distinct[1:].tolist(), names
+                size[lang] = size.get(lang, 0) + len(by_lang[lang][-1])
+                if size[lang] >= CHUNK_BYTES:
+                    del size[lang]
+                    yield from tokens(lang, by_lang.pop(lang), seed)
+        while by_lang:
+            yield from tokens(*by_lang.popitem(), seed)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -124,31 +137,51 @@ def suffixes(docs: DataFrame, seed: int, bits: int, longest: int) -> DataFrame:
     ``codes`` are ``longest`` arrays of places in ``names``, from 1; 0 is behind the piece's end."""
 
     def run(parts: list[tuple[np.ndarray, np.ndarray, int]]) -> pa.RecordBatch:
-        # Behind each part stands an end, so that no suffix reaches into the next one.
-        named = [np.append(np.append(names, _U(0))[codes], np.zeros(longest, dtype=np.uint64)) for codes, names, _ in parts]
-        begins = np.concatenate([np.arange(len(codes) + longest) < own for codes, _, own in parts])
-        codes, distinct = pd.factorize(np.concatenate([np.zeros(1, dtype=np.uint64), *named]))  # 0 gets code 0
-        codes = np.append(codes[1:], np.zeros(longest, dtype=codes.dtype))
-        packed, open_ = np.zeros(len(begins), dtype=np.int64), begins.copy()
+        # Behind each part stands an end, so that no suffix reaches into the next one.  The arrays of a run are let go as
+        # soon as they have served, as a run is what a task holds most of.
+        places = sum(len(codes) + longest for codes, _, _ in parts)
+        named, begins, at = np.zeros(places + 1, dtype=np.uint64), np.zeros(places, dtype=bool), 0
+        for codes, names, own in parts:
+            np.append(names, _U(0)).take(codes, out=named[at + 1:at + 1 + len(codes)], mode="wrap")  # code -1 is the end
+            begins[at:at + own] = True
+            at += len(codes) + longest
+        parts.clear()
+        codes, distinct = pd.factorize(named)  # 0 gets code 0
+        del named
+        codes = np.append(codes[1:].astype(np.int32), np.zeros(longest, dtype=np.int32))
+        packed = np.zeros(places, dtype=np.int64)
         for k in range(longest):
-            following = codes[k:k + len(packed)]
-            open_ &= following > 0
-            packed = packed << _BITS | np.where(open_, following, 0)
-        packed, counts = np.unique(packed[packed >> (_BITS * (longest - 2)) & ((1 << _BITS) - 1) > 0], return_counts=True)
-        columns = [packed >> (_BITS * (longest - 1 - k)) & ((1 << _BITS) - 1) for k in range(longest)]
-        route = mix(distinct[columns[0]] * _U(3) + mix(distinct[columns[1]]))
-        shard = (route >> _U(64 - bits)).astype(np.int32) if bits else np.zeros(len(packed), dtype=np.int32)
-        order = np.argsort(shard, kind="stable")
+            following = codes[k:k + places]
+            begins &= following > 0
+            packed <<= _BITS
+            np.bitwise_or(packed, following, out=packed, where=begins)
+        del codes, following
+        low = (1 << _BITS) - 1
+        packed = packed[packed >> (_BITS * (longest - 2)) & low > 0]
+        packed.sort()
+        heads = np.flatnonzero(np.concatenate([[True], packed[1:] != packed[:-1]])[:len(packed)])
+        counts = np.diff(np.append(heads, len(packed))).astype(np.uint32)
+        packed = packed[heads]
+        columns = [(packed >> (_BITS * (longest - 1 - k)) & low).astype(np.int32) for k in range(longest)]
+        del packed, heads
+        route = distinct[columns[1]]
+        route = mix(route)
+        route += distinct[columns[0]] * _U(3)
+        shard = (mix(route) >> _U(64 - bits)).astype(np.int32) if bits else np.zeros(len(route), dtype=np.int32)
+        del route
+        order = np.argsort(shard, kind="stable").astype(np.int32)
         shard, columns, counts = shard[order], [c[order] for c in columns], counts[order]
+        del order
         heads = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])[:len(shard)])
         rows = []
         for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(shard)]):
             local, used = pd.factorize(np.concatenate([[0], *[c[a:b] for c in columns]]))
             kind = np.uint16 if len(used) < 1 << 16 else np.uint32
-            rows.append((int(shard[a]), distinct[used[1:]].tobytes(), local[1:].astype(kind).tobytes(), counts[a:b].astype(np.uint32).tobytes()))
-        return pa.RecordBatch.from_pylist(
-            [dict(zip(("shard", "names", "codes", "counts"), r)) for r in rows],
-            schema=pa.schema([("shard", pa.int32()), ("names", pa.binary()), ("codes", pa.binary()), ("counts", pa.binary())]))
+            rows.append((int(shard[a]), distinct[used[1:]].tobytes(), local[1:].astype(kind).tobytes(), counts[a:b].tobytes()))
+        del shard, columns, counts
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["shard", "names", "codes", "counts"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
@@ -156,8 +189,8 @@ def suffixes(docs: DataFrame, seed: int, bits: int, longest: int) -> DataFrame:
             for a in range(0, len(codes), RUN_TOKENS // 2):  # suffixes begin in the first half of a run, and may end behind it
                 part = codes[a:a + RUN_TOKENS // 2 + longest - 1]
                 if size + len(part) + longest > RUN_TOKENS - 2 and parts:
-                    yield run(parts)
-                    parts, size = [], 0
+                    yield run(parts)  # empties the list
+                    size = 0
                 parts.append((part, names, min(len(codes) - a, RUN_TOKENS // 2)))
                 size += len(part) + longest
         if parts:
@@ -217,19 +250,20 @@ def frequent_phrases(docs: DataFrame, seed: int, tokens: int, longest: int, leas
     bits = max(0, (-(-tokens // SHARD_TOKENS) - 1).bit_length())
 
     def sort(shard: pa.Table) -> pa.Table:
-        rows = shard.to_pylist()
-        names = [np.frombuffer(r["names"], dtype=np.uint64) for r in rows]
-        known = np.unique(np.concatenate([np.zeros(1, dtype=np.uint64), *names]))
-        columns, weights = [], []
-        for row, mine in zip(rows, names):
-            counts = np.frombuffer(row["counts"], dtype=np.uint32)
-            kind = np.uint16 if len(row["codes"]) == 2 * longest * len(counts) else np.uint32
+        named, coded, counted = ([x.as_buffer() for x in shard.column(c)] for c in ("names", "codes", "counts"))
+        named = [np.frombuffer(x, dtype=np.uint64) for x in named]
+        known = np.unique(np.concatenate([np.zeros(1, dtype=np.uint64), *named]))
+        total = sum(x.size for x in counted) // 4
+        words, weights, at = np.empty((longest, total), dtype=np.int32), np.empty(total, dtype=np.int64), 0
+        for mine, codes, n in zip(named, coded, counted):
+            n = np.frombuffer(n, dtype=np.uint32)
+            kind = np.uint16 if codes.size == 2 * longest * len(n) else np.uint32
             ids = np.append(0, np.searchsorted(known, mine)).astype(np.int32)
-            columns.append(ids[np.frombuffer(row["codes"], dtype=kind)].reshape(longest, -1))
-            weights.append(counts.astype(np.int64))
-        words = np.concatenate(columns, axis=1)
+            words[:, at:at + len(n)] = ids[np.frombuffer(codes, dtype=kind)].reshape(longest, -1)
+            weights[at:at + len(n)] = n
+            at += len(n)
         phrases, counts = [], []
-        for size, (pointers, n) in enumerate(multikey_quicksort(words, np.concatenate(weights), least), 2):
+        for size, (pointers, n) in enumerate(multikey_quicksort(words, weights, least), 2):
             phrases += known[words[:size, pointers]].view(np.int64).T.tolist()
             counts += n.tolist()
         return pa.table([pa.array(phrases, pa.list_(pa.int64())), pa.array(counts, pa.int64())], ["phrase", "a"])
@@ -241,7 +275,7 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, co
     """``lang, phrase, a, l, r, n, score`` of all candidates that are not contained in a longer one."""
     if longest not in (2, 3):
         raise ValueError("phrases have 2 or 3 words")
-    words, seed = named_words(docs)
+    words, seed = named_words(bounded_batches(docs))
     per_lang = words.groupBy("lang").agg(F.sum("f").alias("n"))
     tokens = words.agg(F.sum("f")).first()[0] or 0
     candidates = stored(frequent_phrases(docs, seed, tokens, longest, least), "collocation-phrases")
