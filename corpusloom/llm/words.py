@@ -8,12 +8,14 @@ word is represented by a 64-bit hash of its bytes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
 SHINGLE = 5
 BLOCK_BYTES = 4_000_000  # texts handled at once; one longer text is handled alone
+SEGMENT_BYTES = 1 << 16  # bytes hashed at once, longer only for a longer word
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 
@@ -22,6 +24,7 @@ _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _PLACE = _rng.integers(1, 2**63, SHINGLE, dtype=np.uint64) * _U(2) + _U(1)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_LETTER = _BYTE[_LOWER]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -66,15 +69,37 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return start, np.flatnonzero(ends) + 1 - start, np.searchsorted(start, offsets)
 
 
+@lru_cache(1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the base from 1 on, and those of its inverse from 0 on."""
+    up = np.multiply.accumulate(np.full(size, _BASE, dtype=np.uint64))
+    down = np.full(size, pow(int(_BASE), -1, 1 << 64), dtype=np.uint64)
+    down[:1] = 1
+    return up, np.multiply.accumulate(down)
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    if len(start) == 0:
-        return np.empty(0, dtype=np.uint64)
-    place = np.arange(int(length.sum()), dtype=np.int64)
-    heads = np.cumsum(length) - length
-    inner = place - np.repeat(heads, length)
-    powers = np.multiply.accumulate(np.full(int(length.max()), _BASE, dtype=np.uint64))
-    letters = _BYTE[_LOWER[data[inner + np.repeat(start, length)]]]
-    return mix(np.add.reduceat(letters * powers[inner], heads) + length.astype(np.uint64))
+    """A polynomial of the bytes of every word, from one running sum over a segment of the bytes."""
+    hashes, ends, at = np.empty(len(start), dtype=np.uint64), start + length, 0
+    while at < len(start):
+        first = int(start[at])
+        last = max(int(np.searchsorted(ends, first + SEGMENT_BYTES, side="right")), at + 1)
+        size = int(ends[last - 1]) - first
+        up, down = _powers(max(SEGMENT_BYTES, size))
+        sums = np.zeros(size + 1, dtype=np.uint64)
+        np.cumsum(_LETTER[data[first:first + size]] * up[:size], out=sums[1:])
+        begins = start[at:last] - first
+        hashes[at:last] = (sums[ends[at:last] - first] - sums[begins]) * down[begins]
+        at = last
+    return mix(hashes + length.astype(np.uint64))
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The sorted distinct values."""
+    ordered = np.sort(values)
+    first = np.ones(len(ordered), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return ordered[first]
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> list[np.ndarray]:
@@ -90,7 +115,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) ->
     sets = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
         if b - a >= size:
-            sets.append(np.unique(rolled[a:b - size + 1]))
+            sets.append(distinct(rolled[a:b - size + 1]))
         elif b > a:
             sets.append(mix((words[a:b] * _PLACE[:b - a]).sum(keepdims=True, dtype=np.uint64) + _U(b - a)))
         else:

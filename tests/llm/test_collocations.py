@@ -1,10 +1,13 @@
 """Phrase collocations against a plain reading of their contract, and the quicksort against counting."""
 
+import gc
 import re
+import tracemalloc
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given as each
 from hypothesis import settings
@@ -158,3 +161,27 @@ def test_sql_states_the_same(spark):
     got = result(co.op12(spark.read.parquet(f"{folder}/documents.parquet")))
     assert got == sorted(con.execute(co.SQL).fetchall())
     assert got == plain(con.execute("SELECT text, lang FROM documents").fetchall())
+
+
+def test_a_run_holds_little(spark):
+    """A task that fills a run of words holds few numbers a word."""
+    words, seen = 400_000, []
+
+    class Rows:
+        def mapInArrow(self, deal, schema):
+            seen.append(deal)
+
+    rng = np.random.default_rng(3)
+    text = " ".join(f"w{i}" for i in rng.integers(0, 20_000, words).tolist())
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"], "text": [text]})
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(co, "_texts", lambda docs: docs)
+        patch.setattr(co, "CHUNK_BYTES", 1 << 17)
+        co.suffixes(Rows(), 0, 2, 3)
+        gc.collect()
+        tracemalloc.start()
+        counted = sum(np.frombuffer(r["counts"], dtype=np.uint32).sum() for b in seen[0](iter([batch])) for r in b.to_pylist())
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    assert counted == words - 1
+    assert peak < 110 * words  # 83; 138 with every array of a run kept
