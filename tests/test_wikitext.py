@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.functions import wikitext as W
 
@@ -105,3 +106,15 @@ def test_whole_chain_and_lengths(spark):
     assert [r["text"] for r in rows] == ["A & c\n\nd", ""]
     assert rows[0]["n"][0] == len(raw) and rows[0]["n"][-1] == len("A & c\n\nd")
     assert len(rows[0]["n"]) == len(W.STEPS) + 1
+
+
+def test_namespaces_are_lower_cased_once(column):
+    raw = ["[[TẬP_TIN:x|y]]a", "[[File x|File: y]]", "[[a:b|c]]", "[[Media:x]]", "{{|}}{|a|}{{|", "a]]]b[[[c]d]]"]
+    assert column(W.resolve_links, raw) == ["a", "File: y", "c", "", "{{|}}{|a|}{{|", "a]]]b[c]d"]
+    assert str(W._link_label(F.col("t"))).count("lower(") == 1
+
+
+def test_tags_of_any_case(column):
+    raw = ["<ſpan>x</ſpan><REF a/ >y<Ref>z</rEF>", "<DIV>a<!-- <b> -->b</Div><q>", "''''a'''''b----- --"]
+    assert column(W.strip_tags, raw[:2]) == [" x y", " ab "]
+    assert column(W.drop_emphasis, raw[2:]) == ["'ab --"]
