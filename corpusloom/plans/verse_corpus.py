@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from corpusloom import settings
 from corpusloom.functions.entities import with_unescaped
-from corpusloom.functions.text import strip, with_nfc, word_count
-from corpusloom.functions.verse import clean_source_note, stanza_lines, with_plain_verse
+from corpusloom.functions.text import strip, with_nfc
+from corpusloom.functions.verse import clean_source_note, has_line_words, stanza_lines, with_plain_verse
 from corpusloom.operators.firsts import first_order
 from corpusloom.operators.rows import explode_items, keep
 from corpusloom.sources.readers import read_csv
@@ -35,9 +35,7 @@ def valid_stanzas(pages: DataFrame, lines: int = settings.VERSE_LINES,
     shaped = stanzas.filter(F.size("__lines") == lines).select(
         "ord", "stanza_ord", F.array_join("__lines", "\n").alias("text")
     )
-    return keep(
-        with_nfc(shaped, "text"), F.forall(F.split("text", "\n"), lambda line: word_count(line) == words)
-    )
+    return keep(with_nfc(shaped, "text"), has_line_words(F.col("text"), words))
 
 
 def distinct_stanzas(stanzas: DataFrame) -> DataFrame:

@@ -51,7 +51,9 @@ def line_map(line: Column, sep: str) -> Column:
         end = F.aggregate(F.slice(parts, F.lit(1), F.size(parts) - 1), F.lit(state), step)
         return F.when(end == INSIDE, 1).otherwise(0)
 
-    return F.when(F.contains(line, F.lit('"')), after(START) + 2 * after(INSIDE)).otherwise(KEEPS).cast("tinyint")
+    # Quotes in even runs, such as doubled ones, leave either state: a run that opens a cell closes it again.
+    odd = F.contains(F.replace(line, F.lit('""'), F.lit("")), F.lit('"'))
+    return F.when(odd, after(START) + 2 * after(INSIDE)).otherwise(KEEPS).cast("tinyint")
 
 
 class Walk:
@@ -77,15 +79,39 @@ class Walk:
             return None
         return record
 
+    def feed_all(self, lines: list[str], codes: np.ndarray) -> list[str]:
+        """The records that end with one of the lines, as ``feed`` gives them for one line after the other.
+
+        Lines that keep either state are passed in runs."""
+        records, begin = [], 0
+        for at in [*np.flatnonzero(codes != KEEPS).tolist(), len(lines)]:
+            if self.state == INSIDE:
+                self.open += lines[begin:at]
+            else:
+                records += [line for line in lines[begin:at] if line not in ("", "\r")]
+            if at < len(lines):
+                record = self.feed(lines[at], int(codes[at]))
+                if record is not None:
+                    records.append("\n".join(record))
+            begin = at + 1
+        return records
+
+
+def _runs(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """``(key, first, last)`` of the runs of equal keys."""
+    heads = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist()] if len(keys) else []
+    for a, b in zip(heads, [*heads[1:], len(keys)]):
+        yield int(keys[a]), a, b
+
 
 def _lines(spark: SparkSession, path: str, sep: str) -> DataFrame:
     place = [F.col(f"_metadata.{c}") for c in ("file_path", "file_block_start", "file_block_length")]
     return spark.read.text(path, lineSep="\n").select(
-        F.xxhash64(*place).alias("range"), place[0].alias("path"), place[1].alias("start"),
+        F.xxhash64(*place).alias("range"), F.xxhash64(place[0]).alias("path"), place[1].alias("start"),
         F.col("value").alias("line"), line_map(F.col("value"), sep).alias("code"))
 
 
-SUMMARY = ("range long, path string, start long, after_outside int, after_inside int, ends boolean, "
+SUMMARY = ("range long, path long, start long, after_outside int, after_inside int, ends boolean, "
            "first string, head string, open_outside string, open_inside string")
 
 
@@ -93,7 +119,7 @@ def _summaries(lines: DataFrame) -> DataFrame:
     """Per range what it does to either state, and the lines of the records that are open at its borders."""
 
     names = [c.split()[0] for c in SUMMARY.split(", ")]
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), *[pa.string()] * 4]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), *[pa.string()] * 4]
 
     def text(lines: list[str] | None) -> str | None:
         return "\n".join(lines) if lines else None
@@ -112,15 +138,17 @@ def _summaries(lines: DataFrame) -> DataFrame:
 
         for batch in batches:
             done = []
-            for key, path, start, line, code in zip(*[c.to_pylist() for c in batch.columns]):
+            lines, codes = batch.column(3).to_pylist(), batch.column(4).to_numpy()
+            for key, a, b in _runs(batch.column(0).to_numpy()):
                 if key != now:
                     if now is not None:
                         done.append(summary())
-                    now, place, walks, first = key, (path, start), (Walk(OUTSIDE), Walk(INSIDE)), None
-                record = walks[OUTSIDE].feed(line, code)
-                if start == 0 and first is None:
-                    first = record
-                walks[INSIDE].feed(line, code)
+                    now, walks, first = key, (Walk(OUTSIDE), Walk(INSIDE)), None
+                    place = batch.column(1)[a].as_py(), batch.column(2)[a].as_py()
+                records = walks[OUTSIDE].feed_all(lines[a:b], codes[a:b])
+                if place[1] == 0 and first is None and records:
+                    first = records[:1]
+                walks[INSIDE].feed_all(lines[a:b], codes[a:b])
             yield rows(done)
         if now is not None:
             yield rows([summary()])
@@ -172,17 +200,17 @@ def _inside(lines: DataFrame, ranges: DataFrame) -> DataFrame:
         now, walk, ahead = None, None, False
         for batch in batches:
             first, records = [], []
-            for key, start, line, code in zip(*[c.to_pylist() for c in batch.columns]):
+            lines, codes = batch.column(2).to_pylist(), batch.column(3).to_numpy()
+            for key, a, b in _runs(batch.column(0).to_numpy()):
                 if key != now:
                     at = int(np.searchsorted(keys, key))
                     if at == len(keys) or keys[at] != key:
                         raise RuntimeError("the files or their ranges changed while they were read")
-                    now, walk, ahead = key, Walk(int(states[at])), start == 0
-                record = walk.feed(line, code)
-                if record is not None:
-                    first.append(ahead)
-                    records.append("\n".join(record))
-                    ahead = False
+                    now, walk, ahead = key, Walk(int(states[at])), batch.column(1)[a].as_py() == 0
+                found = walk.feed_all(lines[a:b], codes[a:b])
+                first += [ahead and i == 0 for i in range(len(found))]
+                records += found
+                ahead = ahead and not found
             yield pa.RecordBatch.from_arrays([pa.array(first, pa.bool_()), pa.array(records, pa.string())], ["first", "record"])
 
     return lines.select("range", "start", "line", "code").mapInArrow(one, "first boolean, record string")

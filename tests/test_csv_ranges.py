@@ -4,6 +4,7 @@ import csv
 import io
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +145,17 @@ def test_equal_to_the_engines_reader(spark, tmp_path, small_ranges):
     native = readers.read_csv(spark, path, wanted).collect()
     small_ranges(40)
     assert sorted(map(str, readers.read_csv(spark, path, wanted).collect())) == sorted(map(str, native))
+
+
+@pytest.mark.parametrize("state", [cr.OUTSIDE, cr.INSIDE])
+def test_lines_in_runs_are_fed_as_one_after_the_other(spark, state):
+    """Runs of lines that keep the state need no step per line, and doubled quotes no fold."""
+    rng = random.Random(11)
+    lines = ["".join(rng.choice(['"', '""', '""""', "a", ",", "x,", "\r", ""]) for _ in range(rng.randint(0, 5))) for _ in range(4_000)]
+    rows = spark.createDataFrame(list(enumerate(lines)), "i int, v string").select("i", cr.line_map(F.col("v"), ",").alias("c"))
+    codes = np.array([c for _, c in sorted(map(tuple, rows.collect()))], dtype=np.int8)
+    single, runs = cr.Walk(state), cr.Walk(state)
+    expected = ["\n".join(r) for line, code in zip(lines, codes.tolist()) if (r := single.feed(line, code)) is not None]
+    got = [r for a in range(0, len(lines), 700) for r in runs.feed_all(lines[a:a + 700], codes[a:a + 700])]
+    assert got == expected and len(got) > 100
+    assert (runs.state, runs.head, runs.open) == (single.state, single.head, single.open)

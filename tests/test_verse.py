@@ -1,6 +1,11 @@
+import json
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from corpusloom.functions import verse as V
+from corpusloom.functions.text import WS_CHARS
 from corpusloom.operators import pages as P
 from corpusloom.plans import verse_corpus as C
 
@@ -62,3 +67,25 @@ def test_merged_listings(spark):
                                    "listing_ord int, page int, item_ord int, title string, url string, author string, searched string")
     got = {r["url"]: (r["author"], r["phase"]) for r in P.merged_listings(first, second).collect()}
     assert got == {"u1": ("A", 1), "u2": ("S", 2)}
+
+
+def test_lines_are_cleaned_as_one_by_one(column):
+    """Whole-text patterns against the steps line by line, and no pattern per line."""
+    rng = random.Random(3)
+    pool = ["a", "b", "é", " ", " ", "\n", "\n", "\n \n", "\t", '"', "“", "’", ",", "-", ":", "\x1e", "\x85", " ", "\xa0", "\r"]
+
+    def line(t):
+        t = " ".join(t.split())
+        return re.sub("[\"“”‘’:;,\\-–—]+$", "", re.sub("^[\"“”‘’]+", "", t).strip()).strip()
+
+    texts = ["", " ", '" "x" "\n,- -\n\n" \n\n', *["".join(rng.choice(pool) for _ in range(rng.randint(1, 40))) for _ in range(500)]]
+    space = "[" + "".join(map(re.escape, WS_CHARS)) + "]"
+    expected = [[[x for x in map(line, s.strip(WS_CHARS).split("\n")) if x] for s in re.split(rf"\n{space}*\n", t.strip(WS_CHARS))] for t in texts]
+    assert [json.loads(x) for x in column(lambda c: F.to_json(V.stanza_lines(c)), texts)] == expected
+    assert "regexp_replace(namedlambda" not in str(V.stanza_lines(F.col("t"))).replace("trim(", "")
+
+
+def test_words_of_lines(column):
+    texts = ["a b\nc d", "a b\nc", "a, b\n“c”-d", "a b\n\nc d", "", "a b\n", "(a)\xa0b!"]
+    assert column(lambda c: V.has_line_words(c, 2).cast("string"), texts) == ["true", "false", "true", "false", "false", "false", "true"]
+    assert column(lambda c: V.has_line_words(c, 0).cast("string"), ["", "a", " \n!"]) == ["true", "false", "true"]
