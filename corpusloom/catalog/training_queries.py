@@ -20,6 +20,7 @@ from corpusloom.operators.packing import (
 )
 from corpusloom.operators.selection import split_by_key
 from corpusloom.plans.training_tables import packed_corpus, verse_samples
+from corpusloom.session import written
 
 RATIO = settings.EVAL_RATIO
 BATCH_ROWS = settings.MAP_BATCH_ROWS
@@ -146,8 +147,9 @@ def sample_split(spark, folder):
 def training_blocks(spark, folder):
     """The whole first-stage table with a learned vocabulary."""
     docs = documents(spark, folder)
-    vocab = bpe.learn(bpe.word_counts(docs), settings.VOCAB_SIZE, settings.MIN_FREQUENCY)
-    blocks = packed_corpus(docs, vocab, WEIGHTS, ratio=RATIO, batch_rows=BATCH_ROWS)
+    words = written(bpe.word_counts(docs), "words")
+    vocab = bpe.learn(words, settings.VOCAB_SIZE, settings.MIN_FREQUENCY)
+    blocks = packed_corpus(docs, vocab, WEIGHTS, ratio=RATIO, batch_rows=BATCH_ROWS, counts=words)
     return blocks.select("split", "batch_id", "block", F.size("input_ids").alias("n"),
                          F.md5(F.array_join("input_ids", " ")).alias("content"))
 

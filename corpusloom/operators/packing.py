@@ -24,18 +24,21 @@ def pack_blocks(rows: DataFrame, length: int = settings.BLOCK_LENGTH,
     block.  Each row is cut at the block borders that its offset in the batch
     decides, so a group gathers the tokens of one block and no more.  ``labels``
     equal ``input_ids``.
+
+    Rows without tokens go behind the windows: a filter in front of them would be
+    moved to where the tokens are made, and make them a second time.
     """
     keys = [*(within or []), "batch_id"]
-    size = F.size("input_ids").cast("long")
+    size = F.greatest(F.size("input_ids"), F.lit(0)).cast("long")
     batch = Window.partitionBy(*keys)
     before = batch.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    sized = rows.select(*keys, "rank", "input_ids").filter(size > 0).withColumn(
+    sized = rows.select(*keys, "rank", "input_ids").withColumn(
         "__start", F.coalesce(F.sum(size).over(before), F.lit(0))
     ).withColumn("__total", F.sum(size).over(batch))
     used = F.when(F.col("__total") >= length, F.col("__total") - F.col("__total") % length).otherwise(F.col("__total"))
     first = F.floor(F.col("__start") / length)
     last = F.floor((F.least(F.col("__start") + size, used) - 1) / length)
-    cut = sized.withColumn("__used", used).filter(F.col("__start") < F.col("__used")).withColumn(
+    cut = sized.withColumn("__used", used).filter((F.col("__start") < F.col("__used")) & (size > 0)).withColumn(
         "block", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.col("block") * length - F.col("__start"), F.lit(0))
     end = F.least(F.col("block") * length + length, F.col("__used")) - F.col("__start")

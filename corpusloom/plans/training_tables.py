@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom import settings
 from corpusloom.functions.text import format_size, with_nfc
 from corpusloom.operators.bpe import SPECIAL_ID, Vocabulary, with_token_ids
+from corpusloom.operators.dictionary import with_ids
 from corpusloom.operators.mixture import split_mixture, weighted_mixture
 from corpusloom.operators.order import shuffle_key
 from corpusloom.operators.packing import (
@@ -23,15 +24,17 @@ from corpusloom.sources.writers import write_parquet
 
 def packed_corpus(docs: DataFrame, vocab: Vocabulary, weights: dict[str, int],
                   length: int = settings.BLOCK_LENGTH, ratio: float = settings.EVAL_RATIO,
-                  batch_rows: int = settings.MAP_BATCH_ROWS, mode: str = "faithful") -> DataFrame:
+                  batch_rows: int = settings.MAP_BATCH_ROWS, mode: str = "faithful",
+                  counts: DataFrame | None = None) -> DataFrame:
     """``docs(source, ord, text)`` to ``(split, batch_id, block, input_ids, labels)``.
 
     Order, split and batches are decided on row identities alone; every
     document is tokenized once, before its replicas meet their batches.
+    ``counts(word, freq)`` are those of the texts' words, where they are stored already.
     """
     mixture = weighted_mixture(docs.select("source", "ord"), weights)
     placed = with_batches(split_mixture(mixture, ratio, mode), batch_rows, ["split"])
-    tokens = with_token_ids(docs.select("ord", "text"), vocab, target="input_ids").select(
+    tokens = with_ids(docs.select("ord", "text"), vocab, "input_ids", counts).select(
         "ord", F.concat("input_ids", F.array(F.lit(SPECIAL_ID))).alias("input_ids")
     )
     rows = placed.select("split", "batch_id", "rank", "ord").join(tokens, "ord")

@@ -5,12 +5,15 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import joins, packing, selection
+from corpusloom.catalog import training_queries
+from corpusloom.catalog.registry import documents
+from corpusloom.operators import bpe, joins, packing, selection
 from corpusloom.operators import pages as P
 from corpusloom.operators.audit import best_evaluation, token_audit, weighted_tokens, with_perplexity
 from corpusloom.operators.mixture import split_leakage, split_mixture, weighted_mixture
 from corpusloom.operators.order import shuffle_key, sort_hex
 from corpusloom.operators.bpe import Vocabulary
+from corpusloom.operators.dictionary import with_ids
 from corpusloom.plans.training_tables import packed_corpus, verse_samples
 
 
@@ -140,3 +143,31 @@ def test_listing_pages_come_in_bounded_tasks(spark, tmp_path):
     pages = page_queries._listing_pages(spark, str(tmp_path))
     sizes = pages.select("page_id").rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
     assert sum(sizes) == 40_000 and max(sizes) <= 2 * page_queries.PAGES_OF_A_TASK
+
+
+def test_packing_encodes_every_text_once(spark):
+    docs = spark.createDataFrame([("s", i, f"text {i}é") for i in range(20)], "source string, ord long, text string")
+    plan = packed_corpus(docs, Vocabulary(()), {"s": 2})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython [encode_batches") == 1 and plan.count("ArrowEvalPython [_nfc_udf") == 1
+
+
+def test_packing_skips_rows_without_tokens(spark):
+    rows = [(0, 0, []), (0, 1, [1, 2, 3]), (0, 2, None), (0, 3, [4, 5]), (0, 4, []), (1, 5, []), (1, 6, None)]
+    df = spark.createDataFrame(rows, "batch_id int, rank long, input_ids array<int>")
+    assert sorted(tuple(r)[:3] for r in packing.pack_blocks(df, 2).collect()) == [(0, 0, [1, 2]), (0, 1, [3, 4])]
+    assert [tuple(r)[:3] for r in packing.pack_blocks(df, 8).collect()] == [(0, 0, [1, 2, 3, 4, 5])]
+
+
+def test_training_blocks_with_awkward_rows(spark, tmp_path):
+    """Every row keeps its own text where a key repeats; words are counted once, and the ids are those of the plain encoder."""
+    rows = [(1, "src1", "a b a b"), (1, "src1", "b a<|endoftext|> a b"), (2, "src1", None), (3, "src0", ""), (None, "src0", "a b"), (4, None, "a b")]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = documents(spark, str(tmp_path))
+    words = bpe.word_counts(docs)
+    vocab = bpe.learn(words)
+    kept = docs.filter("ord is not null")
+    ids = {r["text"]: r["ids"] + [0] for r in bpe.with_token_ids(kept, vocab).collect()}
+    assert {r["text"]: r["ids"] + [0] for r in with_ids(kept, vocab, counts=words).collect()} == ids
+    # A repeated key places both of its rows and meets both texts each time: 2 rows x 3 replicas x 2 texts.
+    want = 6 * sum(len(ids[t]) for _, s, t in rows[:2]) + 3 * len(ids[None]) + len(ids[""])
+    assert sum(r["n"] for r in training_queries.training_blocks(spark, str(tmp_path)).collect()) == want
