@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.catalog import wiki_queries
 from corpusloom.functions import wikitext as W
 
 GOLDEN = [
@@ -118,3 +119,48 @@ def test_tags_of_any_case(column):
     raw = ["<ſpan>x</ſpan><REF a/ >y<Ref>z</rEF>", "<DIV>a<!-- <b> -->b</Div><q>", "''''a'''''b----- --"]
     assert column(W.strip_tags, raw[:2]) == [" x y", " ab "]
     assert column(W.drop_emphasis, raw[2:]) == ["'ab --"]
+
+
+def bracket_model(text):
+    """The five rules in their order: interwiki with label, between languages, interwiki, external with label, external."""
+    for pattern, to in ((r"\[([a-z][a-z0-9_-]*):([^\]\|]*)\|([^\]]+)\]", r"\3"), (r"\[[a-z]{2}:[^\]]+\]", ""), (r"\[[a-z][a-z0-9_-]*:([^\]]+)\]", r"\1"),
+                        (r"\[https?://[^\s\]]+\s+([^\]]+)\]", r"\1"), (r"\[https?://[^\]]+\]", "")):
+        text = re.sub(pattern, to, text)
+    return text
+
+
+def list_model(text):
+    out = []
+    for line in text.splitlines():
+        bare = line.lstrip()
+        m = re.match(r"([*#;:]+)\s?", bare)
+        if m:
+            body = bare[m.end():]
+            if ";" in m.group(1) and ": " in body:
+                term, _, meaning = body.partition(": ")
+                body = term.strip() + (": " + meaning.strip() if meaning.strip() else "")
+            line = re.sub(r"^[\s:]+", "", body)
+        out.append(line)
+    return "\n".join(out)
+
+
+def test_queries_clean_the_markup_of_the_documents(spark, tmp_path):
+    """The documents come with all their characters, and their own markup is cleaned with that put around them."""
+    texts = ["it's a-b; c: d = e * f # g_h [i] <j> & k", "[http://u own] [fr:X] [wikt:w|own] '''own''' ---- __OWN__\n* own\n ;t : own\nend",
+             "own -- [n] ''x''\n== Notes ==\n* gone", "* a\n# b\n: c\n; d : e\n** f: g"]
+    rows = [(i, "src0", t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def got(name, column="clean"):
+        return [r[column] for r in sorted(getattr(wiki_queries, name)(spark, str(tmp_path)).collect())]
+
+    def marked(text, each):
+        return text.replace("\n", each + "\n")
+
+    assert got("wiki_single_brackets", "faithful") == [
+        bracket_model(marked(t, "[wikt:w|label] [wikt:word][fr:Article] [http://u l]") + "[https://u]") for t in texts]
+    assert got("wiki_emphasis") == [re.sub(r"__[A-Z_]+__", "", re.sub(r"'''|''|----+", "", "__NOTOC__" + marked(t, "'''b'''''i''") + "----__TOC__-----x--"))
+                                    for t in texts]
+    forms = (" ; term : ", "** ", "* : ", "")
+    assert got("wiki_lists") == [list_model("\n".join(forms[i % 4] + line for i, line in enumerate(t.split("\n"), 1))) for t in texts]
+    assert got("wiki_terminal") == [texts[0], texts[1], "own -- [n] ''x''", texts[3]]
